@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import map_rows
+from galetrack.llm.common import importable, map_rows, per_worker
 
 #: Fixed values of the byte-level alphabet: bytes that stand for themselves.
 PRINTABLE_BYTES = [range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100)]
@@ -219,20 +219,14 @@ class Encoder:
         return out.decode("utf-8", "replace")
 
 
-#: Encoders of this Python worker, by the file's text: later tasks find a warm cache.
-_WORKER: dict[str, Encoder] = {}
-
-
 def worker_encoder(text: str) -> Encoder:
     """The encoder of this Python worker for a tokenizer file's text."""
-    if text not in _WORKER:
-        _WORKER.clear()
-        _WORKER[text] = Encoder(Vocabulary(text))
-    return _WORKER[text]
+    return per_worker(text, lambda: Encoder(Vocabulary(text)))
 
 
 def _shared(df: DataFrame, path: str):
     """The vocabulary file's text (a few MB, fixed), for every executor."""
+    importable(df.sparkSession)
     with open(path, encoding="utf-8") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 

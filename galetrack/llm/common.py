@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +51,32 @@ def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package where it isn't installed but shared."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+#: What this Python worker has built, by token: later tasks find it, caches warm.
+_WORKER: dict[str, object] = {}
+
+
+def per_worker(token: str, build: Callable[[], object]):
+    """``build()``, once in each Python worker for a token."""
+    if token not in _WORKER:
+        if len(_WORKER) >= 4:
+            _WORKER.clear()
+        _WORKER[token] = build()
+    return _WORKER[token]
+
+
+def new_token() -> str:
+    return uuid.uuid4().hex
+
+
 def map_rows(
     df: DataFrame,
     schema: str,
@@ -60,6 +88,7 @@ def map_rows(
     ``make`` runs once in each task and returns the function for a batch; it
     takes and returns a dict of equally long Python lists.
     """
+    importable(df.sparkSession)
     out_schema = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 

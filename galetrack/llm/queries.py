@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galetrack.llm import bpe
+from galetrack.llm import bpe, language, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    import public_tokenizers
+
+    return language.predict(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and both likenesses."""
+    return simhash.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the word-level vocabulary."""
     import public_tokenizers
@@ -19,6 +36,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op4_toxicity": op4_toxicity,
+    "op5_simhash": op5_simhash,
     "op10_bpe": op10_bpe,
 }
 
