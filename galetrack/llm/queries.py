@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galetrack.llm import bpe, language, simhash, toxicity
+from galetrack.llm import bpe, language, mixing, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record, read back and put in capture order."""
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the word-level vocabulary."""
     import public_tokenizers
@@ -39,6 +49,8 @@ QUERIES = {
     "op1_language": op1_language,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
+    "op6_mixing": op6_mixing,
+    "op8_warc": op8_warc,
     "op10_bpe": op10_bpe,
 }
 
