@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galetrack.llm import bpe, language, mixing, simhash, toxicity, warc
+from galetrack.llm import bpe, language, mixing, ppm, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log-probability of every document."""
+    return ppm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the word-level vocabulary."""
     import public_tokenizers
@@ -51,6 +56,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
     "op8_warc": op8_warc,
+    "op9_ppm": op9_ppm,
     "op10_bpe": op10_bpe,
 }
 
