@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galetrack.llm import ann, bpe, language, mixing, ppm, simhash, toxicity, warc
+from galetrack.llm import ann, bpe, language, mixing, omh, ppm, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_omh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return omh.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -58,6 +63,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_omh": op2_omh,
     "op3_ann": op3_ann,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
