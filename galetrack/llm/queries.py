@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galetrack.llm import ann, bpe, language, mixing, omh, ppm, simhash, toxicity, warc
+from galetrack.llm import ann, bpe, language, licenses, mixing, omh, ppm, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license notices that every document holds."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record, read back and put in capture order."""
     return warc.archive(table(spark, sf_dir, "pages"))
@@ -68,6 +73,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
+    "op7_licenses": op7_licenses,
     "op8_warc": op8_warc,
     "op9_ppm": op9_ppm,
     "op10_bpe": op10_bpe,
