@@ -18,19 +18,21 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, map_rows, materialise, new_token, per_worker
+from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker
 
 UNDETERMINED = "und"
 #: Marks a word's start, as in the vocabulary file.
 START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: A word's probability is rescaled where it falls below this.
-TINY = 1e-200
+#: Longer words are added up in logarithms.
+LONG_WORD = 40
 
 
 def load_pieces(path: str) -> list[str]:
@@ -46,90 +48,86 @@ class Lattice:
     """The segmentations of words into pieces of a vocabulary."""
 
     def __init__(self, pieces: list[str]):
-        self.pieces = set(pieces)
-        self.prefixes = {p[:i] for p in pieces for i in range(1, len(p) + 1)}
+        self.unknown = len(pieces)
+        self.ids = dict.fromkeys((p[:i] for p in pieces for i in range(1, len(p))), -1)
+        self.ids.update((p, i) for i, p in enumerate(pieces))
 
-    def arcs(self, word: str) -> list[list[tuple[int, str]]]:
-        """For each start, the (end, piece) pairs; a lone character is always one."""
-        marked, n = START + word, len(word) + 1
-        pieces, prefixes = self.pieces, self.prefixes
-        out = []
+    def arcs(self, word: str) -> list[tuple[int, int, int]]:
+        """(start, end, piece's number) by start; a lone character is always one."""
+        marked, n, get, out = START + word, len(word) + 1, self.ids.get, []
         for i in range(n):
-            found = []
-            first = i + 2 if i == 0 else i + 1
+            first, lone = (2 if i == 0 else i + 1), True
             for j in range(i + 1, n + 1):
-                piece = marked[i:j]
-                if piece not in prefixes:
+                piece = get(marked[i:j])
+                if piece is None:
                     break
-                if piece in pieces:
-                    found.append((j, piece))
-            if not any(j == first for j, _ in found) and first <= n:
-                found.append((first, marked[i:first]))
-            out.append(found)
+                if piece >= 0:
+                    out.append((i, j, piece))
+                    lone &= j != first
+            if lone:
+                out.append((i, first, self.unknown))
         return out
 
 
 class Model:
-    """Piece log-probabilities by language."""
+    """Piece probabilities by language; the last one is that of an unknown character."""
 
-    def __init__(self, languages: list[str], pieces: list[str], priors: list[float], counts: dict[str, dict[str, float]], smoothing: float = 0.1):
+    def __init__(self, languages: list[str], pieces: list[str], priors: list[float], counts: dict[str, dict[int, float]], smoothing: float = 0.1):
         self.languages, self.priors = languages, priors
         self.lattice = Lattice(pieces)
         size = len(pieces) + 1
-        totals = [sum(counts.get(x, {}).values()) for x in languages]
-        self.floor = tuple(smoothing / (t + smoothing * size) for t in totals)
-        self.p: dict[str, tuple[float, ...]] = {}
-        for piece in {p for x in languages for p in counts.get(x, {})}:
-            self.p[piece] = tuple((counts[x].get(piece, 0.0) + smoothing) / (t + smoothing * size) if x in counts else f for x, t, f in zip(languages, totals, self.floor))
+        self.p: list[list[float]] = []
+        for x in languages:
+            own = counts.get(x, {})
+            whole = sum(own.values()) + smoothing * size
+            self.p.append([(own.get(i, 0.0) + smoothing) / whole for i in range(size)])
 
     def word(self, word: str) -> list[float]:
         """Log-probability of a word in each language, over all segmentations."""
-        arcs, n, k = self.lattice.arcs(word), len(word) + 1, len(self.languages)
-        alpha: list[list[float] | None] = [None] * (n + 1)
-        alpha[0] = [1.0] * k
-        shift, p, floor = [0.0] * (n + 1), self.p, self.floor
-        for i in range(n):
-            a = alpha[i]
-            if a is None:
-                continue
-            low = min(a)
-            if low < TINY:
-                # Scale from here on; every open end shares the factor.
-                top = max(a)
-                a = [x / top if x > 0 else 0.0 for x in a]
-                moved = math.log(top)
-                shift[i] += moved
-            for j, piece in arcs[i]:
-                q = p.get(piece, floor)
-                b = alpha[j]
-                if b is None:
-                    alpha[j], shift[j] = [x * y for x, y in zip(a, q)], shift[i]
-                elif shift[j] == shift[i]:
-                    alpha[j] = [z + x * y for z, x, y in zip(b, a, q)]
-                else:
-                    r = math.exp(min(700.0, shift[i] - shift[j]))
-                    alpha[j] = [z + x * y * r for z, x, y in zip(b, a, q)]
-        return [math.log(x) + shift[n] if x > 0 else shift[n] - 700.0 for x in alpha[n]]
-
-    def expected(self, word: str, language: int, weight: float, into: dict[str, float]) -> None:
-        """Adds the expected counts of pieces in a word, by forward-backward."""
         arcs, n = self.lattice.arcs(word), len(word) + 1
-        p, floor = self.p, self.floor
+        if n > LONG_WORD:
+            return [self._scaled(arcs, n, p) for p in self.p]
+        out = []
+        for p in self.p:
+            alpha = [0.0] * (n + 1)
+            alpha[0] = 1.0
+            for i, j, piece in arcs:
+                alpha[j] += alpha[i] * p[piece]
+            out.append(math.log(alpha[n]))
+        return out
+
+    @staticmethod
+    def _scaled(arcs: list[tuple[int, int, int]], n: int, p: list[float]) -> float:
+        """The same for words whose probabilities would underflow: in logarithms."""
+        alpha = [-math.inf] * (n + 1)
+        alpha[0] = 0.0
+        for i, j, piece in arcs:
+            if alpha[i] == -math.inf:
+                continue
+            a, b = alpha[j], alpha[i] + math.log(p[piece])
+            if a < b:
+                a, b = b, a
+            alpha[j] = a + math.log1p(math.exp(b - a))
+        return alpha[n]
+
+    def expected(self, word: str, language: int, weight: float, into: dict[int, float]) -> None:
+        """Adds the expected counts of pieces in a word, by forward-backward.
+
+        Words too long for plain probabilities teach nothing.
+        """
+        n = len(word) + 1
+        if n > LONG_WORD:
+            return
+        arcs, p = self.lattice.arcs(word), self.p[language]
         alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
         alpha[0] = beta[n] = 1.0
-        for i in range(n):
-            if alpha[i]:
-                for j, piece in arcs[i]:
-                    alpha[j] += alpha[i] * p.get(piece, floor)[language]
-        if alpha[n] <= TINY:
-            return
-        for i in range(n - 1, -1, -1):
-            beta[i] = sum(p.get(piece, floor)[language] * beta[j] for j, piece in arcs[i])
+        for i, j, piece in arcs:
+            alpha[j] += alpha[i] * p[piece]
+        for i, j, piece in reversed(arcs):
+            beta[i] += p[piece] * beta[j]
         scale = weight / alpha[n]
-        for i in range(n):
-            if alpha[i]:
-                for j, piece in arcs[i]:
-                    into[piece] += alpha[i] * p.get(piece, floor)[language] * beta[j] * scale
+        for i, j, piece in arcs:
+            into[piece] += alpha[i] * p[piece] * beta[j] * scale
 
 
 class Scorer:
@@ -144,24 +142,23 @@ class Scorer:
         self.index: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.model.languages)))
 
-    def add(self, run: str) -> int:
-        words = LETTERS.findall(run)
+    def add(self, word: str) -> int:
         at = len(self.index)
         if at == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = np.sum([self.model.word(w) for w in words], axis=0) if words else 0.0
-        self.index[run] = at
+        self.rows[at] = self.model.word(word)
+        self.index[word] = at
         return at
 
     def score(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its posterior probability."""
-        if text is None or not self.model.languages or not LETTERS.search(text):
+        words = LETTERS.findall(text.lower()) if text else []
+        if not words or not self.model.languages:
             return UNDETERMINED, 0.0
-        runs = text.lower().split()
-        if len(self.index) + len(runs) > self.limit:
+        if len(self.index) + len(words) > self.limit:
             self.reset()
         index, add = self.index, self.add
-        at = [index[r] if r in index else add(r) for r in runs]
+        at = [index[w] if w in index else add(w) for w in words]
         logs = self.rows[at].sum(axis=0) + self.model.priors
         best = int(np.argmax(logs))
         return self.model.languages[best], float(1.0 / np.exp(logs - logs[best]).sum())
@@ -220,7 +217,7 @@ def train(
             at = {x: i for i, x in enumerate(model.languages)}
 
             def step(rows):
-                got: dict[str, dict[str, float]] = defaultdict(lambda: defaultdict(float))
+                got: dict[str, dict[int, float]] = defaultdict(lambda: defaultdict(float))
                 for lang, word, n in zip(rows["lang"], rows["word"], rows["n"]):
                     model.expected(word, at[lang], n, got[lang])
                 flat = [(x, p, c) for x, d in got.items() for p, c in d.items()]
@@ -228,8 +225,8 @@ def train(
 
             return step
 
-        counts: dict[str, dict[str, float]] = defaultdict(dict)
-        expected = map_rows(words, "lang string, piece string, n double", make, rows=1 << 16)
+        counts: dict[str, dict[int, float]] = defaultdict(dict)
+        expected = map_rows(words, "lang string, piece int, n double", make, rows=1 << 16)
         for r in expected.groupBy("lang", "piece").agg(F.sum("n").alias("n")).where("n > 1e-3").collect():
             counts[r["lang"]][r["piece"]] = r["n"]
         model = Model(languages, pieces, priors, dict(counts))
@@ -267,6 +264,21 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     return map_rows(source, fields + ", lang_pred string, score double", make)
 
 
+def accept(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language, with a score of at least ``least``."""
+    held, token = docs.sparkSession.sparkContext.broadcast(model), new_token()
+    importable(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = per_worker(token, lambda: Scorer(held.value))
+        for texts in batches:
+            found = [scorer.score(t) for t in texts]
+            yield pd.Series([lang != UNDETERMINED and score >= least for lang, score in found], dtype=bool)
+
+    return docs.where(accepted(F.col(f"`{text}`").cast("string")))
+
+
 def predict(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every document.
 
