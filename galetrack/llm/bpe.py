@@ -20,8 +20,11 @@ import heapq
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 from operator import add
 
+import numpy as np
+import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -198,7 +201,7 @@ class Encoder:
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text."""
-        return [int(i) for i in self.digest(text)[1].split()]
+        return np.fromstring(self.digest(text)[1], dtype=np.int32, sep=" ").tolist()
 
     def decode(self, ids: list[int] | None) -> str:
         """Tokens joined by a space: what a tokenizer file without a decoder gives."""
@@ -237,7 +240,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     kept = [c for c in docs.columns if c != out]
 
     @F.pandas_udf("array<int>")
-    def ids(batches: "Iterator[pd.Series]") -> "Iterator[pd.Series]":  # noqa: F821
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = worker_encoder(held.value)
         for texts in batches:
             yield texts.map(encoder.encode)
@@ -251,7 +254,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     kept = [c for c in df.columns if c != out]
 
     @F.pandas_udf("string")
-    def tokens(batches: "Iterator[pd.Series]") -> "Iterator[pd.Series]":  # noqa: F821
+    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = worker_encoder(held.value)
         for rows in batches:
             yield rows.map(encoder.decode)

@@ -16,12 +16,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, map_rows, new_token, per_worker
+from galetrack.llm.common import fold, importable, map_rows, new_token, per_worker
 
 #: Common insults, in natural order.
 INSULTS = """
@@ -279,6 +281,22 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     return map_rows(source, fields + ", score double, predicted int", make)
 
 
+def accept(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores below 0.5."""
+    held, token = docs.sparkSession.sparkContext.broadcast(model), new_token()
+    importable(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fitted = held.value
+        maker = per_worker(token, lambda: Features(fitted.insults, fitted.learned))
+        for texts in batches:
+            x = np.array([maker.of(t) for t in texts]).reshape(-1, len(FEATURES))
+            yield pd.Series(fitted.score(x) < 0.5)
+
+    return docs.where(accepted(F.col(f"`{text}`").cast("string")))
+
+
 def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for every document.
 
