@@ -52,7 +52,10 @@ def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None)
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it isn't installed but shared."""
+    """Readies a session for this package's Python functions: their import, and batches."""
+    # Batches of whole texts: fewer rows than Spark's default, so that they stay small.
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) in (None, "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -60,6 +63,8 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+BATCH_ROWS = 2048
+
 #: What this Python worker has built, by token: later tasks find it, caches warm.
 _WORKER: dict[str, object] = {}
 

@@ -13,16 +13,19 @@ ordered Jaccard index (1 minus it is a metric). Pairs at or above ``least`` neve
 leave the diagonals |i - j| <= n1 + n2 - 2 m, which bounds the band. As labelled
 k-mers are distinct, the alignment is the longest rising run of positions.
 
-At a similarity of 0.8, a sketch of 3 is shared with probability about 0.51, so
-16 sketches miss a pair with probability about 1e-5.
+At a similarity of 0.8, a sketch of 4 is shared with probability about 0.4, so 24
+sketches miss a pair with probability about 5e-6, and share fewer than two with
+probability about 8e-5.
 
 Skew: equal texts (after splitting into words) become one class representative
 first, by a maximum, whatever their number. In each key's bucket every text is
 compared with the bucket's representative alone, a minimum by key, and classes are
-formed. Only buckets that then hold several classes go on: a text that failed the
-representative meets those of other classes in its bucket whose distance from the
-representative leaves a similarity of ``least`` possible, as the triangle
-inequality allows, in a join by key. No bucket is collected anywhere.
+formed. Only buckets that then hold several classes go on: a text that failed a
+representative meets texts of other classes that share two of these buckets with
+it, in a join by both keys, where the distances from the representative leave a
+similarity of ``least`` possible, as the triangle inequality allows. Texts that
+share a frequent passage but little else share one bucket, not two, so they don't
+meet in pairs. No bucket is collected anywhere.
 
 Defined results: null text is empty text; texts of fewer than k words are one k-mer
 of all their words, so they are near duplicates only of equal ones; empty texts
@@ -85,7 +88,7 @@ def sketch_keys(h: np.ndarray, sketches: int, length: int) -> list[int]:
         return []
     seeds = (np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))[:, None]
     keys = np.arange(sketches, dtype=np.uint64)
-    step = max(1, 2_000_000 // n)
+    step = max(1, 400_000 // n)
     for s in range(0, sketches, step):
         own = mixed(h[None, :] ^ seeds[s : s + step])
         at = np.sort(np.argpartition(own, take - 1, axis=1)[:, :take], axis=1) if n > take else np.tile(np.arange(n), (len(own), 1))
@@ -132,8 +135,8 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
 
 def stage(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``docs`` with __uid, __id and __text, written once so that __uid stays."""
-    rows = docs.withColumns({"__id": F.col(f"`{doc_id}`").cast("long"), "__text": F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))})
-    return materialise(rows.withColumn("__uid", F.monotonically_increasing_id()), "omh-documents")
+    rows = materialise(docs.withColumn("__uid", F.monotonically_increasing_id()), "omh-documents")
+    return rows.withColumns({"__id": F.col(f"`{doc_id}`").cast("long"), "__text": F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))})
 
 
 def sketch(staged: DataFrame, sketches: int, length: int, k: int) -> DataFrame:
@@ -191,7 +194,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def find(staged: DataFrame, sketches: int = 16, length: int = 3, least: float = LEAST, k: int = WORDS) -> DataFrame:
+def find(staged: DataFrame, sketches: int = 24, length: int = 4, least: float = LEAST, k: int = WORDS) -> DataFrame:
     """uid, id, digest and the class's least (id, uid) of every staged document."""
     prints = materialise(sketch(staged, sketches, length, k), "omh-sketches")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first")
@@ -220,13 +223,17 @@ def find(staged: DataFrame, sketches: int = 16, length: int = 3, least: float =
     seen = members.join(met.select(F.col("a").alias("rep"), F.col("b").alias("digest"), "sim"), ["rep", "digest"], "left")
     seen = seen.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("key", "digest", "n", F.coalesce("sim", F.lit(1.0)).alias("sim"), F.coalesce("label", "digest").alias("label"))
     open_ = seen.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-    seen = materialise(seen.join(open_, "key", "left_semi").where("sim < 1.0"), "omh-open")
-    failed = seen.where(F.col("sim") < least).select("key", *[F.col(c).alias(f"f_{c}") for c in ("digest", "n", "sim", "label")])
-    again = failed.join(seen, "key").where(
+    seen = seen.join(open_, "key", "left_semi").where("sim < 1.0")
+    # Each text's open buckets, two by two: (key, second key), with the similarity in the first.
+    own = seen.groupBy("digest", "n", "label").agg(F.array_sort(F.collect_list(F.struct("key", "sim"))).alias("open")).where("size(open) > 1")
+    turns = F.flatten(F.transform("open", lambda e, i: F.transform(F.slice("open", i + 2, F.size("open")), lambda f: F.struct(e["key"].alias("key"), f["key"].alias("second"), e["sim"].alias("sim"), F.least(e["sim"], f["sim"]).alias("low")))))
+    seen = materialise(own.select("digest", "n", "label", F.explode(turns).alias("e")).select("digest", "n", "label", "e.*"), "omh-open")
+    failed = seen.where(F.col("low") < least).select("key", "second", *[F.col(c).alias(f"f_{c}") for c in ("digest", "n", "sim", "label", "low")])
+    again = failed.join(seen, ["key", "second"]).where(
         (F.col("f_label") != F.col("label"))
         & (F.abs(F.col("f_sim") - F.col("sim")) <= 1 - least + 1e-9)
         & (F.least("n", "f_n") >= least * F.greatest("n", "f_n"))
-        & ((F.col("sim") >= least) | (F.col("f_digest") < F.col("digest")))
+        & ((F.col("low") >= least) | (F.col("f_digest") < F.col("digest")))
     )
     again = again.select(F.least("f_digest", "digest").alias("a"), F.greatest("f_digest", "digest").alias("b")).distinct()
     more = materialise(verify(again, kmers, least).where(F.col("sim") >= least).select("a", "b"), "omh-more")
