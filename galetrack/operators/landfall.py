@@ -14,14 +14,13 @@ from galetrack.functions import domain
 from galetrack.functions.geodesy import haversine_km, with_destination, with_geodesic
 from galetrack.operators import geometry
 
-STORM = Window.partitionBy("storm_id").orderBy("point_seq")
 FIX = ("timestamp_utc", "longitude", "latitude", "max_wind_kt", "min_pressure_mb", "status", "flagged")
 
 
 def segments(points: DataFrame) -> DataFrame:
     """Consecutive pairs of fixes: storm_id, seg, a_* and b_*."""
     rows = points.withColumn("flagged", F.coalesce(F.col("record_identifier") == "L", F.lit(False)))
-    rows = rows.select("storm_id", F.col("point_seq").alias("seg"), F.struct(*FIX).alias("a"), F.lead(F.struct(*FIX)).over(STORM).alias("b"))
+    rows = rows.select("storm_id", F.col("point_seq").alias("seg"), F.struct(*FIX).alias("a"), F.lead(F.struct(*FIX)).over(Window.partitionBy("storm_id").orderBy("point_seq")).alias("b"))
     rows = rows.where("b is not null")
     return rows.select("storm_id", "seg", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in FIX])
 
