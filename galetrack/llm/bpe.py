@@ -205,13 +205,13 @@ class Encoder:
 
     def decode(self, ids: list[int] | None) -> str:
         """Tokens joined by a space: what a tokenizer file without a decoder gives."""
-        return " ".join(self.tokens[i] for i in ids or [])
+        return " ".join(self.tokens[i] for i in (ids if ids is not None else ()))
 
     def restore(self, ids: list[int] | None) -> str:
         """Readable text: bytes decoded, word ends as spaces."""
         byte = {c: b for b, c in enumerate(self.alphabet)}
         out = bytearray()
-        for i in ids or []:
+        for i in ids if ids is not None else ():
             token = self.tokens[i]
             if token in self.v.special:
                 out += token.encode()
