@@ -1,18 +1,22 @@
-"""Geodesics on WGS-84 as column expressions: JVM-side, no Python.
+"""Geodesics on WGS-84, and the projection for areas.
 
 The inverse and direct problems follow Vincenty's published series with a fixed
-number of iterations; intermediate values are columns of their own, so that the
-expression stays linear in size. Near-antipodal pairs don't converge; the engine
-never asks for them.
+number of iterations. As column expressions they are some hundred nested terms,
+which take Catalyst seconds to analyse for each use; so they are Arrow-batched
+NumPy kernels. Near-antipodal pairs don't converge; the engine never asks for them.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galetrack.functions.workers import importable
+
 # WGS-84 and the authalic sphere.
 A = 6378137.0
 FLATTENING = 1 / 298.257223563
@@ -27,68 +31,83 @@ def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colu
     return F.lit(2 * MEAN_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
 
 
+def _series(ca2):
+    """The series' two coefficients from the squared cosine of the equatorial azimuth."""
+    k = ca2 * ((A * A - B * B) / (B * B))
+    return 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))), k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
+
+
+def _delta(small, ss, cs, m):
+    return small * ss * (m + small / 4 * (cs * (-1 + 2 * m * m) - small / 6 * m * (-3 + 4 * ss * ss) * (-3 + 4 * m * m)))
+
+
+def _longitude_term(ca2, sa, sig, ss, cs, m):
+    c = FLATTENING / 16 * ca2 * (4 + FLATTENING * (4 - 3 * ca2))
+    return (1 - c) * FLATTENING * sa * (sig + c * ss * (m + c * cs * (-1 + 2 * m * m)))
+
+
+def inverse(lon1, lat1, lon2, lat2, iterations: int = 6):
+    """Distances in km and forward azimuths in radians of arrays of positions."""
+    u1, u2 = (np.arctan((1 - FLATTENING) * np.tan(np.radians(lat))) for lat in (lat1, lat2))
+    span = np.radians(np.mod(lon2 - lon1 + 180, 360) - 180)
+    s1, c1, s2, c2, lam = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2), span
+    for _ in range(iterations):
+        sl, cl = np.sin(lam), np.cos(lam)
+        ss = np.hypot(c2 * sl, c1 * s2 - s1 * c2 * cl)
+        cs = s1 * s2 + c1 * c2 * cl
+        sig = np.arctan2(ss, cs)
+        sa = np.where(ss == 0, 0, c1 * c2 * sl / np.where(ss == 0, 1, ss))
+        ca2 = 1 - sa * sa
+        m = np.where(ca2 == 0, 0, cs - 2 * s1 * s2 / np.where(ca2 == 0, 1, ca2))
+        lam = span + _longitude_term(ca2, sa, sig, ss, cs, m)
+    big, small = _series(ca2)
+    return B / 1000 * big * (sig - _delta(small, ss, cs, m)), np.arctan2(c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam))
+
+
+def direct(lon, lat, azimuth, km, iterations: int = 6):
+    """Positions at distances along azimuths (radians)."""
+    u = np.arctan((1 - FLATTENING) * np.tan(np.radians(lat)))
+    sa1, ca1, su, cu = np.sin(azimuth), np.cos(azimuth), np.sin(u), np.cos(u)
+    s1, sa = np.arctan2(np.tan(u), ca1), cu * sa1
+    ca2 = 1 - sa * sa
+    big, small = _series(ca2)
+    base = km * 1000 / B / big
+    sig = base
+    for _ in range(iterations):
+        sig = base + _delta(small, np.sin(sig), np.cos(sig), np.cos(2 * s1 + sig))
+    ss, cs, m = np.sin(sig), np.cos(sig), np.cos(2 * s1 + sig)
+    x = su * ss - cu * cs * ca1
+    lat2 = np.arctan2(su * cs + cu * ss * ca1, (1 - FLATTENING) * np.sqrt(sa * sa + x * x))
+    lam = np.arctan2(ss * sa1, cu * cs - su * ss * ca1) - _longitude_term(ca2, sa, sig, ss, cs, m)
+    return np.mod(lon + np.degrees(lam) + 540, 360) - 180, np.degrees(lat2)
+
+
 def with_geodesic(df: DataFrame, out: str, lon1: str, lat1: str, lon2: str, lat2: str, iterations: int = 6, azimuth: str | None = None) -> DataFrame:
     """``df`` with the geodesic distance in km, and the forward azimuth in radians."""
-    t = "__g_"
-    kept = df.columns
-    df = df.withColumns({
-        f"{t}u1": F.atan(F.lit(1 - FLATTENING) * F.tan(F.radians(F.col(lat1)))),
-        f"{t}u2": F.atan(F.lit(1 - FLATTENING) * F.tan(F.radians(F.col(lat2)))),
-        f"{t}l": F.radians(F.pmod(F.col(lon2) - F.col(lon1) + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)),
-    })
-    df = df.withColumns({f"{t}s1": F.sin(f"{t}u1"), f"{t}c1": F.cos(f"{t}u1"), f"{t}s2": F.sin(f"{t}u2"), f"{t}c2": F.cos(f"{t}u2"), f"{t}lam": F.col(f"{t}l")})
-    c = lambda n: F.col(t + n)
-    for _ in range(iterations):
-        df = df.withColumns({f"{t}sl": F.sin(c("lam")), f"{t}cl": F.cos(c("lam"))})
-        df = df.withColumns({
-            f"{t}ss": F.sqrt(F.pow(c("c2") * c("sl"), F.lit(2.0)) + F.pow(c("c1") * c("s2") - c("s1") * c("c2") * c("cl"), F.lit(2.0))),
-            f"{t}cs": c("s1") * c("s2") + c("c1") * c("c2") * c("cl"),
-        })
-        df = df.withColumns({f"{t}sig": F.atan2(c("ss"), c("cs")), f"{t}sa": F.when(c("ss") == 0, F.lit(0.0)).otherwise(c("c1") * c("c2") * c("sl") / c("ss"))})
-        df = df.withColumn(f"{t}ca2", F.lit(1.0) - c("sa") * c("sa"))
-        df = df.withColumn(f"{t}c2m", F.when(c("ca2") == 0, F.lit(0.0)).otherwise(c("cs") - F.lit(2.0) * c("s1") * c("s2") / c("ca2")))
-        df = df.withColumn(f"{t}cc", F.lit(FLATTENING / 16) * c("ca2") * (F.lit(4.0) + F.lit(FLATTENING) * (F.lit(4.0) - F.lit(3.0) * c("ca2"))))
-        df = df.withColumn(f"{t}lam", c("l") + (F.lit(1.0) - c("cc")) * F.lit(FLATTENING) * c("sa") * (c("sig") + c("cc") * c("ss") * (c("c2m") + c("cc") * c("cs") * (F.lit(-1.0) + F.lit(2.0) * c("c2m") * c("c2m")))))
-    df = df.withColumn(f"{t}k", c("ca2") * F.lit((A * A - B * B) / (B * B)))
-    df = df.withColumns({
-        f"{t}big": F.lit(1.0) + c("k") / 16384 * (F.lit(4096.0) + c("k") * (F.lit(-768.0) + c("k") * (F.lit(320.0) - F.lit(175.0) * c("k")))),
-        f"{t}small": c("k") / 1024 * (F.lit(256.0) + c("k") * (F.lit(-128.0) + c("k") * (F.lit(74.0) - F.lit(47.0) * c("k")))),
-    })
-    m = c("c2m")
-    delta = c("small") * c("ss") * (m + c("small") / 4 * (c("cs") * (F.lit(-1.0) + F.lit(2.0) * m * m) - c("small") / 6 * m * (F.lit(-3.0) + F.lit(4.0) * c("ss") * c("ss")) * (F.lit(-3.0) + F.lit(4.0) * m * m)))
-    made = {out: F.lit(B / 1000) * c("big") * (c("sig") - delta)}
-    if azimuth:
-        made[azimuth] = F.atan2(c("c2") * F.sin(c("lam")), c("c1") * c("s2") - c("s1") * c("c2") * F.cos(c("lam")))
-    return df.withColumns(made).select(*[x for x in kept if x not in made], *made)
+    importable(df.sparkSession)
+
+    @F.pandas_udf("struct<km: double, az: double>")
+    def measured(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
+        km, az = inverse(*[s.to_numpy(float) for s in (a, b, c, d)], iterations)
+        return pd.DataFrame({"km": km, "az": az})
+
+    outs = {out: "km"} | ({azimuth: "az"} if azimuth else {})
+    known = F.col(lon1).isNotNull() & F.col(lat1).isNotNull() & F.col(lon2).isNotNull() & F.col(lat2).isNotNull()
+    rows = df.withColumn("__geodesic", measured(lon1, lat1, lon2, lat2))
+    return rows.select(*[c for c in df.columns if c not in outs], *[F.when(known, F.col(f"__geodesic.{f}")).alias(n) for n, f in outs.items()])
 
 
 def with_destination(df: DataFrame, lon_out: str, lat_out: str, lon: str, lat: str, azimuth: str, km: str, iterations: int = 6) -> DataFrame:
     """``df`` with the point at a distance along an azimuth (radians)."""
-    t = "__d_"
-    kept = df.columns
-    c = lambda n: F.col(t + n)
-    df = df.withColumns({f"{t}u": F.atan(F.lit(1 - FLATTENING) * F.tan(F.radians(F.col(lat)))), f"{t}sa1": F.sin(azimuth), f"{t}ca1": F.cos(azimuth)})
-    df = df.withColumns({f"{t}su": F.sin(c("u")), f"{t}cu": F.cos(c("u")), f"{t}s1": F.atan2(F.tan(c("u")), c("ca1"))})
-    df = df.withColumn(f"{t}sa", c("cu") * c("sa1")).withColumn(f"{t}ca2", F.lit(1.0) - c("sa") * c("sa"))
-    df = df.withColumn(f"{t}k", c("ca2") * F.lit((A * A - B * B) / (B * B)))
-    df = df.withColumns({
-        f"{t}big": F.lit(1.0) + c("k") / 16384 * (F.lit(4096.0) + c("k") * (F.lit(-768.0) + c("k") * (F.lit(320.0) - F.lit(175.0) * c("k")))),
-        f"{t}small": c("k") / 1024 * (F.lit(256.0) + c("k") * (F.lit(-128.0) + c("k") * (F.lit(74.0) - F.lit(47.0) * c("k")))),
-    })
-    df = df.withColumn(f"{t}base", F.col(km) * F.lit(1000 / B) / c("big")).withColumn(f"{t}sig", c("base"))
-    for _ in range(iterations):
-        df = df.withColumns({f"{t}m": F.cos(F.lit(2.0) * c("s1") + c("sig")), f"{t}ss": F.sin(c("sig")), f"{t}cs": F.cos(c("sig"))})
-        m = c("m")
-        delta = c("small") * c("ss") * (m + c("small") / 4 * (c("cs") * (F.lit(-1.0) + F.lit(2.0) * m * m) - c("small") / 6 * m * (F.lit(-3.0) + F.lit(4.0) * c("ss") * c("ss")) * (F.lit(-3.0) + F.lit(4.0) * m * m)))
-        df = df.withColumn(f"{t}sig", c("base") + delta)
-    df = df.withColumns({f"{t}m": F.cos(F.lit(2.0) * c("s1") + c("sig")), f"{t}ss": F.sin(c("sig")), f"{t}cs": F.cos(c("sig"))})
-    x = c("su") * c("ss") - c("cu") * c("cs") * c("ca1")
-    lat2 = F.atan2(c("su") * c("cs") + c("cu") * c("ss") * c("ca1"), F.lit(1 - FLATTENING) * F.sqrt(c("sa") * c("sa") + x * x))
-    lam = F.atan2(c("ss") * c("sa1"), c("cu") * c("cs") - c("su") * c("ss") * c("ca1"))
-    cc = F.lit(FLATTENING / 16) * c("ca2") * (F.lit(4.0) + F.lit(FLATTENING) * (F.lit(4.0) - F.lit(3.0) * c("ca2")))
-    ell = lam - (F.lit(1.0) - cc) * F.lit(FLATTENING) * c("sa") * (c("sig") + cc * c("ss") * (c("m") + cc * c("cs") * (F.lit(-1.0) + F.lit(2.0) * c("m") * c("m"))))
-    lon2 = F.pmod(F.col(lon) + F.degrees(ell) + F.lit(540.0), F.lit(360.0)) - F.lit(180.0)
-    return df.withColumns({lon_out: lon2, lat_out: F.degrees(lat2)}).select(*[x for x in kept if x not in (lon_out, lat_out)], lon_out, lat_out)
+    importable(df.sparkSession)
+
+    @F.pandas_udf("struct<x: double, y: double>")
+    def moved(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
+        x, y = direct(*[s.to_numpy(float) for s in (a, b, c, d)], iterations)
+        return pd.DataFrame({"x": x, "y": y})
+
+    rows = df.withColumn("__moved", moved(lon, lat, azimuth, km))
+    return rows.select(*[c for c in df.columns if c not in (lon_out, lat_out)], F.col("__moved.x").alias(lon_out), F.col("__moved.y").alias(lat_out))
 
 
 def equal_area_x(lon: Column) -> Column:
