@@ -18,9 +18,10 @@ sketches miss a pair with probability about 5e-6, and share fewer than two with
 probability about 8e-5.
 
 Skew: equal texts (after splitting into words) become one class representative
-first, by a maximum, whatever their number. In each key's bucket every text is
-compared with the bucket's representative alone, a minimum by key, and classes are
-formed. Only buckets that then hold several classes go on: a text that failed a
+first, by a minimum, whatever their number. In each key's bucket every text is
+compared with the bucket's representative alone, and classes are formed; the
+representative is the text whose buckets are the largest, a maximum by key, so
+that copies with different edits meet their original. Only buckets that then hold several classes go on: a text that failed a
 representative meets texts of other classes that share two of these buckets with
 it, in a join by both keys, where the distances from the representative leave a
 similarity of ``least`` possible, as the triangle inequality allows. Texts that
@@ -201,8 +202,14 @@ def find(staged: DataFrame, sketches: int = 24, length: int = 4, least: float =
     nodes = materialise(prints.groupBy("digest").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys")), "omh-nodes")
 
     rows = nodes.select("digest", "n", F.explode("keys").alias("key"))
-    heads = rows.groupBy("key").agg(F.min(F.struct("digest", "n")).alias("head"), F.count("*").alias("c")).where("c > 1")
-    members = rows.join(heads, "key").select("key", "digest", "n", F.col("head.digest").alias("rep"))
+    counts = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    shared = materialise(rows.join(counts, "key"), "omh-shared")
+    # The most central text of a bucket represents it: the one whose buckets are the largest.
+    # An original is in the buckets of all its copies, so most of them meet it at once.
+    central = shared.groupBy("digest").agg(F.sum("c").alias("weight"))
+    weighed = shared.join(central, "digest").select("key", "digest", "n", "weight")
+    heads = weighed.groupBy("key").agg(F.max(F.struct("weight", "digest")).alias("head"))
+    members = weighed.join(heads, "key").select("key", "digest", "n", F.col("head.digest").alias("rep"))
     members = materialise(members, "omh-members")
     involved = members.select("digest").distinct().join(nodes.select("digest", "first.uid"), "digest")
     texts = staged.select(F.col("__uid").alias("uid"), F.col("__text").alias("text")).join(involved, "uid").select("digest", "text")
