@@ -22,9 +22,13 @@ distribution over texts; the score is the log10 of a text's probability.
 Two forms: :func:`score_documents` with a trie pretrained on the training
 documents, and :func:`adaptive_bits`, which learns each document as it reads it.
 
-Memory: the trie keeps at most ``max_entries`` (context, byte) pairs, the contexts
-with most occurrences first, and the broadcast vocabulary at most ``hot_words``
-words; counts of all other words are joined, none is dropped.
+The model is two written tables, however large: the trie's (context, byte) pairs and
+the words with their counts. The contexts of a byte all end alike, so the pairs are
+dealt into shards by the last two bytes of their context; with the pairs of order 0
+and 1 (65,792 at most) a shard gives the probabilities of its bytes. A word's is
+their product, found once for each distinct word, and joined to the texts. What is
+broadcast only spares joins and changes no result: at most about ``max_entries``
+bytes in context, the ones that most words use, and ``hot_words`` words.
 
 Defined results: null text is empty text, which is one token, its end; without
 training documents the base score is that of one unseen type and every byte is
@@ -98,6 +102,17 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[first], np.add.reduceat(weights, first)
 
 
+def longest(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """The (order, context, byte) code of each byte's longest context, and the byte's word."""
+    buffer, place, word = positions(words)
+    at = np.flatnonzero(place >= 1)
+    o = np.minimum(place[at], order)
+    out = o << SHIFT
+    for back in range(order + 1):
+        out |= np.where(back <= o, buffer[np.maximum(at - back, 0)].astype(np.int64) << (8 * back), 0)
+    return out, word[at]
+
+
 class Trie:
     """A trie of contexts as sorted arrays."""
 
@@ -143,6 +158,12 @@ class Trie:
         got = self._places(buffer, at, place[at])
         return np.bincount(word[at], got, len(words))
 
+    def key_logs(self, keys: np.ndarray) -> np.ndarray:
+        """Natural log-probability of each code's byte, from the code's context down."""
+        wide = self.order + 1
+        buffer = ((keys[:, None] >> (8 * np.arange(self.order, -1, -1))) & 255).astype(np.uint8).ravel()
+        return self._places(buffer, np.arange(len(keys)) * wide + self.order, keys >> SHIFT)
+
     def _places(self, buffer: np.ndarray, at: np.ndarray, place: np.ndarray) -> np.ndarray:
         out = np.zeros(len(at))
         open_ = np.arange(len(at))
@@ -205,94 +226,76 @@ def adaptive_bits(text: str | None, order: int = ORDER) -> float:
     return bits
 
 
-class Model:
-    """A trie, the most frequent words with their counts, and the corpus's sums."""
-
-    def __init__(self, trie: Trie, hot: dict[bytes, int], documents: int, tokens: int, types: int):
-        self.trie, self.documents, self.tokens, self.types = trie, documents, tokens, types
-        self.words = list(hot)
-        self.counts = np.fromiter(hot.values(), dtype=np.int64, count=len(hot))
-
+def matches(words: list[bytes]) -> tuple[float, list[int], list[float]]:
+    """What the deterministic context of two words changes in a text.
 
-def with_matches(words: list[bytes], logs: list[float]) -> float:
-    """Log-probability of a text's words, with the deterministic context of two words.
-
-    ``logs``: the words' log-probabilities without it. A context that the text had
-    already predicts the word after it with confidence (hits + 0.2) / (tries + 1).
+    A context that the text had already predicts the word after it with confidence
+    c = (hits + 0.2) / (tries + 1). Given are the sum of log(1 - c) over wrong
+    predictions, and the places and confidences of right ones, where a word of
+    probability p has c + (1 - c) p.
     """
-    out = sum(logs[:2])
+    out, places, confidences = 0.0, [], []
     if len(words) < 4:
-        return out + sum(logs[2:])
+        return out, places, confidences
     last: dict[tuple[bytes, bytes], bytes] = {}
     hits, tries = 0.2, 1.0
-    log, exp = math.log, math.exp
-    before = zip(words, words[1:])
-    for context, word, plain in zip(before, words[2:], logs[2:]):
+    for i, (context, word) in enumerate(zip(zip(words, words[1:]), words[2:]), 2):
         guess = last.get(context)
-        if guess is None:
-            out += plain
-        elif guess == word:
-            out += log(hits / tries + (1 - hits / tries) * exp(plain))
-            hits += 1
-            tries += 1
-            continue
-        else:
-            out += log(1 - hits / tries) + plain
+        if guess is not None:
+            if guess == word:
+                places.append(i)
+                confidences.append(hits / tries)
+                hits += 1
+                tries += 1
+                continue
+            out += math.log(1 - hits / tries)
             tries += 1
         last[context] = word
-    return out
+    return out, places, confidences
+
+
+class Model:
+    """The corpus's sums, all words' counts and log-probabilities as a table, and the hot words'."""
+
+    def __init__(self, words: DataFrame, hot: list[tuple[bytes, int, float]], documents: int, tokens: int, types: int):
+        self.words, self.documents, self.tokens, self.types = words, documents, tokens, types
+        self.hot = [w for w, _, _ in hot], np.array([n for _, n, _ in hot], dtype=np.int64), np.array([v for _, _, v in hot], dtype=np.float64)
 
 
 class Scorer:
-    """A model ready for texts; one per Python worker."""
-
-    def __init__(self, model: Model):
-        self.trie = model.trie
-        self.index = {w: i for i, w in enumerate(model.words)}
-        self.known = np.log10(model.counts + 1.0)
-        # Symbols: frequent words and the end; the escape holds what is left.
-        whole = model.tokens + 2
-        discounted = model.counts - DISCOUNT
-        self.escape = math.log((model.tokens - model.documents - float(discounted.sum()) + 1) / whole)
-        self.score = np.log(discounted / whole + np.exp(self._logs(model.words) + self.escape))
-        self.end_score = math.log((model.documents + 1) / whole)
-        self.end_known, self.documents = math.log10(model.documents + 1), model.documents
-
-    def of(self, texts: list[str | None]) -> tuple[list[tuple], list[tuple[int, bytes, int]]]:
-        """For each text (tokens, known, sum of log10(c + 1), log10 score), the first
-        sums over the hot words and the end; and (text, word, times) of the other words."""
-        split = [tokens(t) for t in texts]
-        index = self.index
-        new = list({w for words in split for w in words if w not in index})
-        log = dict(zip(new, (self._logs(new) + self.escape).tolist()))
-        rows, cold = [], []
-        for k, words in enumerate(split):
+    """The hot words ready for texts; one per Python worker."""
+
+    def __init__(self, hot: tuple[list[bytes], np.ndarray, np.ndarray], documents: int, tokens: int):
+        self.index = {w: i for i, w in enumerate(hot[0])}
+        self.known, self.logs = np.log10(hot[1] + 1.0), hot[2]
+        self.end = math.log((documents + 1) / (tokens + 2))
+        self.end_known, self.documents = math.log10(documents + 1), documents
+
+    def of(self, texts: list[str | None]) -> tuple[list[tuple], list[tuple[int, bytes, int, list[float]]]]:
+        """For each text (tokens, known, sum of log10(c + 1), log score), the last three
+        without the other words; and their (text, word, times, confidences of the
+        right predictions among them)."""
+        index, rows, cold = self.index, [], []
+        for k, words in enumerate(map(tokens, texts)):
             at = np.fromiter([index.get(w, -1) for w in words], dtype=np.int64, count=len(words))
             hot = at >= 0
-            logs = np.empty(len(words))
-            logs[hot] = self.score[at[hot]]
+            total, places, confidences = matches(words)
+            predicted: dict[bytes, list[float]] = {}
+            logs = np.zeros(len(words))
+            logs[hot] = self.logs[at[hot]]
+            if places:
+                right, c = np.array(places), np.array(confidences)
+                logs[right] = np.where(hot[right], np.log(c + (1 - c) * np.exp(logs[right])), 0.0)
+                for i in np.flatnonzero(~hot[right]):
+                    predicted.setdefault(words[places[i]], []).append(confidences[i])
             if not hot.all():
-                others = [words[i] for i in np.flatnonzero(~hot)]
-                logs[~hot] = [log[w] for w in others]
-                cold += [(k, w, n) for w, n in Counter(others).items()]
-            total = with_matches(words, logs.tolist()) + self.end_score
-            rows.append((len(words) + 1, int(hot.sum()) + (self.documents > 0), float(self.known[at[hot]].sum()) + self.end_known, total / math.log(10)))
+                cold += [(k, w, n, predicted.get(w, [])) for w, n in Counter(words[i] for i in np.flatnonzero(~hot)).items()]
+            rows.append((len(words) + 1, int(hot.sum()) + (self.documents > 0), float(self.known[at[hot]].sum()) + self.end_known, total + float(logs.sum()) + self.end))
         return rows, cold
 
-    def _logs(self, words: list[bytes], most: int = 1 << 18) -> np.ndarray:
-        """Log-probabilities of words' bytes, in parts of bounded size."""
-        out, part, size = [], [], 0
-        for w in words:
-            part.append(w)
-            size += len(w) + 2
-            if size >= most:
-                out.append(self.trie.logs(part))
-                part, size = [], 0
-        return np.concatenate([*out, self.trie.logs(part)])
-
 
 def count_words(docs: DataFrame, flush: int = 400_000) -> DataFrame:
-    """word (binary) and n over all texts; each task sums before the shuffle."""
+    """word (binary) and n, its times in the texts to ``learn`` from; each task sums before the shuffle."""
     importable(docs.sparkSession)
     arrow = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
@@ -307,13 +310,14 @@ def count_words(docs: DataFrame, flush: int = 400_000) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], schema=arrow)
 
         for b in batches:
-            for text in b.column(0):
-                counts.update(tokens(text.as_py()))
+            for text, learn in zip(b.column(0), b.column(1).to_pylist()):
+                words = tokens(text.as_py())
+                counts.update(words if learn else dict.fromkeys(words, 0))
                 if len(counts) >= flush:
                     yield from out()
         yield from out()
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col("text").cast("string").alias("text"), "learn").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _floor(rows: DataFrame, value: str, size, most: int) -> int:
@@ -331,46 +335,122 @@ def _floor(rows: DataFrame, value: str, size, most: int) -> int:
     return least
 
 
-def train(words: DataFrame, documents: int, order: int = ORDER, max_entries: int = 600_000, hot_words: int = 200_000) -> Model:
-    """A model from the training documents' word counts (word, n)."""
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    frequent = max(2, _floor(words, "n", F.lit(1), hot_words))
+def contexts_of(words: DataFrame, order: int = ORDER, most: int = 1 << 20) -> DataFrame:
+    """key, n and uses of all (context, byte) codes: n as the trie counts them, in words
+    learned; uses is the number of words, of all, with a byte whose longest context it is."""
+    importable(words.sparkSession)
+    arrow = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("uses", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if held:
+                keys, both = np.concatenate([k for k, _ in held]), np.concatenate([b for _, b in held])
+                held.clear()
+                # Counts of a part stay far below 2^32, so both sums fit one number.
+                keys, both = _summed(keys, both)
+                for a in range(0, len(keys), 1 << 16):
+                    part = both[a : a + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 16)]), pa.array(part >> 32), pa.array(part & 0xFFFFFFFF)], schema=arrow)
+
+        size = 0
+        for b in batches:
+            every, n = b.column(0).to_pylist(), b.column(1).to_numpy()
+            learned = [w for w, c in zip(every, n) if c > 0]
+            # A word seen twice is a symbol of its own, so the bytes hold each word once.
+            keys, counts = context_counts(learned, np.ones(len(learned), dtype=np.int64), order)
+            used, _ = longest(every, order)
+            used, uses = _summed(used, np.ones(len(used), dtype=np.int64))
+            held += [(keys, counts << 32), (used, uses)]
+            size += len(keys) + len(used)
+            if size >= most:
+                yield from out()
+                size = 0
+        yield from out()
+
+    return words.select("word", "n").mapInArrow(run, "key long, n long, uses long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+
+
+def key_logs(entries: DataFrame, order: int = ORDER, shard_rows: int = 20_000) -> DataFrame:
+    """key, uses and log (natural log-probability) of the codes in use, by shards of the trie."""
+    importable(entries.sparkSession)
+    low = entries.where((F.col("key") < (2 << SHIFT)) & (F.col("n") > 0)).select("key", "n").toPandas()
+    low_keys, low_n = low["key"].to_numpy(np.int64), low["n"].to_numpy(np.int64)
+    shards = entries.count() // shard_rows + 1
+    schema = pa.schema([("key", pa.int64()), ("uses", pa.int64()), ("log", pa.float64())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        keys, n, uses = (rows.column(c).to_numpy() for c in ("key", "n", "uses"))
+        own = (n > 0) & (keys >= (2 << SHIFT))
+        trie = Trie(np.r_[low_keys, keys[own]], np.r_[low_n, n[own]], order)
+        asked = keys[uses > 0]
+        return pa.Table.from_arrays([pa.array(asked), pa.array(uses[uses > 0]), pa.array(trie.key_logs(asked))], schema=schema)
+
+    # Contexts of order 2 and more that a byte falls back to share their last two bytes.
+    shard = F.pmod(F.xxhash64(F.shiftright("key", 8).bitwiseAND(0xFFFF)), F.lit(shards))
+    return entries.withColumn("shard", shard).groupBy("shard").applyInArrow(run, "key long, uses long, log double")
+
+
+def spelled(words: DataFrame, logs: DataFrame, order: int = ORDER, max_entries: int = 600_000) -> DataFrame:
+    """word, n and log, the natural log-probability of the word's bytes and its end."""
+    least = _floor(logs, "uses", F.lit(1), max_entries)
+    common = logs.where(F.col("uses") >= least).select("key", "log").toPandas().sort_values("key")
+    held, token = words.sparkSession.sparkContext.broadcast((common["key"].to_numpy(np.int64), common["log"].to_numpy(np.float64))), new_token()
 
     def make():
+        keys, values = per_worker(token, lambda: held.value)
+
         def step(rows):
-            n = np.array(rows["n"], dtype=np.int64)
-            keys, counts = context_counts(rows["word"], np.where(n >= frequent, 1, n), order)
-            return {"key": keys, "n": counts}
+            every = rows["word"]
+            asked, word = longest(every, order)
+            at, has = Trie._find(keys, asked)
+            part = np.bincount(word[has], values[at[has]] if len(values) else None, len(every)) if has.any() else np.zeros(len(every))
+            rest: list[list[int]] = [[] for _ in every]
+            for w, key in zip(word[~has].tolist(), asked[~has].tolist()):
+                rest[w].append(key)
+            return {"word": every, "n": rows["n"], "part": part, "rest": rest}
 
         return step
 
-    entries = map_rows(words, "key long, n long", make, rows=1 << 17).groupBy("key").agg(F.sum("n").alias("n"))
-    entries = materialise(entries, "ppm-contexts")
-    contexts = entries.groupBy(F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("entries"))
-    contexts = materialise(contexts, "ppm-totals")
-    least = _floor(contexts, "total", F.col("entries"), max_entries)
-    kept = contexts.where((F.col("total") >= least) | (F.col("context") < (2 << (SHIFT - 8)))).select("context")
-    got = entries.join(kept, F.shiftright("key", 8) == F.col("context"), "left_semi").select("key", "n").toPandas()
-    hot = {bytes(r["word"]): r["n"] for r in words.where(F.col("n") >= frequent).toLocalIterator()}
-    trie = Trie(got["key"].to_numpy(np.int64), got["n"].to_numpy(np.int64), order)
-    return Model(trie, hot, documents, sums["n"] + documents, sums["v"] + (documents > 0))
-
+    rows = materialise(map_rows(words, "word binary, n long, part double, rest array<long>", make), "ppm-parts")
+    more = rows.select("word", F.explode("rest").alias("key")).join(logs.select("key", "log"), "key").groupBy("word").agg(F.sum("log").alias("more"))
+    return rows.join(more, "word", "left").select("word", "n", (F.col("part") + F.coalesce("more", F.lit(0.0))).alias("log"))
 
-ROWS = "uid long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, times long"
 
-
-def score_documents(docs: DataFrame, where=None) -> DataFrame:
+def train(words: DataFrame, documents: int, order: int = ORDER, max_entries: int = 600_000, hot_words: int = 200_000) -> Model:
+    """A model from the words of all documents and their counts in the training ones (word, n)."""
+    symbol = F.col("n") >= 2
+    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v"), F.coalesce(F.sum(F.when(symbol, F.col("n") - DISCOUNT)), F.lit(0.0)).alias("discounted")).first()
+    entries = materialise(contexts_of(words, order), "ppm-contexts")
+    logs = materialise(key_logs(entries, order), "ppm-logs")
+    # Symbols: words seen twice and the end; the escape holds what is left.
+    whole = sums["n"] + documents + 2
+    escape = math.log((sums["n"] - sums["discounted"] + 1) / whole)
+    plain = F.col("log") + escape
+    value = F.when(symbol, F.log((F.col("n") - DISCOUNT) / whole + F.exp(plain))).otherwise(plain)
+    values = materialise(spelled(words, logs, order, max_entries).select("word", "n", value.alias("value")), "ppm-values")
+    frequent = max(1, _floor(values, "n", F.lit(1), hot_words))
+    hot = [(bytes(r["word"]), r["n"], r["value"]) for r in values.where(F.col("n") >= frequent).toLocalIterator()]
+    return Model(values, hot, documents, sums["n"] + documents, sums["v"] + (documents > 0))
+
+
+ROWS = "uid long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, times long, predicted array<double>"
+
+
+def score_documents(docs: DataFrame, where=None, **options) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     Learned from documents whose fold (crc32 of the id, modulo 7) is not 2; a null
-    id has no fold, so it is learned from and not held out.
+    id has no fold, so it is learned from and not held out. ``options`` are those of
+    :func:`train`.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    training = source.where(F.coalesce(fold(F.col("doc_id"), 7) != 2, F.lit(True)))
-    words = materialise(count_words(training), "ppm-words")
-    model = train(words, training.count())
-    held, token = spark.sparkContext.broadcast(model), new_token()
+    learn = F.coalesce(fold(F.col("doc_id"), 7) != 2, F.lit(True))
+    words = materialise(count_words(source.select("text", learn.alias("learn"))), "ppm-words")
+    model = train(words, source.where(learn).count(), **options)
+    held, token = spark.sparkContext.broadcast((model.hot, model.documents, model.tokens)), new_token()
     importable(spark)
     schema = spark.createDataFrame([], ROWS).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -380,7 +460,7 @@ def score_documents(docs: DataFrame, where=None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        scorer = per_worker(token, lambda: Scorer(held.value))
+        scorer = per_worker(token, lambda: Scorer(*held.value))
         uid = TaskContext.get().partitionId() << 40
         for b in batches:
             for a in range(0, b.num_rows, 1024):
@@ -389,15 +469,21 @@ def score_documents(docs: DataFrame, where=None) -> DataFrame:
                 n, m = len(rows), len(cold)
                 known, base, score = ([r[i] for r in rows] for i in (1, 2, 3))
                 columns = [
-                    [*range(uid, uid + n), *[uid + k for k, _, _ in cold]], ids + [None] * m, [r[0] for r in rows] + [None] * m,
-                    known + [None] * m, base + [None] * m, score + [None] * m, [None] * n + [w for _, w, _ in cold], [None] * n + [t for _, _, t in cold],
+                    [*range(uid, uid + n), *[uid + k for k, *_ in cold]], ids + [None] * m, [r[0] for r in rows] + [None] * m,
+                    known + [None] * m, base + [None] * m, score + [None] * m, [None] * n + [c[1] for c in cold], [None] * n + [c[2] for c in cold],
+                    [None] * n + [c[3] or None for c in cold],
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
                 uid += n
 
     found = materialise(source.mapInArrow(run, schema), "ppm-scores")
-    cold = found.where("word is not null").select("uid", "word", "times")
-    met = cold.join(words, "word").groupBy("uid").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rise"))
+    cold = found.where("word is not null").select("uid", "word", "times", "predicted")
+    p, times, seen = F.exp("value"), F.col("times"), F.col("predicted").isNotNull()
+    predicted = F.aggregate("predicted", F.lit(0.0), lambda s, c: s + F.log(c + (1 - c) * p))
+    rise = F.when(seen, (times - F.size("predicted")) * F.col("value") + predicted).otherwise(times * F.col("value"))
+    met = cold.join(model.words, "word").groupBy("uid").agg(
+        F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("more"), F.sum(times * F.log10(F.col("n") + 1.0)).alias("rise"), F.sum(rise).alias("others"),
+    )
     rows = found.where("word is null").join(met, "uid", "left")
     floor = math.log10(model.tokens + model.types + 1)
     return rows.select(
@@ -407,5 +493,5 @@ def score_documents(docs: DataFrame, where=None) -> DataFrame:
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rise", F.lit(0.0)) - F.col("n_tokens") * floor).alias("base_score"),
-        "score",
+        ((F.col("score") + F.coalesce("others", F.lit(0.0))) / math.log(10)).alias("score"),
     )
