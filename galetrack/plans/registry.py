@@ -29,11 +29,11 @@ def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
 
 
 def database(spark: SparkSession, sf_dir: str) -> storms.Database:
-    """The tables of the synthetic tracks, sampled every 5 km on geodesics."""
+    """The tables of the synthetic tracks, sampled every km on geodesics, as in the reference."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
         i = inputs(spark, sf_dir)
-        _BUILT[key] = storms.build(i.points, i.seasons, i.edges, i.units, i.gates, step_km=5.0)
+        _BUILT[key] = storms.build(i.points, i.seasons, i.edges, i.units, i.gates, step_km=1.0)
     return _BUILT[key]
 
 
