@@ -3,11 +3,13 @@
 Texts and templates are runs of letters and digits, lower case, hashed as shingles
 of five words. A template of t words is looked for in windows of 2 s words that
 start every s words, s the next power of two from t: wherever the template stands,
-some window holds it whole. A window and a template then share at least
-(t - 4) / (2 s - 4) of their shingles, more than 1 / 5 by the choice of s; with one
-row a band, ``bands`` bands retrieve it with probability 1 - (4 / 5)^bands at
-least, over 0.9999 for 48. Retrieved templates are verified by the exact share of
-their shingles that the window contains.
+some window holds it whole. A window of 2 s - 4
+shingles that holds at least ``least`` of a template's T, m of them, is like it by
+m / (2 s - 4 + T - m) at least, and one row a band retrieves it with this
+probability: 1 / 12 for one shingle in a window of 12. A window size has as many
+bands as its least like template needs to be missed with probability ``MISS`` at
+most, and ``bands`` at least. Retrieved templates are verified by the exact share
+of their shingles that the window contains.
 
 A window without any shingle of any template cannot contain one, so bands are
 only computed for the others; this drops nothing.
@@ -24,11 +26,15 @@ each have their own rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORDS = 5
 MOST_SHINGLES = 100_000
+#: The most a window that holds enough of a template may be missed with.
+MISS = 1e-6
 
 #: Notices of common licenses, as their authors ask to place them.
 TEMPLATES = {
@@ -83,24 +89,30 @@ def shingles_of(words: Column) -> Column:
     return F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(WORDS)]))
 
 
-def bands_of(shingles: Column, bands: int) -> Column:
+def bands_of(shingles: Column, bands: Column) -> Column:
     """(band, value) of a MinHash with one row a band."""
-    numbers = F.sequence(F.lit(0), F.lit(bands - 1))
+    numbers = F.sequence(F.lit(0), bands - 1)
     return F.transform(numbers, lambda b: F.struct(b.alias("band"), F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, b))).alias("value")))
 
 
-def template_table(spark: SparkSession, templates: dict[str, str], bands: int) -> DataFrame:
-    """license, half (s), shingles and bands of each template."""
+def bands_for(shingles: int, half: int, least: float) -> int:
+    """Bands by which a window that holds ``least`` of a template is missed with ``MISS`` at most."""
+    shared = max(1, math.ceil(least * shingles - 1e-9))
+    like = shared / (2 * half - WORDS + 1 + shingles - shared)
+    return math.ceil(math.log(MISS) / math.log1p(-like))
+
+
+def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
+    """license, half (s), words and shingles of each template."""
     rows = spark.createDataFrame(sorted(templates.items()), "license string, text string").select("license", words_of(F.col("text")).alias("words"))
     half = F.pow(F.lit(2), F.ceil(F.log2(F.size("words").cast("double")))).cast("int")
-    rows = rows.select("license", "words", half.alias("half"), F.array_distinct(shingles_of(F.col("words"))).alias("shingles"))
-    return rows.select("license", "words", "half", "shingles", bands_of(F.col("shingles"), bands).alias("bands"))
+    return rows.select("license", "words", half.alias("half"), F.array_distinct(shingles_of(F.col("words"))).alias("shingles"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, str] = TEMPLATES, least: float = 0.8, bands: int = 48) -> DataFrame:
     """doc_id, license, containment (the best window's) and place (its first word)."""
     spark = docs.sparkSession
-    known = template_table(spark, templates, bands)
+    known = template_table(spark, templates)
     # The templates' own few rows: sizes and the set of their shingles.
     local = known.select("license", "half", "shingles", F.size("words").alias("n")).collect()
     if short := [r["license"] for r in local if r["n"] < WORDS]:
@@ -109,6 +121,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     if len(marks) > MOST_SHINGLES:
         raise ValueError(f"more than {MOST_SHINGLES} template shingles")
     halves = sorted({r["half"] for r in local})
+    most = {s: max([bands, *[bands_for(len(r["shingles"]), s, least) for r in local if r["half"] == s]]) for s in halves}
+    size = F.element_at(F.create_map(*[F.lit(x) for pair in most.items() for x in pair]), F.col("half"))
 
     # The row number also keeps the filters below from being computed twice.
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), words_of(F.col(f"`{text}`").cast("string")).alias("words"))
@@ -122,8 +136,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     windows = rows.select("row", "doc_id", "h", "half", F.explode(covering).alias("place"))
     # A window of 2 s words has 2 s - 4 shingles.
     windows = windows.select("row", "doc_id", "half", "place", F.array_distinct(F.slice("h", F.col("place") + 1, F.col("half") * 2 - WORDS + 1)).alias("window"))
-    keyed = windows.select("*", F.explode(bands_of(F.col("window"), bands)).alias("b")).select("row", "doc_id", "half", "place", "window", "b.band", "b.value")
-    buckets = known.select("license", "half", F.explode("bands").alias("b")).select("license", "half", "b.band", "b.value")
+    keyed = windows.select("*", F.explode(bands_of(F.col("window"), size)).alias("b")).select("row", "doc_id", "half", "place", "window", "b.band", "b.value")
+    buckets = known.select("license", "half", F.explode(bands_of(F.col("shingles"), size)).alias("b")).select("license", "half", "b.band", "b.value")
     found = keyed.join(F.broadcast(buckets), ["half", "band", "value"]).select("row", "doc_id", "license", "half", "place", "window")
     shared = F.size(F.array_intersect("window", "shingles")) / F.size("shingles")
     checked = found.join(F.broadcast(known.select("license", "shingles")), "license").select("row", "doc_id", "license", "place", shared.alias("containment")).where(F.col("containment") >= least)
