@@ -14,38 +14,43 @@ leave the diagonals |i - j| <= n1 + n2 - 2 m, which bounds the band. As labelled
 k-mers are distinct, the alignment is the longest rising run of positions.
 
 At a similarity of 0.8, a sketch of 4 is shared with probability about 0.4, so 24
-sketches miss a pair with probability about 5e-6, and share fewer than two with
-probability about 8e-5.
+sketches miss a pair with probability about 5e-6. Texts of at most ``short``
+k-mers don't depend on it: they all take part in the exact search below.
 
 Skew: equal texts (after splitting into words) become one class representative
 first, by a minimum, whatever their number. In each key's bucket every text is
 compared with the bucket's representative alone, and classes are formed; the
 representative is the text whose buckets are the largest, a maximum by key, so
-that copies with different edits meet their original. Only buckets that then hold several classes go on: a text that failed a
-representative meets texts of other classes that share two of these buckets with
-it, in a join by both keys, where the distances from the representative leave a
-similarity of ``least`` possible, as the triangle inequality allows. Texts that
-share a frequent passage but little else share one bucket, not two, so they don't
-meet in pairs. No bucket is collected anywhere.
+that copies with different edits meet their original. Buckets that then hold one
+class are done. The texts of the others, which share a frequent passage or lie
+near the threshold, are searched exactly among each other (:func:`unmet`): by
+their rarest k-mers, of which a pair at ``least`` must share one, and by the
+number of k-mers that no other text has, which such a pair can't have many of.
+Pairs of one class aren't formed again. No bucket is collected anywhere.
 
 Defined results: null text is empty text; texts of fewer than k words are one k-mer
 of all their words, so they are near duplicates only of equal ones; empty texts
 are one class; the class id is the smallest id in it; null ids come last. Extra
-columns are ignored by :func:`classes` and kept by :func:`deduplicate`.
+columns are ignored by :func:`classes` and kept by :func:`deduplicate`, whatever
+their names.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import map_rows, materialise
+from galetrack.llm.common import importable, map_rows, materialise
 
 WORDS, LEAST = 5, 0.8
+#: Texts of at most so many k-mers, and partners of theirs, are searched exactly.
+SHORT = 24
 
 
 def labelled(text: str | None, k: int = WORDS) -> np.ndarray:
@@ -167,7 +172,7 @@ def verify(pairs: DataFrame, kmers: DataFrame, least: float) -> DataFrame:
         def step(rows):
             sims = []
             for x, y in zip(rows["ha"], rows["hb"]):
-                p, q = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
+                p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                 sims.append(aligned(p, q, least) or aligned(p, q))
             return {"a": rows["a"], "b": rows["b"], "sim": sims}
 
@@ -195,55 +200,86 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def find(staged: DataFrame, sketches: int = 24, length: int = 4, least: float = LEAST, k: int = WORDS) -> DataFrame:
+def postings(kmers: DataFrame) -> DataFrame:
+    """A row (h, digest) for each k-mer of each text."""
+    importable(kmers.sparkSession)
+    arrow = pa.schema([("h", pa.int64()), ("digest", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for digest, h in zip(b.column(0), b.column(1)):
+                h = np.frombuffer(h.as_py(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([digest.as_py()] * len(h), pa.binary())], schema=arrow)
+
+    return kmers.select("digest", "h").mapInArrow(run, "h long, digest binary")
+
+
+def unmet(texts: DataFrame, kmers: DataFrame, least: float) -> DataFrame:
+    """a and b: the pairs of ``texts`` (digest, n, label) of different labels that may
+    have a similarity of ``least``. No such pair is left out.
+
+    A pair at ``least`` shares at least that part of either text's k-mers. So texts
+    with too many k-mers that no other has can't be in one, and of the n k-mers of a
+    text, the rarest first in an order common to all, one of the first
+    n - ceil(least n) + 1 is among the partner's first ones too. Where a text shares
+    its first common k-mer, it can share no more than that one and those after it.
+    """
+    rows = postings(kmers.join(texts, "digest", "left_semi"))
+    shared = rows.join(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "h")
+    shared = materialise(shared.select("digest", "h", "df"), "omh-shared-kmers")
+    part = F.ceil(F.col("n") * F.lit(least) - 1e-9)
+    held = shared.groupBy("digest").agg(F.count("*").alias("s")).join(texts, "digest").where(F.col("s") >= part)
+    by = Window.partitionBy("digest").orderBy("df", "h")
+    first = shared.join(held, "digest").withColumn("r", F.row_number().over(by)).where(F.col("r") <= F.col("s") - part + 1)
+    # Of a pair's common k-mers the first stands before all others, so r - 1 of the s are not common.
+    first = materialise(first.select("h", "digest", "n", (F.col("s") - F.col("r") + 1).alias("most"), "label"), "omh-rare")
+    mixed = first.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("h")
+    first = first.join(mixed, "h", "left_semi")
+    other = first.select("h", *[F.col(c).alias(f"o_{c}") for c in ("digest", "n", "most", "label")])
+    need = F.lit(least / (1 + least)) * (F.col("n") + F.col("o_n")) - 1e-9
+    met = first.join(other, "h").where((F.col("digest") < F.col("o_digest")) & (F.col("label") != F.col("o_label")) & (F.least("most", "o_most") >= need))
+    return met.select(F.col("digest").alias("a"), F.col("o_digest").alias("b")).distinct()
+
+
+def find(staged: DataFrame, sketches: int = 24, length: int = 4, least: float = LEAST, k: int = WORDS, short: int = SHORT) -> DataFrame:
     """uid, id, digest and the class's least (id, uid) of every staged document."""
     prints = materialise(sketch(staged, sketches, length, k), "omh-sketches")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first")
     nodes = materialise(prints.groupBy("digest").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys")), "omh-nodes")
 
-    rows = nodes.select("digest", "n", F.explode("keys").alias("key"))
+    rows = nodes.select("digest", F.explode("keys").alias("key"))
     counts = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     shared = materialise(rows.join(counts, "key"), "omh-shared")
     # The most central text of a bucket represents it: the one whose buckets are the largest.
     # An original is in the buckets of all its copies, so most of them meet it at once.
     central = shared.groupBy("digest").agg(F.sum("c").alias("weight"))
-    weighed = shared.join(central, "digest").select("key", "digest", "n", "weight")
+    weighed = shared.join(central, "digest").select("key", "digest", "weight")
     heads = weighed.groupBy("key").agg(F.max(F.struct("weight", "digest")).alias("head"))
-    members = weighed.join(heads, "key").select("key", "digest", "n", F.col("head.digest").alias("rep"))
+    members = weighed.join(heads, "key").select("key", "digest", F.col("head.digest").alias("rep"))
     members = materialise(members, "omh-members")
-    involved = members.select("digest").distinct().join(nodes.select("digest", "first.uid"), "digest")
+    # A text of n k-mers has partners of at most n / least.
+    brief = nodes.where((F.col("n") >= 4) & (F.col("n") <= int(short / least))).select("digest")
+    involved = members.select("digest").union(brief).distinct().join(nodes.select("digest", "first.uid"), "digest")
     texts = staged.select(F.col("__uid").alias("uid"), F.col("__text").alias("text")).join(involved, "uid").select("digest", "text")
 
     def make():
         def step(rows):
-            return {"digest": rows["digest"], "h": [(labelled(t, k) >> np.uint64(32)).astype(np.uint32).tobytes() for t in rows["text"]]}
+            return {"digest": rows["digest"], "h": [labelled(t, k).tobytes() for t in rows["text"]]}
 
         return step
 
     kmers = materialise(map_rows(texts, "digest binary, h binary", make), "omh-kmers")
     pairs = members.where("digest != rep").select(F.col("rep").alias("a"), F.col("digest").alias("b")).distinct()
-    met = materialise(verify(pairs, kmers, least), "omh-verified")
-    edges = met.where(F.col("sim") >= least).select("a", "b")
+    edges = materialise(verify(pairs, kmers, least).where(F.col("sim") >= least).select("a", "b"), "omh-verified")
     labels = components(edges)
 
-    # Buckets that hold several classes: those who failed against the other classes.
-    seen = members.join(met.select(F.col("a").alias("rep"), F.col("b").alias("digest"), "sim"), ["rep", "digest"], "left")
-    seen = seen.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("key", "digest", "n", F.coalesce("sim", F.lit(1.0)).alias("sim"), F.coalesce("label", "digest").alias("label"))
-    open_ = seen.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-    seen = seen.join(open_, "key", "left_semi").where("sim < 1.0")
-    # Each text's open buckets, two by two: (key, second key), with the similarity in the first.
-    own = seen.groupBy("digest", "n", "label").agg(F.array_sort(F.collect_list(F.struct("key", "sim"))).alias("open")).where("size(open) > 1")
-    turns = F.flatten(F.transform("open", lambda e, i: F.transform(F.slice("open", i + 2, F.size("open")), lambda f: F.struct(e["key"].alias("key"), f["key"].alias("second"), e["sim"].alias("sim"), F.least(e["sim"], f["sim"]).alias("low")))))
-    seen = materialise(own.select("digest", "n", "label", F.explode(turns).alias("e")).select("digest", "n", "label", "e.*"), "omh-open")
-    failed = seen.where(F.col("low") < least).select("key", "second", *[F.col(c).alias(f"f_{c}") for c in ("digest", "n", "sim", "label", "low")])
-    again = failed.join(seen, ["key", "second"]).where(
-        (F.col("f_label") != F.col("label"))
-        & (F.abs(F.col("f_sim") - F.col("sim")) <= 1 - least + 1e-9)
-        & (F.least("n", "f_n") >= least * F.greatest("n", "f_n"))
-        & ((F.col("low") >= least) | (F.col("f_digest") < F.col("digest")))
-    )
-    again = again.select(F.least("f_digest", "digest").alias("a"), F.greatest("f_digest", "digest").alias("b")).distinct()
-    more = materialise(verify(again, kmers, least).where(F.col("sim") >= least).select("a", "b"), "omh-more")
+    # Buckets that hold several classes, and short texts: exactly.
+    seen = members.select("key", "digest").join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("key", "digest", F.coalesce("label", "digest").alias("label"))
+    several = seen.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
+    left = seen.join(several, "key", "left_semi").select("digest").union(brief).distinct().join(nodes.select("digest", "n"), "digest")
+    left = left.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "n", F.coalesce("label", "digest").alias("label"))
+    left = materialise(left.where("n >= 4"), "omh-open")
+    more = materialise(verify(unmet(left, kmers, least), kmers, least).where(F.col("sim") >= least).select("a", "b"), "omh-more")
     if not more.isEmpty():
         labels = components(edges.union(more))
 
