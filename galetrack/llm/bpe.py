@@ -73,7 +73,7 @@ class Vocabulary:
 class Encoder:
     """Encodes words with a cache; one per task."""
 
-    def __init__(self, vocabulary: Vocabulary, cache_words: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, cache_words: int = 80_000):
         self.v = vocabulary
         self.limit = cache_words
         self.cache: dict[str, tuple[int, str, str]] = {}

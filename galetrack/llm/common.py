@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -15,45 +12,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galetrack.operators.stage import settle, shared_root
+
 #: White space of every word-level contract: `[\x20\x09-\x0D]`.
 SPACE_CLASS = r"\x20\x09-\x0D"
 
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh folder name below the folder that driver and executors share.
+    """A fresh folder name below the folder that driver and executors share."""
+    return f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where it is
-    unset (tests, a single machine) a temporary folder is made and set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jvm_dir.isDefined():
-            root = jvm_dir.get()
-        else:
-            root = tempfile.mkdtemp(prefix="galetrack-")
-            atexit.register(shutil.rmtree, root, True)
-            spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back.
-
-    This cuts the lineage: what follows survives the loss of any executor
-    without repeating the work above.
-    """
-    path = shared_dir(df.sparkSession, tag)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+#: ``materialise(df, tag)``: written once below that folder and read back.
+materialise = settle
 
 
 def importable(spark: SparkSession) -> None:
-    """Readies a session for this package's Python functions: their import, and batches."""
-    # Batches of whole texts: fewer rows than Spark's default, so that they stay small.
+    """Readies a session for this package's Python functions: their import, and batches.
+
+    Where the session has Spark's default of rows in an Arrow batch, it is lowered to
+    ``BATCH_ROWS``: batches hold whole texts. A setting of the user's own stays.
+    """
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) in (None, "10000"):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
@@ -65,15 +44,15 @@ def importable(spark: SparkSession) -> None:
 
 BATCH_ROWS = 2048
 
-#: What this Python worker has built, by token: later tasks find it, caches warm.
+#: What this Python worker has built, with its token: later tasks find it, caches warm.
 _WORKER: dict[str, object] = {}
 
 
 def per_worker(token: str, build: Callable[[], object]):
-    """``build()``, once in each Python worker for a token."""
+    """``build()``, once in each Python worker for a token. Only the last one is kept,
+    so that the models and caches of stages that are over take no memory."""
     if token not in _WORKER:
-        if len(_WORKER) >= 4:
-            _WORKER.clear()
+        _WORKER.clear()
         _WORKER[token] = build()
     return _WORKER[token]
 

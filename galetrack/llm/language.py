@@ -102,23 +102,16 @@ class Model:
         alpha = [-math.inf] * (n + 1)
         alpha[0] = 0.0
         for i, j, piece in arcs:
-            if alpha[i] == -math.inf:
-                continue
-            a, b = alpha[j], alpha[i] + math.log(p[piece])
-            if a < b:
-                a, b = b, a
-            alpha[j] = a + math.log1p(math.exp(b - a))
+            alpha[j] = _log_sum(alpha[j], alpha[i] + math.log(p[piece]))
         return alpha[n]
 
     def expected(self, word: str, language: int, weight: float, into: dict[int, float]) -> None:
-        """Adds the expected counts of pieces in a word, by forward-backward.
-
-        Words too long for plain probabilities teach nothing.
-        """
+        """Adds the expected counts of pieces in a word, by forward-backward."""
         n = len(word) + 1
+        arcs, p = self.lattice.arcs(word), self.p[language]
         if n > LONG_WORD:
+            self._expected_scaled(arcs, n, p, weight, into)
             return
-        arcs, p = self.lattice.arcs(word), self.p[language]
         alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
         alpha[0] = beta[n] = 1.0
         for i, j, piece in arcs:
@@ -129,13 +122,31 @@ class Model:
         for i, j, piece in arcs:
             into[piece] += alpha[i] * p[piece] * beta[j] * scale
 
+    @staticmethod
+    def _expected_scaled(arcs: list[tuple[int, int, int]], n: int, p: list[float], weight: float, into: dict[int, float]) -> None:
+        """The same for long words, in logarithms."""
+        alpha, beta = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
+        alpha[0] = beta[n] = 0.0
+        for i, j, piece in arcs:
+            alpha[j] = _log_sum(alpha[j], alpha[i] + math.log(p[piece]))
+        for i, j, piece in reversed(arcs):
+            beta[i] = _log_sum(beta[i], beta[j] + math.log(p[piece]))
+        for i, j, piece in arcs:
+            into[piece] += weight * math.exp(alpha[i] + math.log(p[piece]) + beta[j] - alpha[n])
+
+
+def _log_sum(a: float, b: float) -> float:
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
 
 class Scorer:
     """Scores texts with a cache of words; one per Python worker."""
 
-    def __init__(self, model: Model, cells: int = 2_000_000):
+    def __init__(self, model: Model, cells: int = 400_000):
         self.model = model
-        self.limit = max(1000, min(400_000, cells // max(1, len(model.languages))))
+        self.limit = max(1000, min(80_000, cells // max(1, len(model.languages))))
         self.reset()
 
     def reset(self) -> None:
@@ -155,11 +166,13 @@ class Scorer:
         words = LETTERS.findall(text.lower()) if text else []
         if not words or not self.model.languages:
             return UNDETERMINED, 0.0
-        if len(self.index) + len(words) > self.limit:
-            self.reset()
-        index, add = self.index, self.add
-        at = [index[w] if w in index else add(w) for w in words]
-        logs = self.rows[at].sum(axis=0) + self.model.priors
+        logs, index, add = np.array(self.model.priors), self.index, self.add
+        for a in range(0, len(words), 500):
+            if len(index) + 500 > self.limit:
+                self.reset()
+                index = self.index
+            at = [index[w] if w in index else add(w) for w in words[a : a + 500]]
+            logs += self.rows[at].sum(axis=0)
         best = int(np.argmax(logs))
         return self.model.languages[best], float(1.0 / np.exp(logs - logs[best]).sum())
 
@@ -227,7 +240,7 @@ def train(
 
         counts: dict[str, dict[int, float]] = defaultdict(dict)
         expected = map_rows(words, "lang string, piece int, n double", make, rows=1 << 16)
-        for r in expected.groupBy("lang", "piece").agg(F.sum("n").alias("n")).where("n > 1e-3").collect():
+        for r in expected.groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect():
             counts[r["lang"]][r["piece"]] = r["n"]
         model = Model(languages, pieces, priors, dict(counts))
     return model

@@ -4,7 +4,9 @@ Features of a whole text: densities and counts of two lexicons (a fixed list, an
 words that the labelled sample shows to mark toxic texts), how near second-person
 words stand to lexicon words, shares of capitals, digits and punctuation, and the
 rate of obfuscated words. Trees are boosted on the logistic loss; an isotonic
-regression on rows kept apart turns their output into probabilities.
+regression turns their output into probabilities. It is fitted on margins of all
+labelled rows, each from trees (and a learned lexicon) that didn't see its part of
+the sample, so that few labels are enough.
 
 Defined results: null text counts as empty; empty texts get the score that the
 trees give to all-zero features; without any label, or with labels of one class
@@ -15,7 +17,6 @@ repeated results. Extra columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, importable, map_rows, new_token, per_worker
+from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker
 
 #: Common insults, in natural order.
 INSULTS = """
@@ -58,7 +59,7 @@ THREE = re.compile(r"(.)\1\1")
 class Features:
     """Dense features of texts, with a cache of words; one per Python worker."""
 
-    def __init__(self, insults: list[str], learned: list[str], cache_words: int = 300_000):
+    def __init__(self, insults: list[str], learned: list[str], cache_words: int = 60_000):
         self.insults, self.learned, self.limit = frozenset(insults), frozenset(learned), cache_words
         self.person = frozenset(SECOND_PERSON)
         self.cache: dict[str, int] = {}
@@ -200,27 +201,33 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Features, trees and calibration."""
 
-    def __init__(self, insults: list[str]):
-        self.insults, self.learned = list(insults), []
+    def __init__(self, insults: list[str], learned: list[str]):
+        self.insults, self.learned = list(insults), list(learned)
         self.trees, self.curve = Trees(), (np.array([]), np.array([]))
 
-    def fit(self, texts: list[str], y: np.ndarray, aside: np.ndarray) -> Model:
-        """``aside``: rows for the calibration, which the trees don't see."""
-        if len(texts) == 0 or y.min() == y.max():
+    def fit(self, x: list[np.ndarray], y: np.ndarray, part: np.ndarray) -> Model:
+        """Trees on all rows, calibrated on margins that the other parts' trees give each part.
+
+        ``x[p]`` holds all rows' features under the lexicon of the parts other than
+        ``p``; the last one those under the lexicon of all.
+        """
+        if len(y) == 0 or y.min() == y.max():
             share = float(y.mean()) if len(y) else 0.5
             self.curve = (np.array([0.0]), np.array([share]))
             return self
-        self.learned = learned_lexicon([t for t, a in zip(texts, aside) if not a], y[~aside])
-        maker = Features(self.insults, self.learned)
-        x = np.array([maker.of(t) for t in texts])
-        inner = ~aside if len(set(y[~aside])) == 2 else np.ones(len(y), bool)
-        self.trees.fit(x[inner], y[inner])
-        held = aside if len(set(y[aside])) == 2 else np.ones(len(y), bool)
-        self.curve = isotonic(self.trees.margin(x[held]), y[held])
+        # A leaf may hold as few rows as an eighth of the rarer class has.
+        least = min(8.0, max(2.0, min(y.sum(), len(y) - y.sum()) / 8))
+        self.trees = Trees(least=least).fit(x[-1], y)
+        margins = self.trees.margin(x[-1])
+        for p in range(len(x) - 1):
+            own = part == p
+            if own.any() and len(set(y[~own])) == 2:
+                margins[own] = Trees(least=least).fit(x[p][~own], y[~own]).margin(x[p][own])
+        self.curve = isotonic(margins, y)
         return self
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Calibrated probabilities, linear between the middles of the pools."""
+        """Calibrated probabilities: the pools' means."""
         ends, means = self.curve
         if len(means) < 2:
             return np.full(len(x), float(means[0]) if len(means) else 0.5)
@@ -230,36 +237,73 @@ class Model:
         return np.clip(means[pool] + 1e-6 / (1 + np.exp(-m)) * (1 - 2 * means[pool]), 0, 1)
 
 
-def learned_lexicon(texts: list[str], y: np.ndarray, most: int = 100, least: int = 4, lift: float = 3.0) -> list[str]:
-    """Words whose document frequency marks toxic texts, by smoothed odds."""
-    bad: Counter = Counter()
-    good: Counter = Counter()
-    for text, label in zip(texts, y):
-        (bad if label else good).update({w for r in text.lower().split() if (w := r.strip(TRIM)).isalpha()})
-    nb, ng = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
-    odds = {w: (n / nb) / ((good[w] + 0.5) / ng) for w, n in bad.items() if n >= max(least, 0.01 * nb)}
-    return sorted((w for w, o in odds.items() if o >= lift), key=lambda w: (-odds[w], w))[:most]
+def learned_lexicons(sample: DataFrame, parts: int, most: int = 100, least: int = 4, lift: float = 3.0) -> list[list[str]]:
+    """Words whose document frequency marks toxic texts, by smoothed odds: without each part, and of all.
+
+    ``sample`` has text, toxic (0 or 1) and part. Documents are counted on the
+    executors; at most ``most`` words a list come to the driver.
+    """
 
+    def make():
+        def step(rows):
+            out = []
+            for text, toxic, part in zip(rows["text"], rows["toxic"], rows["part"]):
+                words = {r.strip(TRIM) for r in text.lower().split()}
+                out += [(w, toxic, part) for w in words if w.isalpha()]
+            return {c: [o[i] for o in out] for i, c in enumerate(("word", "toxic", "part"))}
+
+        return step
 
-def train(docs: DataFrame, labels: DataFrame, where=None, max_rows: int = 6000, insults: list[str] = INSULTS) -> Model:
+    found = map_rows(sample.select("text", "toxic", "part"), "word string, toxic int, part int", make)
+    bad, good = F.col("toxic") == 1, F.col("toxic") == 0
+    sizes = {(r["part"], r["toxic"]): r["n"] for r in sample.groupBy("part", "toxic").agg(F.count("*").alias("n")).collect()}
+    held = [*range(parts), None]
+    other = [F.lit(True) if p is None else F.col("part") != p for p in held]
+    counts = found.groupBy("word").agg(*[F.count_if(which & o).alias(f"{n}{i}") for i, o in enumerate(other) for n, which in (("b", bad), ("g", good))])
+    counts = materialise(counts.where(F.col(f"b{parts}") >= least), "toxicity-words")
+    out = []
+    for i, p in enumerate(held):
+        nb, ng = (max(1, sum(n for (q, t), n in sizes.items() if q != p and t == label)) for label in (1, 0))
+        odds = (F.col(f"b{i}") / nb) / ((F.col(f"g{i}") + 0.5) / ng)
+        words = counts.where((F.col(f"b{i}") >= max(least, 0.01 * nb)) & (odds >= lift)).orderBy(odds.desc(), "word").limit(most)
+        out.append([r["word"] for r in words.select("word").collect()])
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, where=None, max_rows: int = 6000, insults: list[str] = INSULTS, parts: int = 4) -> Model:
     """A model from labelled documents, joined by doc_id.
 
-    ``max_rows`` bounds the sample that comes to the driver, chosen by a hash of
-    the id; ``where`` filters the documents that may be learned from.
+    ``max_rows`` bounds the sample, chosen by a hash of the id, and the rows whose
+    features come to the driver (numbers only; repeated ids can't exceed it).
+    ``where`` filters the documents that may be learned from.
     """
     rows = docs if where is None else docs.where(where)
-    rows = rows.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"))
-    marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = rows.where("doc_id is not null").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     hashed = F.xxhash64(F.col("doc_id"), F.lit("toxicity"))
     n = marks.count()
     if n > max_rows:
         share = max_rows / n
         marks = marks.where(hashed <= int(-(1 << 63) + share * (1 << 64)))
-    sample = rows.join(F.broadcast(marks), "doc_id").select("doc_id", "text", "toxic")
-    got = sorted(((r["doc_id"], r["text"] or "", r["toxic"]) for r in sample.toLocalIterator()), key=lambda r: (r[0], r[1]))
-    y = np.array([float(r[2] > 0) for r in got])
-    aside = np.arange(len(got)) % 4 == 3
-    return Model(insults).fit([r[1] for r in got], y, aside)
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(parts)).cast("int")
+    sample = materialise(rows.join(F.broadcast(marks), "doc_id").select("doc_id", "text", "toxic", part.alias("part")), "toxicity-sample")
+    lexicons = learned_lexicons(sample, parts)
+    held = docs.sparkSession.sparkContext.broadcast((insults, lexicons))
+
+    def make():
+        insults, lexicons = held.value
+        makers = [Features(insults, words) for words in lexicons]
+
+        def step(rows):
+            return {c: rows[c] for c in ("doc_id", "h", "toxic", "part")} | {"x": [[v for m in makers for v in m.of(t)] for t in rows["text"]]}
+
+        return step
+
+    numbers = map_rows(sample.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("h"), "toxic", "part", "text"), "doc_id string, h long, toxic int, part int, x array<double>", make, rows=64)
+    got = numbers.orderBy(F.xxhash64("doc_id"), "h").limit(max_rows + max_rows // 4).collect()
+    x = np.array([r["x"] for r in got]).reshape(len(got), parts + 1, len(FEATURES))
+    y, at = np.array([float(r["toxic"]) for r in got]), np.array([r["part"] for r in got], dtype=int)
+    return Model(insults, lexicons[-1]).fit([x[:, i] for i in range(parts + 1)], y, at)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
