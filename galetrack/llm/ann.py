@@ -12,9 +12,12 @@ Largest inner product is turned into smallest angle by one more coordinate,
 sqrt(M^2 - |x|^2) with M the largest norm, which queries have as 0.
 
 The index is dealt into shards of bounded size by a hash of the id (no key can be
-hot); the stated queries visit every shard in blocks, and only the best of each
-(query, shard) go on. The radius is learned on the sample: the smallest that
-holds ``recall`` of the sample's true neighbours.
+hot) and the stated queries into blocks; each task holds one shard and one block,
+and only the best of each (query, shard) go on. A substring's buckets are probed by
+looking up all values within the distance, or by comparing the shard's own distinct
+values where those are fewer. The radius is learned on the sample: the smallest that
+holds ``recall`` of the sample's true neighbours. Inner products are added up in the
+order of the components, so equal vectors have equal scores wherever they lie.
 
 Defined results: vectors that are null, zero, of another length than the most
 frequent, or that hold null or non-finite components take no part; ties go to the
@@ -25,9 +28,11 @@ their own, except that no row with the query's id is its candidate.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galetrack.llm.common import importable, materialise
@@ -77,6 +82,20 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(b ^ a).sum(axis=1, dtype=np.int64)
 
 
+def masks(radius: int) -> np.ndarray:
+    """All 16-bit values of at most ``radius`` set bits."""
+    every = np.arange(1 << SUBSTRING, dtype=np.uint32).astype(np.uint16)
+    return every[np.bitwise_count(every) <= radius]
+
+
+def products(x: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Inner products of rows with a vector, each summed component by component."""
+    out = np.zeros(len(x))
+    for column, v in zip(x.T, vector):
+        out += column * v
+    return out
+
+
 class MultiIndex:
     """The substrings of a shard's codes, each with its buckets."""
 
@@ -90,10 +109,16 @@ class MultiIndex:
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose codes lie within ``radius``: every one, by pigeonhole probing."""
-        near = radius // len(self.tables)
+        near = min(SUBSTRING, radius // len(self.tables))
+        probes = masks(near) if sum(math.comb(SUBSTRING, i) for i in range(near + 1)) < len(self.codes) else None
         found = np.zeros(len(self.codes), dtype=bool)
         for part, (order, values, ends) in zip(code, self.tables):
-            hit = np.flatnonzero(np.bitwise_count(values ^ part) <= near)
+            if probes is not None and len(probes) < len(values):
+                wanted = probes ^ part
+                at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+                hit = at[values[at] == wanted]
+            else:
+                hit = np.flatnonzero(np.bitwise_count(values ^ part) <= near)
             if len(hit) == len(values):
                 found[:] = True
                 break
@@ -128,8 +153,7 @@ def best_in_shard(coder: Coder, radius: int, k: int, ids: np.ndarray, x: np.ndar
         if len(rows) < k:
             others = np.flatnonzero(ids != query_id)
             rows = others[np.argsort(distances(code, index.codes[others]), kind="stable")[:k]]
-        score = x[rows] @ vector
-        # Exactly summed scores are not needed: the same order of terms gives the same score.
+        score = products(x[rows], vector)
         order = np.lexsort((ids[rows], -score))[:k]
         out += [(int(query_id), int(ids[r]), float(s)) for r, s in zip(rows[order], score[order])]
     return out
@@ -148,7 +172,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
     """query_id, rank, vec_id and score: each query row's k nearest other vectors.
 
     ``queries`` is a condition on vec_id. ``sample_rows`` bounds what is learned
-    from; every row is indexed.
+    from; every row is indexed. A task holds about ``shard_rows`` vectors and
+    ``query_block`` queries; work and shuffle grow with queries times vectors.
     """
     spark = vectors.sparkSession
     importable(spark)
@@ -167,8 +192,11 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
     held = spark.sparkContext.broadcast((coder, radius))
 
     shards = max(1, -(-sizes["n"] // shard_rows))
-    indexed = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    asked = rows.where(queries).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    wanted = rows.where(queries)
+    blocks = max(1, -(-wanted.count() // query_block))
+    shard, block = F.pmod(F.xxhash64("vec_id", "x"), F.lit(shards)).cast("int"), F.pmod(F.xxhash64("vec_id", "x", F.lit("block")), F.lit(blocks)).cast("int")
+    indexed = rows.select("vec_id", "x", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    asked = wanted.select("vec_id", "x", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"))
 
     def probe(index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         coder, radius = held.value
@@ -176,13 +204,10 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
         if len(index) and len(asked):
             ids, x = index["vec_id"].to_numpy(), np.stack(index["x"].to_numpy())
             built = MultiIndex(coder.codes(x))
-            for a in range(0, len(asked), query_block):
-                part = asked.iloc[a : a + query_block]
-                out += best_in_shard(coder, radius, k, ids, x, built, part["vec_id"].to_numpy(), np.stack(part["x"].to_numpy()))
+            out = best_in_shard(coder, radius, k, ids, x, built, asked["vec_id"].to_numpy(), np.stack(asked["x"].to_numpy()))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = indexed.groupBy("shard").cogroup(asked.groupBy("shard")).applyInPandas(probe, "query_id long, vec_id long, score double")
-    from pyspark.sql import Window
-
+    key = ("shard", "block")
+    found = indexed.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(probe, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

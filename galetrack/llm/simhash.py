@@ -12,7 +12,7 @@ distance. Equal fingerprints are first reduced to one.
 
 Defined results: null text is empty text; a text without words has fingerprint 0;
 likeness is 1 - distance / 64, so two empty texts have likeness 1. Equal texts
-have equal fingerprints. Rows with equal ids are ordered by their text.
+have equal fingerprints. Rows with equal ids are ordered by a hash of their text.
 """
 
 from __future__ import annotations
@@ -140,6 +140,26 @@ def near_fingerprints(prints: DataFrame, radius: int = 3, blocks: int | None = N
     return pairs.select("left", "right", distance.alias("distance")).where(F.col("distance") <= radius).distinct()
 
 
+def count_near(prints: DataFrame, queries: DataFrame, radius: int = 3, blocks: int | None = None) -> DataFrame:
+    """fingerprint and near_count of each query: how many rows of ``prints`` lie within ``radius``.
+
+    Both have a signed column ``fingerprint``. Equal ones are counted first; queries
+    meet the rest through the permuted block tables.
+    """
+    blocks = radius + 2 if blocks is None else blocks
+    masks, keys = block_masks(blocks), []
+    for t, chosen in enumerate(tables(radius, blocks)):
+        mask = sum(masks[b] for b in chosen)
+        keys.append(F.struct(F.lit(t).alias("table"), F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)).alias("key")))
+    explode = F.explode(F.array(*keys)).alias("k")
+    held = prints.where("fingerprint is not null").groupBy(F.col("fingerprint").alias("fp")).agg(F.count("*").alias("n"))
+    held = held.select("fp", "n", explode).select("fp", "n", "k.table", "k.key")
+    asked = queries.where("fingerprint is not null").select(F.col("fingerprint").alias("fp")).distinct()
+    asked = asked.select("fp", explode).select(F.col("fp").alias("q"), "k.table", "k.key")
+    met = asked.join(held, ["table", "key"]).where(F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius)
+    return met.select("q", "fp", "n").distinct().groupBy(F.col("q").alias("fingerprint")).agg(F.sum("n").alias("near_count"))
+
+
 def edited(text: str, following: str) -> str:
     """The last floor(n / 2) code points replaced by the first as many of the next text."""
     half = len(text) // 2
@@ -159,20 +179,27 @@ SUCCESSOR_SCHEMA = (
 )
 
 
-def compare_with_next(docs: DataFrame, rows_per_partition: int = 8192) -> DataFrame:
+def compare_with_next(docs: DataFrame, rows_per_partition: int = 8192, queries=None, radius: int = 3) -> DataFrame:
     """Each document's fingerprint against its edited text's and the next document's.
 
-    Documents are dealt by ranges of the id and sorted, so that a document's
-    successor is the next row of the stream. Only the two ends of a partition
-    wait: its first and last row are kept aside with their texts and matched in
-    one small window, two rows for each partition.
+    Documents are dealt by ranges of the id (and a hash of the text, so that one id
+    of very many rows is split) and sorted, so that a document's successor is the
+    next row of the stream. Only the two ends of a partition wait: its last row is
+    joined with the first one of the next partition by the partitions' numbers.
+
+    ``queries`` is a condition on doc_id: documents that meet it also get
+    ``near_count``, the number of documents whose fingerprint lies within
+    ``radius`` (their own included), found through the permuted block tables; it is
+    null for the others.
     """
     spark = docs.sparkSession
     importable(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     count = source.count()
     parts = max(1, -(-count // rows_per_partition))
-    dealt = source.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    dealt = source.withColumn("h", F.xxhash64("text"))
+    order = (F.col("doc_id").asc_nulls_first(), F.col("h"))
+    dealt = dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text").select("doc_id", "text")
     schema = spark.createDataFrame([], SUCCESSOR_SCHEMA).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -209,18 +236,29 @@ def compare_with_next(docs: DataFrame, rows_per_partition: int = 8192) -> DataFr
     found = materialise(dealt.mapInArrow(run, schema), "fingerprints")
     columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     inner = found.where("edge is null").select(*columns)
-    return inner.unionByName(_ends(found.where("edge is not null")).select(*columns))
+    rows = inner.unionByName(_ends(found.where("edge is not null")).select(*columns))
+    if queries is None:
+        return rows
+    # Every document's own fingerprint: all rows but the marks of first rows, which stand twice.
+    signed = F.conv("fingerprint", 16, -10).cast("long").alias("fingerprint")
+    own = found.where("edge is null or edge = 'last'").select("doc_id", signed)
+    near = count_near(own, own.where(queries), radius).select(F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "near_count")
+    asked = rows.where(queries).join(near, "fingerprint", "left").select(*columns, "near_count")
+    return asked.unionByName(rows.where(~F.coalesce(queries, F.lit(False))).withColumn("near_count", F.lit(None).cast("long")))
 
 
 def _ends(edges: DataFrame) -> DataFrame:
-    """The last document of each partition against the first of the next one.
+    """The last document of each partition against the first of the next one that has rows.
 
-    In the order (part, edge) the row after a "last" is the next partition's
-    "first"; the last of all goes with the first of all.
+    Partitions are numbered by a narrow table of their own numbers; the last of all
+    goes with the first of all.
     """
-    order = Window.partitionBy(F.lit(0)).orderBy("part", "edge")
-    near = {n: F.coalesce(F.lead(c).over(order), F.first(c).over(order)).alias(n) for n, c in (("next_text", "text"), ("next_fp", "fingerprint"))}
-    pairs = edges.select("doc_id", "text", "fingerprint", "edge", *near.values()).where("edge = 'last'").drop("edge")
+    by = Window.partitionBy(F.lit(0)).orderBy("part")
+    every = Window.partitionBy(F.lit(0))
+    numbers = edges.where("edge = 'first'").select("part").withColumn("following", F.coalesce(F.lead("part").over(by), F.min("part").over(every)))
+    first = edges.where("edge = 'first'").select(F.col("part").alias("following"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fp"))
+    last = edges.where("edge = 'last'").select("doc_id", "text", "fingerprint", "part")
+    pairs = last.join(numbers, "part").join(first, "following").select("doc_id", "text", "fingerprint", "next_text", "next_fp")
 
     def make():
         prints = per_worker("simhash", Fingerprints)

@@ -30,14 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import importable, map_rows, shared_dir
+from galetrack.llm.common import importable, map_rows, materialise, shared_dir
 
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
 CRLF = b"\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Pages carry no time: a page's is this many seconds after the epoch, plus its id.
-FIRST_SECOND = 1_600_000_000
+#: Pages carry no time: a page's is this many seconds after the epoch, plus its id
+#: (modulo ``SPAN``, which keeps years at four digits).
+FIRST_SECOND, SPAN = 1_600_000_000, 4_000_000_000
 
 
 def digest(payload: bytes) -> str:
@@ -146,13 +147,13 @@ def plan(pages: DataFrame) -> DataFrame:
             payloads = [h.encode("utf-8", "replace") for h in rows["html"]]
             return {
                 "page_id": rows["page_id"], "url": rows["url"], "html": rows["html"],
-                "digest": [digest(p) for p in payloads], "payload_bytes": [len(p) for p in payloads], "urlkey": [url_key(u) for u in rows["url"]],
+                "digest": [digest(p) for p in payloads], "payload_bytes": [len(p) for p in payloads], "urlkey": [url_key(one_line(u)) for u in rows["url"]],
             }
 
         return step
 
     marked = map_rows(source, "page_id long, url string, html string, digest string, payload_bytes long, urlkey string", make)
-    ts = F.lit(FIRST_SECOND) + F.coalesce(F.col("page_id"), F.lit(0))
+    ts = F.lit(FIRST_SECOND) + F.coalesce(F.pmod("page_id", F.lit(SPAN)), F.lit(0))
     return marked.withColumn("ts", ts)
 
 
@@ -163,6 +164,8 @@ def decide(keyed: DataFrame, least: int = 0) -> DataFrame:
     maximum, so a payload of very many copies is reduced before the shuffle.
     """
     best = keyed.groupBy("digest").agg(F.max(F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("page_id"), "row")).alias("best"))
+    # Written, so that both sides of the join are plain shuffles, which Spark splits at a very common payload.
+    best = materialise(best, "warc-responses")
     joined = keyed.join(best, "digest")
     revisit = (F.col("payload_bytes") >= least) & (F.col("row") != F.col("best.row"))
     refers = F.when(revisit & (F.col("best.page_id") != -(1 << 63)), F.col("best.page_id"))
@@ -178,7 +181,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_arch
     spark = pages.sparkSession
     # The rows, once: their order numbers stay as written.
     staged = shared_dir(spark, "warc-pages")
-    plan(pages).withColumn("row", F.monotonically_increasing_id()).write.parquet(staged)
+    plan(pages).withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(staged)
     rows = spark.read.parquet(staged)
     kinds = decide(rows.select("page_id", "digest", "payload_bytes", "row"), least)
     joined = rows.join(kinds, "row").sortWithinPartitions("urlkey", "ts", "page_id", "row")
@@ -209,6 +212,7 @@ def read_archives(spark, path: str) -> DataFrame:
             out = []
             for name, content in zip(rows["path"], rows["content"]):
                 data = zlib.decompress(content, 31) if content[:2] == b"\x1f\x8b" else content
+                last = None
                 for offset, length, headers, block in read_records(data):
                     page_id = headers["WARC-Record-ID"][len("<urn:page:") : -1]
                     kind, sha = headers["WARC-Type"], headers["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -217,7 +221,11 @@ def read_archives(spark, path: str) -> DataFrame:
                     if kind == "response" and (len(payload) != size or digest(payload) != sha):
                         raise ValueError(f"{name}: the payload at byte {offset} doesn't match its digest")
                     refers = headers.get("WARC-Refers-To", "<urn:page:>")[len("<urn:page:") : -1]
-                    out.append((int(page_id) if page_id else None, url_key(headers["WARC-Target-URI"]), headers["WARC-Date"], size, sha, kind, int(refers) if refers else None, name, offset, length))
+                    place = (url_key(headers["WARC-Target-URI"]), headers["WARC-Date"])
+                    if last is not None and place < last:
+                        raise ValueError(f"{name}: the run falls at byte {offset}")
+                    last = place
+                    out.append((int(page_id) if page_id else None, *place, size, sha, kind, int(refers) if refers else None, name, offset, length))
             names = ("page_id", "urlkey", "date", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset", "length")
             return {n: [o[i] for o in out] for i, n in enumerate(names)}
 
