@@ -1,38 +1,38 @@
 """Language-model scores by prediction by partial matching (PPM).
 
-A trie of byte contexts up to an order predicts each byte of a word: the longest
-context seen in training gives the byte's probability if it saw the byte, else an
-escape probability, and the next shorter context goes on without the bytes that
-the longer one had seen (symbol exclusion). Escapes follow method D: with T
-occurrences of D distinct bytes, a byte seen c times has (2c - 1) / 2T, an escape
-D / 2T. Below the empty context all bytes left are equally likely.
-
-A context is the part of the word before the byte, with a mark for the word's
-start; a word ends with a space. Contexts that reach the word's start, or have the
-full order, count occurrences; shorter ones count distinct words, as they only
-predict what the longer ones have not seen.
-
-Above the bytes stand two longer contexts. The most frequent words and the text's
-end are symbols of their own, with discounted counts; the rest escapes to the
-bytes (whose counts hold a frequent word once). And a deterministic context of the
-two words before, if the same text had it already, predicts the word that followed
-then, with a confidence learned along the text. All of this is one proper
-distribution over texts; the score is the log10 of a text's probability.
+A trie of byte contexts predicts each byte of a text from the ``ORDER`` bytes before
+it: the longest context seen in training gives the byte's probability if it saw the
+byte, else an escape probability, and the next shorter context goes on without the
+bytes that the longer one had seen (symbol exclusion). With T occurrences of D
+distinct bytes, a byte seen c times has (c - d) / T and an escape d D / T; the
+discount d is estimated for each order from the numbers of bytes in context that
+occur once and twice, n1 / (n1 + 2 n2). Below the empty context all bytes left are
+equally likely.
+
+A text is its words with one space between them, ``ORDER`` start marks before and an
+end mark behind, so contexts run over the spaces from word to word and every byte has
+a context of full order. Contexts of full order count occurrences; a shorter one
+counts the distinct contexts one byte longer in which its byte occurred, as it only
+predicts what those have not seen. All of this is one proper distribution over texts;
+the score is the log10 of a text's probability.
 
 Two forms: :func:`score_documents` with a trie pretrained on the training
 documents, and :func:`adaptive_bits`, which learns each document as it reads it.
 
 The model is two written tables, however large: the trie's (context, byte) pairs and
-the words with their counts. The contexts of a byte all end alike, so the pairs are
+the words with their counts (for the base score). Each task adds up the pairs of its
+texts before the shuffle; the pairs of shorter contexts follow from those of the next
+longer ones. The contexts that a byte falls back to all end alike, so the pairs are
 dealt into shards by the last two bytes of their context; with the pairs of order 0
-and 1 (65,792 at most) a shard gives the probabilities of its bytes. A word's is
-their product, found once for each distinct word, and joined to the texts. What is
-broadcast only spares joins and changes no result: at most about ``max_entries``
-bytes in context, the ones that most words use, and ``hot_words`` words.
+and 1 (65,792 at most) a shard gives the log-probability of each of its pairs. A
+text's score is the sum over its bytes. What is broadcast only spares joins and
+changes no result: at most about ``max_entries`` pairs, the most used, and
+``hot_words`` words; what a text has of the others is joined to it.
 
 Defined results: null text is empty text, which is one token, its end; without
 training documents the base score is that of one unseen type and every byte is
-equally likely; rows with equal or null ids are scored by themselves.
+equally likely; rows with equal or null ids are scored by themselves; texts of any
+length are scored whole, in pieces of a bounded size.
 """
 
 from __future__ import annotations
@@ -46,14 +46,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker
+from galetrack.llm.common import fold, importable, materialise, new_token, per_worker
 
-START, END_WORD = 9, 32
-#: What a frequent word's count gives to the escape.
-DISCOUNT = 0.75
+START, END = 9, 10
 ORDER = 5
 #: Bits that hold a context's bytes and the predicted byte; the order stands above.
 SHIFT = 56
+#: Bytes of a text that are looked at together.
+PIECE = 1 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -61,16 +61,18 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def positions(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words as one buffer of bytes, each byte's place in its word, and its word.
+def stream(words: list[bytes], order: int = ORDER) -> bytes:
+    """A text's bytes between its start marks and its end mark."""
+    return b"\t" * order + b" ".join(words) + b"\n"
 
-    A word is its start mark, its bytes and a space.
-    """
-    buffer = np.frombuffer(b"".join([b"\t" + w + b" " for w in words]), dtype=np.uint8)
-    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
-    word = np.repeat(np.arange(len(words)), sizes)
-    place = np.arange(len(buffer)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return buffer, place, word
+
+def full_codes(data: bytes, order: int = ORDER) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of joined streams, piece by piece: the piece's start, the places in it of all
+    bytes but start marks, and their (context, byte) codes of full order."""
+    buffer = np.frombuffer(data, dtype=np.uint8)
+    for a in range(0, len(buffer), PIECE):
+        at = np.flatnonzero(buffer[a : a + PIECE] != START)
+        yield a, at, codes(buffer, order, at + a)
 
 
 def codes(buffer: np.ndarray, order: int, at: np.ndarray) -> np.ndarray:
@@ -81,18 +83,6 @@ def codes(buffer: np.ndarray, order: int, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def context_counts(words: list[bytes], counts: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (order, context, byte) codes of words and their counts."""
-    buffer, place, word = positions(words)
-    found, weights = [], []
-    for o in range(order + 1):
-        at = np.flatnonzero(place >= max(1, o))
-        full = (place[at] == o) | (o == order)
-        found.append(codes(buffer, o, at))
-        weights.append(np.where(full, counts[word[at]], 1))
-    return _summed(np.concatenate(found), np.concatenate(weights))
-
-
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return keys, weights
@@ -102,22 +92,16 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[first], np.add.reduceat(weights, first)
 
 
-def longest(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """The (order, context, byte) code of each byte's longest context, and the byte's word."""
-    buffer, place, word = positions(words)
-    at = np.flatnonzero(place >= 1)
-    o = np.minimum(place[at], order)
-    out = o << SHIFT
-    for back in range(order + 1):
-        out |= np.where(back <= o, buffer[np.maximum(at - back, 0)].astype(np.int64) << (8 * back), 0)
-    return out, word[at]
+def discount(n1: float, n2: float) -> float:
+    """From how many counts are 1 and 2; within bounds that keep all probabilities positive."""
+    return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
 
 class Trie:
-    """A trie of contexts as sorted arrays."""
+    """A trie of contexts as sorted arrays. ``discounts``: one for each order."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int = ORDER):
-        self.order = order
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, discounts: list[float], order: int = ORDER):
+        self.order, self.discounts = order, discounts
         self.keys, self.counts = _summed(keys.astype(np.int64), counts.astype(np.int64))
         context = self.keys >> 8
         first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(context) else np.array([], dtype=np.int64)
@@ -149,15 +133,6 @@ class Trie:
         o = contexts >> (SHIFT - 8)
         return np.where(o > 0, ((o - 1) << (SHIFT - 8)) | (contexts & ((np.int64(1) << np.maximum(8 * (o - 1), 0)) - 1)), -1)
 
-    def logs(self, words: list[bytes]) -> np.ndarray:
-        """Natural log-probability of each word with its end."""
-        if not words:
-            return np.zeros(0)
-        buffer, place, word = positions(words)
-        at = np.flatnonzero(place >= 1)
-        got = self._places(buffer, at, place[at])
-        return np.bincount(word[at], got, len(words))
-
     def key_logs(self, keys: np.ndarray) -> np.ndarray:
         """Natural log-probability of each code's byte, from the code's context down."""
         wide = self.order + 1
@@ -181,10 +156,10 @@ class Trie:
             distinct = np.where(below, self.left_distinct[child[here]], self.distinct[ctx] if len(ctx) else 0) if len(self.contexts) else np.zeros(len(here))
             if seen.any():
                 c = self.counts[entry[seen]]
-                out[here[seen]] += np.log((2 * c - 1) / (2 * np.maximum(total[seen], c)))
+                out[here[seen]] += np.log((c - self.discounts[o]) / np.maximum(total[seen], c))
             missed = has & ~seen
             escape = missed & (distinct > 0) & (total > 0)
-            out[here[escape]] += np.log(distinct[escape] / (2 * total[escape]))
+            out[here[escape]] += np.log(self.discounts[o] * distinct[escape] / total[escape])
             child[here[missed]] = ctx[missed]
             child[here[~has]] = -1
             done = np.zeros(len(at), dtype=bool)
@@ -226,74 +201,6 @@ def adaptive_bits(text: str | None, order: int = ORDER) -> float:
     return bits
 
 
-def matches(words: list[bytes]) -> tuple[float, list[int], list[float]]:
-    """What the deterministic context of two words changes in a text.
-
-    A context that the text had already predicts the word after it with confidence
-    c = (hits + 0.2) / (tries + 1). Given are the sum of log(1 - c) over wrong
-    predictions, and the places and confidences of right ones, where a word of
-    probability p has c + (1 - c) p.
-    """
-    out, places, confidences = 0.0, [], []
-    if len(words) < 4:
-        return out, places, confidences
-    last: dict[tuple[bytes, bytes], bytes] = {}
-    hits, tries = 0.2, 1.0
-    for i, (context, word) in enumerate(zip(zip(words, words[1:]), words[2:]), 2):
-        guess = last.get(context)
-        if guess is not None:
-            if guess == word:
-                places.append(i)
-                confidences.append(hits / tries)
-                hits += 1
-                tries += 1
-                continue
-            out += math.log(1 - hits / tries)
-            tries += 1
-        last[context] = word
-    return out, places, confidences
-
-
-class Model:
-    """The corpus's sums, all words' counts and log-probabilities as a table, and the hot words'."""
-
-    def __init__(self, words: DataFrame, hot: list[tuple[bytes, int, float]], documents: int, tokens: int, types: int):
-        self.words, self.documents, self.tokens, self.types = words, documents, tokens, types
-        self.hot = [w for w, _, _ in hot], np.array([n for _, n, _ in hot], dtype=np.int64), np.array([v for _, _, v in hot], dtype=np.float64)
-
-
-class Scorer:
-    """The hot words ready for texts; one per Python worker."""
-
-    def __init__(self, hot: tuple[list[bytes], np.ndarray, np.ndarray], documents: int, tokens: int):
-        self.index = {w: i for i, w in enumerate(hot[0])}
-        self.known, self.logs = np.log10(hot[1] + 1.0), hot[2]
-        self.end = math.log((documents + 1) / (tokens + 2))
-        self.end_known, self.documents = math.log10(documents + 1), documents
-
-    def of(self, texts: list[str | None]) -> tuple[list[tuple], list[tuple[int, bytes, int, list[float]]]]:
-        """For each text (tokens, known, sum of log10(c + 1), log score), the last three
-        without the other words; and their (text, word, times, confidences of the
-        right predictions among them)."""
-        index, rows, cold = self.index, [], []
-        for k, words in enumerate(map(tokens, texts)):
-            at = np.fromiter([index.get(w, -1) for w in words], dtype=np.int64, count=len(words))
-            hot = at >= 0
-            total, places, confidences = matches(words)
-            predicted: dict[bytes, list[float]] = {}
-            logs = np.zeros(len(words))
-            logs[hot] = self.logs[at[hot]]
-            if places:
-                right, c = np.array(places), np.array(confidences)
-                logs[right] = np.where(hot[right], np.log(c + (1 - c) * np.exp(logs[right])), 0.0)
-                for i in np.flatnonzero(~hot[right]):
-                    predicted.setdefault(words[places[i]], []).append(confidences[i])
-            if not hot.all():
-                cold += [(k, w, n, predicted.get(w, [])) for w, n in Counter(words[i] for i in np.flatnonzero(~hot)).items()]
-            rows.append((len(words) + 1, int(hot.sum()) + (self.documents > 0), float(self.known[at[hot]].sum()) + self.end_known, total + float(logs.sum()) + self.end))
-        return rows, cold
-
-
 def count_words(docs: DataFrame, flush: int = 400_000) -> DataFrame:
     """word (binary) and n, its times in the texts to ``learn`` from; each task sums before the shuffle."""
     importable(docs.sparkSession)
@@ -335,46 +242,83 @@ def _floor(rows: DataFrame, value: str, size, most: int) -> int:
     return least
 
 
-def contexts_of(words: DataFrame, order: int = ORDER, most: int = 1 << 20) -> DataFrame:
-    """key, n and uses of all (context, byte) codes: n as the trie counts them, in words
-    learned; uses is the number of words, of all, with a byte whose longest context it is."""
-    importable(words.sparkSession)
+def count_pairs(docs: DataFrame, order: int = ORDER, most: int = 1 << 20) -> DataFrame:
+    """key, n and uses of all (context, byte) codes of full order in ``docs`` (text, learn):
+    n is how often they occur in the texts to learn from, uses in all."""
+    importable(docs.sparkSession)
     arrow = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("uses", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out() -> Iterator[pa.RecordBatch]:
-            if held:
-                keys, both = np.concatenate([k for k, _ in held]), np.concatenate([b for _, b in held])
-                held.clear()
-                # Counts of a part stay far below 2^32, so both sums fit one number.
-                keys, both = _summed(keys, both)
-                for a in range(0, len(keys), 1 << 16):
-                    part = both[a : a + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 16)]), pa.array(part >> 32), pa.array(part & 0xFFFFFFFF)], schema=arrow)
+            keys, both = _summed(np.concatenate([k for k, _ in held]), np.concatenate([b for _, b in held]))
+            held.clear()
+            for a in range(0, len(keys), 1 << 16):
+                part = both[a : a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 16)]), pa.array(part >> 32), pa.array(part & 0xFFFFFFFF)], schema=arrow)
+
+        def add(data: bytes, learn: bool) -> int:
+            size = 0
+            for _, _, found in full_codes(data, order):
+                keys, n = np.unique(found, return_counts=True)
+                # Counts of a part stay far below 2^31, so both sums fit one number.
+                held.append((keys, n * ((1 << 32) * learn + 1)))
+                size += len(keys)
+            return size
 
         size = 0
         for b in batches:
-            every, n = b.column(0).to_pylist(), b.column(1).to_numpy()
-            learned = [w for w, c in zip(every, n) if c > 0]
-            # A word seen twice is a symbol of its own, so the bytes hold each word once.
-            keys, counts = context_counts(learned, np.ones(len(learned), dtype=np.int64), order)
-            used, _ = longest(every, order)
-            used, uses = _summed(used, np.ones(len(used), dtype=np.int64))
-            held += [(keys, counts << 32), (used, uses)]
-            size += len(keys) + len(used)
+            waiting: dict[bool, list[bytes]] = {True: [], False: []}
+            length = {True: 0, False: 0}
+            for text, learn in zip(b.column(0), b.column(1).to_pylist()):
+                data = stream(tokens(text.as_py()), order)
+                waiting[learn].append(data)
+                length[learn] += len(data)
+                if length[learn] >= PIECE:
+                    size += add(b"".join(waiting[learn]), learn)
+                    waiting[learn], length[learn] = [], 0
+            for learn, parts in waiting.items():
+                size += add(b"".join(parts), learn)
             if size >= most:
-                yield from out()
-                size = 0
-        yield from out()
+                keys, both = _summed(np.concatenate([k for k, _ in held]), np.concatenate([x for _, x in held]))
+                held[:] = [(keys, both)]
+                if len(keys) >= most:
+                    yield from out()
+                size = sum(len(k) for k, _ in held)
+        if held:
+            yield from out()
+
+    rows = docs.select(F.col("text").cast("string").alias("text"), "learn")
+    return rows.mapInArrow(run, "key long, n long, uses long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+
+
+def contexts_of(pairs: DataFrame, order: int = ORDER) -> DataFrame:
+    """``pairs`` of full order with those of all shorter contexts (uses 0)."""
+    tables = [pairs]
+    longer = pairs.where("n > 0").select("key")
+    for o in range(order, 0, -1):
+        key = F.lit((o - 1) << SHIFT).bitwiseOR(F.col("key").bitwiseAND(F.lit((1 << (8 * o)) - 1)))
+        less = materialise(longer.groupBy(key.alias("key")).agg(F.count("*").alias("n")), "ppm-shorter")
+        tables.append(less.select("key", "n", F.lit(0).cast("long").alias("uses")))
+        longer = less.select("key")
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
 
-    return words.select("word", "n").mapInArrow(run, "key long, n long, uses long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+def discounts_of(entries: DataFrame, order: int = ORDER) -> list[float]:
+    """The discount of each order: a row for each comes to the driver."""
+    rows = entries.groupBy(F.shiftright("key", SHIFT).alias("o")).agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).collect()
+    found = {r["o"]: discount(r["n1"], r["n2"]) for r in rows}
+    return [found.get(o, 0.5) for o in range(order + 1)]
 
 
 def key_logs(entries: DataFrame, order: int = ORDER, shard_rows: int = 20_000) -> DataFrame:
     """key, uses and log (natural log-probability) of the codes in use, by shards of the trie."""
     importable(entries.sparkSession)
+    discounts = discounts_of(entries, order)
     low = entries.where((F.col("key") < (2 << SHIFT)) & (F.col("n") > 0)).select("key", "n").toPandas()
     low_keys, low_n = low["key"].to_numpy(np.int64), low["n"].to_numpy(np.int64)
     shards = entries.count() // shard_rows + 1
@@ -383,7 +327,7 @@ def key_logs(entries: DataFrame, order: int = ORDER, shard_rows: int = 20_000) -
     def run(rows: pa.Table) -> pa.Table:
         keys, n, uses = (rows.column(c).to_numpy() for c in ("key", "n", "uses"))
         own = (n > 0) & (keys >= (2 << SHIFT))
-        trie = Trie(np.r_[low_keys, keys[own]], np.r_[low_n, n[own]], order)
+        trie = Trie(np.r_[low_keys, keys[own]], np.r_[low_n, n[own]], discounts, order)
         asked = keys[uses > 0]
         return pa.Table.from_arrays([pa.array(asked), pa.array(uses[uses > 0]), pa.array(trie.key_logs(asked))], schema=schema)
 
@@ -392,53 +336,62 @@ def key_logs(entries: DataFrame, order: int = ORDER, shard_rows: int = 20_000) -
     return entries.withColumn("shard", shard).groupBy("shard").applyInArrow(run, "key long, uses long, log double")
 
 
-def spelled(words: DataFrame, logs: DataFrame, order: int = ORDER, max_entries: int = 600_000) -> DataFrame:
-    """word, n and log, the natural log-probability of the word's bytes and its end."""
-    least = _floor(logs, "uses", F.lit(1), max_entries)
-    common = logs.where(F.col("uses") >= least).select("key", "log").toPandas().sort_values("key")
-    held, token = words.sparkSession.sparkContext.broadcast((common["key"].to_numpy(np.int64), common["log"].to_numpy(np.float64))), new_token()
-
-    def make():
-        keys, values = per_worker(token, lambda: held.value)
-
-        def step(rows):
-            every = rows["word"]
-            asked, word = longest(every, order)
-            at, has = Trie._find(keys, asked)
-            part = np.bincount(word[has], values[at[has]] if len(values) else None, len(every)) if has.any() else np.zeros(len(every))
-            rest: list[list[int]] = [[] for _ in every]
-            for w, key in zip(word[~has].tolist(), asked[~has].tolist()):
-                rest[w].append(key)
-            return {"word": every, "n": rows["n"], "part": part, "rest": rest}
-
-        return step
-
-    rows = materialise(map_rows(words, "word binary, n long, part double, rest array<long>", make), "ppm-parts")
-    more = rows.select("word", F.explode("rest").alias("key")).join(logs.select("key", "log"), "key").groupBy("word").agg(F.sum("log").alias("more"))
-    return rows.join(more, "word", "left").select("word", "n", (F.col("part") + F.coalesce("more", F.lit(0.0))).alias("log"))
-
-
-def train(words: DataFrame, documents: int, order: int = ORDER, max_entries: int = 600_000, hot_words: int = 200_000) -> Model:
-    """A model from the words of all documents and their counts in the training ones (word, n)."""
-    symbol = F.col("n") >= 2
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v"), F.coalesce(F.sum(F.when(symbol, F.col("n") - DISCOUNT)), F.lit(0.0)).alias("discounted")).first()
-    entries = materialise(contexts_of(words, order), "ppm-contexts")
-    logs = materialise(key_logs(entries, order), "ppm-logs")
-    # Symbols: words seen twice and the end; the escape holds what is left.
-    whole = sums["n"] + documents + 2
-    escape = math.log((sums["n"] - sums["discounted"] + 1) / whole)
-    plain = F.col("log") + escape
-    value = F.when(symbol, F.log((F.col("n") - DISCOUNT) / whole + F.exp(plain))).otherwise(plain)
-    values = materialise(spelled(words, logs, order, max_entries).select("word", "n", value.alias("value")), "ppm-values")
-    frequent = max(1, _floor(values, "n", F.lit(1), hot_words))
-    hot = [(bytes(r["word"]), r["n"], r["value"]) for r in values.where(F.col("n") >= frequent).toLocalIterator()]
-    return Model(values, hot, documents, sums["n"] + documents, sums["v"] + (documents > 0))
-
+class Model:
+    """The corpus's sums, and all words' counts and pairs' log-probabilities as tables, the frequent ones at hand."""
 
-ROWS = "uid long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, times long, predicted array<double>"
+    def __init__(self, words: DataFrame, logs: DataFrame, hot: tuple, documents: int, tokens: int, types: int):
+        self.words, self.logs, self.hot, self.documents, self.tokens, self.types = words, logs, hot, documents, tokens, types
 
 
-def score_documents(docs: DataFrame, where=None, **options) -> DataFrame:
+class Scorer:
+    """The frequent words and pairs ready for texts; one per Python worker."""
+
+    def __init__(self, hot: tuple, documents: int, order: int = ORDER):
+        words, counts, self.keys, self.logs = hot
+        self.index = {w: i for i, w in enumerate(words)}
+        self.known = np.log10(counts + 1.0)
+        self.end_known, self.documents, self.order = math.log10(documents + 1), documents, order
+
+    def of(self, texts: list[str | None]) -> tuple[list[tuple], list[tuple[int, bytes, int]], list[tuple[int, int, int]]]:
+        """For each text (tokens, known, sum of log10(c + 1), log-probability), the last
+        three without what isn't at hand: (text, word, times) and (text, pair, times)."""
+        index, rows, words_left, streams = self.index, [], [], []
+        for k, words in enumerate(map(tokens, texts)):
+            at = np.fromiter([index.get(w, -1) for w in words], dtype=np.int64, count=len(words))
+            hot = at >= 0
+            if not hot.all():
+                words_left += [(k, w, n) for w, n in Counter([words[i] for i in np.flatnonzero(~hot)]).items()]
+            rows.append((len(words) + 1, int(hot.sum()) + (self.documents > 0), float(self.known[at[hot]].sum()) + self.end_known))
+            streams.append(stream(words, self.order))
+        scores, pairs_left = np.zeros(len(texts)), []
+        ends = np.cumsum([len(s) for s in streams])
+        for a, at, found in full_codes(b"".join(streams), self.order):
+            text = np.searchsorted(ends, at + a, side="right")
+            place, has = Trie._find(self.keys, found)
+            if has.any():
+                scores += np.bincount(text[has], self.logs[place[has]], len(texts))
+            pairs_left += Counter(zip(text[~has].tolist(), found[~has].tolist())).items()
+        return [(*r, float(s)) for r, s in zip(rows, scores)], words_left, [(k, key, n) for (k, key), n in pairs_left]
+
+
+def train(source: DataFrame, documents: int, order: int = ORDER, max_entries: int = 600_000, hot_words: int = 200_000) -> Model:
+    """A model from the texts of ``source`` (text, learn)."""
+    words = materialise(count_words(source), "ppm-words")
+    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    pairs = materialise(count_pairs(source, order), "ppm-pairs")
+    logs = materialise(key_logs(materialise(contexts_of(pairs, order), "ppm-contexts"), order), "ppm-logs")
+    used = _floor(logs, "uses", F.lit(1), max_entries)
+    common = logs.where(F.col("uses") >= used).select("key", "log").toPandas().sort_values("key")
+    frequent = max(1, _floor(words, "n", F.lit(1), hot_words))
+    hot = [(bytes(r["word"]), r["n"]) for r in words.where(F.col("n") >= frequent).toLocalIterator()]
+    at_hand = ([w for w, _ in hot], np.array([n for _, n in hot], dtype=np.int64), common["key"].to_numpy(np.int64), common["log"].to_numpy(np.float64))
+    return Model(words, logs, at_hand, documents, sums["n"] + documents, sums["v"] + (documents > 0))
+
+
+ROWS = "uid long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, key long, times long"
+
+
+def score_documents(docs: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     Learned from documents whose fold (crc32 of the id, modulo 7) is not 2; a null
@@ -448,9 +401,8 @@ def score_documents(docs: DataFrame, where=None, **options) -> DataFrame:
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     learn = F.coalesce(fold(F.col("doc_id"), 7) != 2, F.lit(True))
-    words = materialise(count_words(source.select("text", learn.alias("learn"))), "ppm-words")
-    model = train(words, source.where(learn).count(), **options)
-    held, token = spark.sparkContext.broadcast((model.hot, model.documents, model.tokens)), new_token()
+    model = train(source.select("text", learn.alias("learn")), source.where(learn).count(), **options)
+    held, token = spark.sparkContext.broadcast((model.hot, model.documents, options.get("order", ORDER))), new_token()
     importable(spark)
     schema = spark.createDataFrame([], ROWS).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -463,28 +415,26 @@ def score_documents(docs: DataFrame, where=None, **options) -> DataFrame:
         scorer = per_worker(token, lambda: Scorer(*held.value))
         uid = TaskContext.get().partitionId() << 40
         for b in batches:
-            for a in range(0, b.num_rows, 1024):
-                ids, texts = (b.column(i).slice(a, 1024).to_pylist() for i in (0, 1))
-                rows, cold = scorer.of(texts)
-                n, m = len(rows), len(cold)
-                known, base, score = ([r[i] for r in rows] for i in (1, 2, 3))
+            for a in range(0, b.num_rows, 512):
+                ids, texts = (b.column(i).slice(a, 512).to_pylist() for i in (0, 1))
+                rows, words, pairs = scorer.of(texts)
+                n, w, p = len(rows), len(words), len(pairs)
+                none = [None] * (w + p)
                 columns = [
-                    [*range(uid, uid + n), *[uid + k for k, *_ in cold]], ids + [None] * m, [r[0] for r in rows] + [None] * m,
-                    known + [None] * m, base + [None] * m, score + [None] * m, [None] * n + [c[1] for c in cold], [None] * n + [c[2] for c in cold],
-                    [None] * n + [c[3] or None for c in cold],
+                    [*range(uid, uid + n), *[uid + k for k, _, _ in words], *[uid + k for k, _, _ in pairs]], ids + none,
+                    *[[r[i] for r in rows] + none for i in range(4)], [None] * n + [x[1] for x in words] + [None] * p,
+                    [None] * (n + w) + [x[1] for x in pairs], [None] * n + [x[2] for x in words] + [x[2] for x in pairs],
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
                 uid += n
 
     found = materialise(source.mapInArrow(run, schema), "ppm-scores")
-    cold = found.where("word is not null").select("uid", "word", "times", "predicted")
-    p, times, seen = F.exp("value"), F.col("times"), F.col("predicted").isNotNull()
-    predicted = F.aggregate("predicted", F.lit(0.0), lambda s, c: s + F.log(c + (1 - c) * p))
-    rise = F.when(seen, (times - F.size("predicted")) * F.col("value") + predicted).otherwise(times * F.col("value"))
-    met = cold.join(model.words, "word").groupBy("uid").agg(
-        F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("more"), F.sum(times * F.log10(F.col("n") + 1.0)).alias("rise"), F.sum(rise).alias("others"),
+    times = F.col("times")
+    words = found.where("word is not null").select("uid", "word", "times").join(model.words, "word").groupBy("uid").agg(
+        F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("more"), F.sum(times * F.log10(F.col("n") + 1.0)).alias("rise"),
     )
-    rows = found.where("word is null").join(met, "uid", "left")
+    pairs = found.where("key is not null").select("uid", "key", "times").join(model.logs.select("key", "log"), "key").groupBy("uid").agg(F.sum(times * F.col("log")).alias("others"))
+    rows = found.where("word is null and key is null").join(words, "uid", "left").join(pairs, "uid", "left")
     floor = math.log10(model.tokens + model.types + 1)
     return rows.select(
         "doc_id",

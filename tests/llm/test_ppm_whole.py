@@ -1,4 +1,4 @@
-"""The model of op9 is whole whatever is broadcast: scores equal those of one trie of everything."""
+"""The model of op9 is whole whatever is broadcast: scores equal those of plain dictionaries of everything."""
 
 import math
 import zlib
@@ -18,29 +18,46 @@ def rows():
 
 
 def expected(texts):
-    learned = [ppm.tokens(t) for i, t in texts if zlib.crc32(str(i).encode()) % 7 != 2]
-    counts = Counter(w for words in learned for w in words)
-    whole = sum(counts.values()) + len(learned) + 2
-    symbols = {w: n - ppm.DISCOUNT for w, n in counts.items() if n > 1}
-    trie = ppm.Trie(*ppm.context_counts(list(counts), np.ones(len(counts), dtype=np.int64)))
-    escape = math.log((sum(counts.values()) - sum(symbols.values()) + 1) / whole)
+    """Scores by plain dictionaries, byte by byte."""
+    k, nodes = ppm.ORDER, [{} for _ in range(ppm.ORDER + 1)]
+    for i, t in texts:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            data = ppm.stream(ppm.tokens(t))
+            for at in range(k, len(data)):
+                node = nodes[k].setdefault(data[at - k : at], Counter())
+                node[data[at]] += 1
+    for o in range(k - 1, -1, -1):
+        for p in {q[1:] for context, node in nodes[o + 1].items() for q in [context + bytes([b]) for b in node]}:
+            longer = sum(c[1:] == p[:-1] and p[-1] in node for c, node in nodes[o + 1].items())
+            nodes[o].setdefault(p[:-1], Counter())[p[-1]] = longer
+    discounts = []
+    for level in nodes:
+        counts = [c for node in level.values() for c in node.values()]
+        discounts.append(ppm.discount(counts.count(1), counts.count(2)))
+
+    def log(context, byte):
+        out, barred = 0.0, set()
+        for o in range(k, -1, -1):
+            node = nodes[o].get(context[k - o :])
+            if node is None:
+                continue
+            left = {b: c for b, c in node.items() if b not in barred}
+            total = sum(left.values())
+            if byte in left:
+                return out + math.log((left[byte] - discounts[o]) / total)
+            if left:
+                out += math.log(discounts[o] * len(left) / total)
+            barred |= node.keys()
+        return out - math.log(256 - len(barred))
+
+    known = {}
     for i, text in texts:
-        words = ppm.tokens(text)
-        logs = [math.log(symbols.get(w, 0) / whole + math.exp(x)) if w in symbols else x for w, x in zip(words, trie.logs(words) + escape)]
-        hits, tries, last, total = 0.2, 1.0, {}, math.log((len(learned) + 1) / whole)
-        for k, (w, x) in enumerate(zip(words, logs)):
-            before = tuple(words[k - 2 : k]) if k > 1 else None
-            guess = last.get(before) if before else None
-            if guess is None:
-                total += x
-            elif guess == w:
-                total += math.log(hits / tries + (1 - hits / tries) * math.exp(x))
-                hits += 1
-            else:
-                total += math.log(1 - hits / tries) + x
-            tries += guess is not None
-            if before:
-                last[before] = w
+        data, total = ppm.stream(ppm.tokens(text)), 0.0
+        for at in range(k, len(data)):
+            key = data[at - k : at + 1]
+            if key not in known:
+                known[key] = log(key[:-1], key[-1])
+            total += known[key]
         yield i, total / math.log(10)
 
 
@@ -50,3 +67,11 @@ def test_nothing_is_dropped(spark, options):
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     got = {r["doc_id"]: r["score"] for r in ppm.score_documents(docs, **options).collect()}
     assert got == pytest.approx(dict(expected(texts)), abs=1e-6)
+
+
+def test_pieces_join(spark, monkeypatch):
+    texts = [(1, " ".join(f"w{i % 37}" for i in range(500))), (2, None), (3, "w1 w2 w3")]
+    data = b"".join(ppm.stream(ppm.tokens(t)) for _, t in texts)
+    whole = np.concatenate([c for _, _, c in ppm.full_codes(data)])
+    monkeypatch.setattr(ppm, "PIECE", 64)
+    assert np.concatenate([c for _, _, c in ppm.full_codes(data)]).tolist() == whole.tolist()

@@ -255,12 +255,18 @@ def test_ppm(spark):
 
 
 def test_ppm_is_a_distribution():
-    words = [b"the", b"then", b"than", b"cat", b"a"]
-    keys, counts = ppm.context_counts(words, np.array([9, 3, 2, 1, 1]), 3)
-    trie = ppm.Trie(keys, counts, 3)
-    for context in (b"\tth", b"\t", b"\tzz", b"\tthe"):
-        at = np.array([len(context)])
-        total = sum(math.exp(trie._places(np.frombuffer(context + bytes([s]), dtype=np.uint8), at, at)[0]) for s in range(256))
+    data = ppm.stream([b"the", b"then", b"than", b"cat", b"a", b"the", b"cat"], 3)
+    found = np.concatenate([c for _, _, c in ppm.full_codes(data, 3)])
+    keys, counts = ppm._summed(found, np.ones(len(found), dtype=np.int64))
+    every, n = [keys], [counts]
+    for o in (2, 1, 0):
+        less, c = np.unique((np.int64(o) << ppm.SHIFT) | (every[-1] & ((np.int64(1) << (8 * (o + 1))) - 1)), return_counts=True)
+        every.append(less)
+        n.append(c)
+    trie = ppm.Trie(np.concatenate(every), np.concatenate(n), [0.3, 0.4, 0.5, 0.6], 3)
+    for context in (b"\tth", b"the", b"zzz", b"at "):
+        held = sum(c << (8 * (3 - i)) for i, c in enumerate(context)) | (3 << ppm.SHIFT)
+        total = np.exp(trie.key_logs(np.array([held | b for b in range(256)], dtype=np.int64))).sum()
         assert total == pytest.approx(1)
     assert ppm.adaptive_bits("abcabc" * 50) < 8 * 300 * 0.3 and ppm.adaptive_bits(None) == 0
 
