@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import pickle
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -57,6 +58,17 @@ def per_worker(token: str, build: Callable[[], object]):
     return _WORKER[token]
 
 
+def send(spark: SparkSession, value: object):
+    """A broadcast of ``value`` in pickled form. Spark's workers keep what they have read
+    of a broadcast; of this they keep the bytes, not the objects made from them."""
+    return spark.sparkContext.broadcast(pickle.dumps(value, pickle.HIGHEST_PROTOCOL))
+
+
+def received(held) -> object:
+    """A copy of what :func:`send` was given."""
+    return pickle.loads(held.value)
+
+
 def new_token() -> str:
     return uuid.uuid4().hex
 

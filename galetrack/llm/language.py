@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker
+from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker, received, send
 
 UNDETERMINED = "und"
 #: Marks a word's start, as in the vocabulary file.
@@ -144,9 +144,9 @@ def _log_sum(a: float, b: float) -> float:
 class Scorer:
     """Scores texts with a cache of words; one per Python worker."""
 
-    def __init__(self, model: Model, cells: int = 400_000):
+    def __init__(self, model: Model, cells: int = 1_200_000):
         self.model = model
-        self.limit = max(1000, min(80_000, cells // max(1, len(model.languages))))
+        self.limit = max(1000, min(300_000, cells // max(1, len(model.languages))))
         self.reset()
 
     def reset(self) -> None:
@@ -223,10 +223,10 @@ def train(
     words = materialise(_word_counts(rows.where(picked).select("lang", "text")), "language-words")
     model = Model(languages, pieces, priors, {})
     for _ in range(iterations):
-        held = spark.sparkContext.broadcast(model)
+        held = send(spark, model)
 
         def make(held=held):
-            model = held.value
+            model = received(held)
             at = {x: i for i, x in enumerate(model.languages)}
 
             def step(rows):
@@ -242,6 +242,7 @@ def train(
         expected = map_rows(words, "lang string, piece int, n double", make, rows=1 << 16)
         for r in expected.groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect():
             counts[r["lang"]][r["piece"]] = r["n"]
+        held.destroy()
         model = Model(languages, pieces, priors, dict(counts))
     return model
 
@@ -261,12 +262,12 @@ def _cuts(rows: DataFrame, max_docs: int) -> dict[str, tuple[int, int]]:
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score`` for each row."""
-    held, token = docs.sparkSession.sparkContext.broadcast(model), new_token()
+    held, token = send(docs.sparkSession, model), new_token()
     source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
     fields = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
 
     def make():
-        scorer = per_worker(token, lambda: Scorer(held.value))
+        scorer = per_worker(token, lambda: Scorer(received(held)))
 
         def step(rows):
             got = [scorer.score(t) for t in rows["__text"]]
@@ -279,12 +280,12 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
 
 def accept(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has a language, with a score of at least ``least``."""
-    held, token = docs.sparkSession.sparkContext.broadcast(model), new_token()
+    held, token = send(docs.sparkSession, model), new_token()
     importable(docs.sparkSession)
 
     @F.pandas_udf("boolean")
     def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = per_worker(token, lambda: Scorer(held.value))
+        scorer = per_worker(token, lambda: Scorer(received(held)))
         for texts in batches:
             found = [scorer.score(t) for t in texts]
             yield pd.Series([lang != UNDETERMINED and score >= least for lang, score in found], dtype=bool)

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, importable, materialise, new_token, per_worker
+from galetrack.llm.common import fold, importable, materialise, new_token, per_worker, received, send
 
 START, END = 9, 10
 ORDER = 5
@@ -402,7 +402,7 @@ def score_documents(docs: DataFrame, **options) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     learn = F.coalesce(fold(F.col("doc_id"), 7) != 2, F.lit(True))
     model = train(source.select("text", learn.alias("learn")), source.where(learn).count(), **options)
-    held, token = spark.sparkContext.broadcast((model.hot, model.documents, options.get("order", ORDER))), new_token()
+    held, token = send(spark, (model.hot, model.documents, options.get("order", ORDER))), new_token()
     importable(spark)
     schema = spark.createDataFrame([], ROWS).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -412,7 +412,7 @@ def score_documents(docs: DataFrame, **options) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        scorer = per_worker(token, lambda: Scorer(*held.value))
+        scorer = per_worker(token, lambda: Scorer(*received(held)))
         uid = TaskContext.get().partitionId() << 40
         for b in batches:
             for a in range(0, b.num_rows, 512):

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker
+from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker, received, send
 
 #: Common insults, in natural order.
 INSULTS = """
@@ -288,10 +288,10 @@ def train(docs: DataFrame, labels: DataFrame, where=None, max_rows: int = 6000,
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(parts)).cast("int")
     sample = materialise(rows.join(F.broadcast(marks), "doc_id").select("doc_id", "text", "toxic", part.alias("part")), "toxicity-sample")
     lexicons = learned_lexicons(sample, parts)
-    held = docs.sparkSession.sparkContext.broadcast((insults, lexicons))
+    held = send(docs.sparkSession, (insults, lexicons))
 
     def make():
-        insults, lexicons = held.value
+        insults, lexicons = received(held)
         makers = [Features(insults, words) for words in lexicons]
 
         def step(rows):
@@ -301,20 +301,24 @@ def train(docs: DataFrame, labels: DataFrame, where=None, max_rows: int = 6000,
 
     numbers = map_rows(sample.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("h"), "toxic", "part", "text"), "doc_id string, h long, toxic int, part int, x array<double>", make, rows=64)
     got = numbers.orderBy(F.xxhash64("doc_id"), "h").limit(max_rows + max_rows // 4).collect()
+    held.destroy()
     x = np.array([r["x"] for r in got]).reshape(len(got), parts + 1, len(FEATURES))
     y, at = np.array([float(r["toxic"]) for r in got]), np.array([r["part"] for r in got], dtype=int)
     return Model(insults, lexicons[-1]).fit([x[:, i] for i in range(parts + 1)], y, at)
 
 
+def _ready(model: Model) -> tuple[Model, Features]:
+    return model, Features(model.insults, model.learned)
+
+
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` with ``score`` and ``predicted`` for each row."""
-    held, token = docs.sparkSession.sparkContext.broadcast(model), new_token()
+    held, token = send(docs.sparkSession, model), new_token()
     source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
     fields = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
 
     def make():
-        fitted = held.value
-        maker = per_worker(token, lambda: Features(fitted.insults, fitted.learned))
+        fitted, maker = per_worker(token, lambda: _ready(received(held)))
 
         def step(rows):
             p = fitted.score(np.array([maker.of(t) for t in rows["__text"]]).reshape(-1, len(FEATURES)))
@@ -327,13 +331,12 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
 
 def accept(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5."""
-    held, token = docs.sparkSession.sparkContext.broadcast(model), new_token()
+    held, token = send(docs.sparkSession, model), new_token()
     importable(docs.sparkSession)
 
     @F.pandas_udf("boolean")
     def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        fitted = held.value
-        maker = per_worker(token, lambda: Features(fitted.insults, fitted.learned))
+        fitted, maker = per_worker(token, lambda: _ready(received(held)))
         for texts in batches:
             x = np.array([maker.of(t) for t in texts]).reshape(-1, len(FEATURES))
             yield pd.Series(fitted.score(x) < 0.5)
