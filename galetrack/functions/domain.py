@@ -20,7 +20,13 @@ CONUS_ERAS = ((1851, 1970), (1991, 9999))
 INTERNATIONAL_ERAS = ((1951, 1970), (1991, 9999))
 BYPASS_RADIUS_KM = 111.12
 #: Classes in rank order.
-CLASSES = ("Hurricane", "Tropical storm", "Subtropical", "Depression", "Extratropical", "Wave or low", "Unclassified")
+CLASSES = ("Hurricane (Cat 1+)", "Tropical storm", "Depression", "Extratropical / other", "Unclassified (no wind)")
+#: The units of the continental United States, by name.
+CONUS_UNITS = (
+    "Texas", "Louisiana", "Mississippi", "Alabama", "Florida", "Georgia", "South Carolina", "North Carolina", "Virginia", "Maryland",
+    "Delaware", "New Jersey", "New York", "Pennsylvania", "Connecticut", "Rhode Island", "Massachusetts", "New Hampshire", "Maine", "District of Columbia",
+)
+NUMBER_WORDS = ("One", "Two", "Three", "Four", "Five", "Six", "Seven", "Eight", "Nine", "Ten", "Eleven", "Twelve", "Thirteen", "Fourteen", "Fifteen")
 
 
 def ss_category(wind: Column) -> Column:
@@ -56,15 +62,14 @@ def flag_era(season: Column) -> Column:
 
 
 def event_class(status: Column, wind: Column) -> Column:
-    """Class by status first, then by wind; a null wind is Unclassified."""
+    """Class by status first, then by wind: whatever isn't tropical or subtropical is other."""
+    hurricane, storm, depression, other, unknown = CLASSES
     return (
-        F.when(status.isin("EX"), "Extratropical")
-        .when(status.isin("SD", "SS"), "Subtropical")
-        .when(status.isin("LO", "WV", "DB"), "Wave or low")
-        .when(wind.isNull(), "Unclassified")
-        .when(wind >= HURRICANE_FLOOR, "Hurricane")
-        .when(wind >= 34, "Tropical storm")
-        .otherwise("Depression")
+        F.when(~is_tropical(status), other)
+        .when(wind.isNull(), unknown)
+        .when(wind >= HURRICANE_FLOOR, hurricane)
+        .when(wind >= 34, storm)
+        .otherwise(depression)
     )
 
 
@@ -75,9 +80,9 @@ def class_rank(name: Column) -> Column:
     return out.otherwise(len(CLASSES)).cast("int")
 
 
-def system_type(wind: Column) -> Column:
-    """The display's class: a null wind counts as a depression."""
-    return F.when(wind >= HURRICANE_FLOOR, "hurricane").when(wind >= 34, "storm").otherwise("depression")
+def system_type(status: Column, wind: Column) -> Column:
+    """The display's marker: status first; a null wind counts as a depression."""
+    return F.when(~is_tropical(status), "extratropical").when(wind >= HURRICANE_FLOOR, "hurricane").when(wind >= 34, "tropical").otherwise("depression")
 
 
 def is_synoptic(ts: Column) -> Column:
@@ -113,9 +118,18 @@ def decade(season: Column) -> Column:
     return (F.floor(season / 10) * 10).cast("int")
 
 
-def published_label(name: Column, season: Column) -> Column:
-    return F.concat_ws(" ", F.initcap(F.lower(name)), season.cast("string"))
+def published_label(name: Column, season: Column, number: Column | None = None) -> Column:
+    """As in "Ida (2021)"; unnamed systems go by their number, spelled out up to fifteen."""
+    label = name
+    if number is not None:
+        spelled = F.coalesce(F.get(F.array(*[F.lit(w) for w in NUMBER_WORDS]), number - 1), number.cast("string"))
+        label = F.when(F.upper(name) == "UNNAMED", spelled).otherwise(name)
+    return F.concat(F.initcap(F.lower(label)), F.lit(" ("), season.cast("string"), F.lit(")"))
 
 
 def point_wkt(lon: Column, lat: Column) -> Column:
     return F.concat(F.lit("POINT ("), lon.cast("string"), F.lit(" "), lat.cast("string"), F.lit(")"))
+
+
+def line_wkt(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    return F.concat(F.lit("LINESTRING ("), F.concat_ws(", ", *[F.concat_ws(" ", x.cast("string"), y.cast("string")) for x, y in ((x1, y1), (x2, y2))]), F.lit(")"))

@@ -13,7 +13,7 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galetrack.functions.geodesy import equal_area_x, equal_area_y, with_geodesic
+from galetrack.functions.geodesy import equal_area_x, equal_area_y, haversine_km, with_geodesic
 from galetrack.operators.stage import settle
 
 #: Cell width in degrees of the containment grid and of the finest nearest-edge grid.
@@ -67,8 +67,8 @@ def normalised(edges: DataFrame) -> DataFrame:
 
 
 def boundary_edges(edges: DataFrame) -> DataFrame:
-    """Edges of the union's boundary: those that belong to one unit only."""
-    once = normalised(edges).groupBy("p", "q").agg(F.count("*").alias("n"), F.min("unit_id").alias("unit_id")).where("n = 1")
+    """Edges of the union's boundary: those that occur an odd number of times."""
+    once = normalised(edges).groupBy("p", "q").agg(F.count("*").alias("n"), F.min("unit_id").alias("unit_id")).where("n % 2 = 1")
     return once.select("unit_id", F.col("p.x").alias("x1"), F.col("p.y").alias("y1"), F.col("q.x").alias("x2"), F.col("q.y").alias("y2"))
 
 
@@ -145,7 +145,7 @@ def nearest_on_edge(px: Column, py: Column) -> tuple[Column, Column]:
     return F.col("x1") + t * dx, F.col("y1") + t * dy
 
 
-def nearest_edge(points: DataFrame, key: list[str], edges: DataFrame, edge_id: str, x: str = "longitude", y: str = "latitude", levels: tuple[float, ...] = (1.0, 16.0, 256.0)) -> DataFrame:
+def nearest_edge(points: DataFrame, key: list[str], edges: DataFrame, edge_id: str, x: str = "longitude", y: str = "latitude", levels: tuple[float, ...] = (1.0, 4.0, 16.0, 64.0, 256.0)) -> DataFrame:
     """key, ``edge_id``, near_x, near_y and near_degrees of each point's nearest edge.
 
     Nearness is planar in degrees; ties go to the smallest id. A set of at most
@@ -193,12 +193,21 @@ def _nearest_of_few(left: DataFrame, key: list[str], edges: DataFrame, edge_id:
     return met.where("best is not null").select(*key, F.col("best.id").alias(edge_id), "best.near_x", "best.near_y", "best.near_degrees")
 
 
-def distance_to_coast(points: DataFrame, key: list[str], coast: DataFrame, x: str = "longitude", y: str = "latitude") -> DataFrame:
-    """key and min_distance_to_coast_km: the geodesic to the planar-nearest position."""
-    numbered = coast.withColumn("edge", F.xxhash64("x1", "y1", "x2", "y2"))
+def with_distance(df: DataFrame, out: str, lon1: str, lat1: str, lon2: str, lat2: str, planar: bool = False) -> DataFrame:
+    """``df`` with the geodesic in km between two positions, or with ``planar`` the arc on the mean sphere."""
+    if planar:
+        return df.withColumn(out, haversine_km(F.col(lon1), F.col(lat1), F.col(lon2), F.col(lat2)))
+    return with_geodesic(df, out, lon1, lat1, lon2, lat2, iterations=12)
+
+
+def distance_to_coast(points: DataFrame, key: list[str], coast: DataFrame, x: str = "longitude", y: str = "latitude", planar: bool = False) -> DataFrame:
+    """key, min_distance_to_coast_km, nearest_coast_lon and nearest_coast_lat: to the planar-nearest position."""
+    # Edges have no number of their own: of equally near positions the first in (lon, lat) counts.
+    numbered = coast.withColumn("edge", F.lit(0))
     near = nearest_edge(points, key, numbered, "edge", x, y)
     joined = near.join(points.select(*key, F.col(x).alias("__x"), F.col(y).alias("__y")), key)
-    return with_geodesic(joined, "min_distance_to_coast_km", "__x", "__y", "near_x", "near_y", iterations=12).select(*key, "min_distance_to_coast_km")
+    found = with_distance(joined, "min_distance_to_coast_km", "__x", "__y", "near_x", "near_y", planar)
+    return found.select(*key, "min_distance_to_coast_km", F.col("near_x").alias("nearest_coast_lon"), F.col("near_y").alias("nearest_coast_lat"))
 
 
 def segments_cross(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column, dx: Column, dy: Column) -> Column:

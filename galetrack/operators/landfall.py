@@ -130,7 +130,7 @@ def events(points: DataFrame, segs: DataFrame, matched: DataFrame) -> DataFrame:
     return geometric.unionByName(native)
 
 
-def attribute(found: DataFrame, index: DataFrame, edges: DataFrame, units: DataFrame, masses: DataFrame, mainland: int | None) -> DataFrame:
+def attribute(found: DataFrame, index: DataFrame, edges: DataFrame, units: DataFrame, masses: DataFrame, mainland: int | None, planar: bool = False) -> DataFrame:
     """Events with place: the containing unit, else the nearest one and its distance."""
     key = ["storm_id", "seg", "j", "native_only"]
     inside = geometry.with_containing_unit(found.where("native_only = 1"), index, "exact_lon", "exact_lat")
@@ -138,7 +138,7 @@ def attribute(found: DataFrame, index: DataFrame, edges: DataFrame, units: DataF
     outside = rows.where("unit_id is null")
     near = geometry.nearest_edge(outside, key, edges.select("unit_id", "x1", "y1", "x2", "y2"), "unit_id", "exact_lon", "exact_lat")
     joined = outside.select(*key, F.col("exact_lon").alias("__x"), F.col("exact_lat").alias("__y")).join(near, key)
-    away = with_geodesic(joined, "landfall_admin_distance_km", "__x", "__y", "near_x", "near_y", iterations=12)
+    away = geometry.with_distance(joined, "landfall_admin_distance_km", "__x", "__y", "near_x", "near_y", planar)
     away = away.select(*key, F.col("unit_id").alias("near_unit"), "landfall_admin_distance_km")
     rows = rows.join(away, key, "left").withColumn("is_attribution_exact", F.col("unit_id").isNotNull())
     rows = rows.withColumns({"unit_id": F.coalesce("unit_id", "near_unit"), "landfall_admin_distance_km": F.coalesce("landfall_admin_distance_km", F.lit(0.0))}).drop("near_unit")
@@ -204,11 +204,12 @@ def finish(rows: DataFrame, seasons: DataFrame, conus: list[str] | None = None)
         "sixhr_ss_category": domain.ss_category(F.col("sixhr_wind_kt")),
         "is_us_landfall": F.coalesce(F.col("landfall_iso") == "US", F.lit(False)),
         "is_tropical_at_landfall": domain.is_tropical(F.col("status_at_landfall")),
+        "event_class": domain.event_class(F.col("status_at_landfall"), F.col("exact_wind_kt")),
         "native_flagging_complete": domain.flagging_complete(F.col("season"), F.coalesce(in_conus, F.lit(False))),
     }).drop("season")
 
 
-def attribute_gates(rows: DataFrame, gates: DataFrame) -> DataFrame:
+def attribute_gates(rows: DataFrame, gates: DataFrame, planar: bool = False) -> DataFrame:
     """gate_id, gate_region, gate_is_crossing and gate_distance_km of each event.
 
     A gate that the crossing's last step intersects, the nearest of several; else
@@ -231,4 +232,4 @@ def attribute_gates(rows: DataFrame, gates: DataFrame) -> DataFrame:
     near = geometry.nearest_edge(rest, key, lines, "gate_id", "exact_lon", "exact_lat").select(*key, "gate_id", "near_x", "near_y", F.lit(False).alias("gate_is_crossing"))
     found = hits.unionByName(near).join(gates.select("gate_id", F.col("region").alias("gate_region")), "gate_id")
     out = rows.join(found, key, "left")
-    return with_geodesic(out, "gate_distance_km", "exact_lon", "exact_lat", "near_x", "near_y", iterations=12).drop("near_x", "near_y")
+    return geometry.with_distance(out, "gate_distance_km", "exact_lon", "exact_lat", "near_x", "near_y", planar).drop("near_x", "near_y")

@@ -10,15 +10,14 @@ from pyspark.sql import functions as F
 from galetrack.functions import domain
 from galetrack.functions.geodesy import haversine_km
 from galetrack.operators import geometry, landfall, summary
-from galetrack.plans import storms
-from galetrack.plans.workload import WORKLOAD
+from galetrack.plans import planar, planar_queries, storms
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 #: Inputs and databases of this process, by application and folder: built once, as written tables.
 _INPUTS: dict[tuple[str, str], storms.Inputs] = {}
-_BUILT: dict[tuple[str, str], storms.Database] = {}
+_BUILT: dict[tuple[str, str, bool], storms.Database] = {}
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
@@ -28,18 +27,18 @@ def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
     return _INPUTS[key]
 
 
-def database(spark: SparkSession, sf_dir: str) -> storms.Database:
-    """The tables of the synthetic tracks, sampled every km on geodesics, as in the reference."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def database(spark: SparkSession, sf_dir: str, flat: bool = False) -> storms.Database:
+    """The tables of the synthetic tracks, sampled every km: on geodesics, or in the plane of degrees."""
+    key = (spark.sparkContext.applicationId, sf_dir, flat)
     if key not in _BUILT:
         i = inputs(spark, sf_dir)
-        _BUILT[key] = storms.build(i.points, i.seasons, i.edges, i.units, i.gates, step_km=1.0)
+        options = {"step_km": planar.STEP_KM, "planar": True, "conus": list(planar.CONUS), "radius_km": planar.RADIUS_KM} if flat else {"step_km": 1.0}
+        _BUILT[key] = storms.build(i.points, i.seasons, i.edges, i.units, i.gates, **options)
     return _BUILT[key]
 
 
 _CTE = f"with fixes as ({storms.FIXES_SQL}), seasons as ({storms.SEASONS_SQL}), units as ({storms.UNITS_SQL})"
-_CATEGORY = "case when max_wind_kt is null or max_wind_kt < 0 then 'UNK' when max_wind_kt >= 137 then '5' when max_wind_kt >= 113 then '4' when max_wind_kt >= 96 then '3' when max_wind_kt >= 83 then '2' when max_wind_kt >= 64 then '1' when max_wind_kt >= 34 then 'TS' else 'TD' end"
-_CLASS = "case when status = 'EX' then 'Extratropical' when status in ('SD', 'SS') then 'Subtropical' when status in ('LO', 'WV', 'DB') then 'Wave or low' when max_wind_kt is null then 'Unclassified' when max_wind_kt >= 64 then 'Hurricane' when max_wind_kt >= 34 then 'Tropical storm' else 'Depression' end"
+_CATEGORY, _CLASS = planar.category("max_wind_kt"), planar.event_class("status", "max_wind_kt")
 _LAND = "located as (select f.*, (select min(u.unit_id) from units u where f.longitude * 10000 > u.ix1 and f.longitude * 10000 < u.ix2 and f.latitude * 10000 > u.iy1 and f.latitude * 10000 < u.iy2) as unit_id from fixes f)"
 
 
@@ -92,12 +91,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landfalls_by_unit_category(spark, sf_dir)
 
 
-@query("landmass_components", f"{_CTE}, b as (select unit_id, case when unit_id % 5 = 0 or unit_id % 2 = 0 then 1 else 0 end as starts from units), r as (select unit_id, sum(starts) over (order by unit_id) as run from b) select unit_id, min(unit_id) over (partition by run) as root from r")
+@query("landmass_components", f"{_CTE}, b as (select unit_id, case when unit_id % 5 = 0 or unit_id % 2 = 0 or unit_id in (3, 17) then 1 else 0 end as starts from units), r as (select unit_id, sum(starts) over (order by unit_id) as run from b) select unit_id, min(unit_id) over (partition by run) as root from r")
 def landmass_components(spark, sf_dir):
     return geometry.connected_units(inputs(spark, sf_dir).edges).select("unit_id", "root")
 
 
-@query("boundary_edges", f"{_CTE}, e as (select unnest([[ix1, iy1, ix2, iy1], [ix1, iy2, ix2, iy2], [ix1, iy1, ix1, iy2], [ix2, iy1, ix2, iy2]]) as e from units) select e[1] as x1, e[2] as y1, e[3] as x2, e[4] as y2 from e group by e having count(*) = 1")
+@query("boundary_edges", f"{_CTE}, e as (select unnest([[ix1, iy1, ix2, iy1], [ix1, iy2, ix2, iy2], [ix1, iy1, ix1, iy2], [ix2, iy1, ix2, iy2]]) as e from units) select e[1] as x1, e[2] as y1, e[3] as x2, e[4] as y2 from e group by e having count(*) % 2 = 1")
 def boundary_edges(spark, sf_dir):
     whole = lambda c: F.round(F.col(c) * 10000).cast("long").alias(c)
     return geometry.boundary_edges(inputs(spark, sf_dir).edges).select(*[whole(c) for c in ("x1", "y1", "x2", "y2")])
@@ -115,7 +114,8 @@ def polygon_area(spark, sf_dir):
 @query("storm_sums", f"{_CTE} select storm_id, strftime(min(timestamp_utc), '%Y-%m-%d %H:%M:%S') as start_at, strftime(max(timestamp_utc), '%Y-%m-%d %H:%M:%S') as end_at, max(max_wind_kt) as peak_wind_kt, min(min_pressure_mb) as min_pressure_mb, count(*) as n from fixes group by storm_id")
 def storm_sums(spark, sf_dir):
     fmt = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    return inputs(spark, sf_dir).points.groupBy("storm_id").agg(fmt(F.min("timestamp_utc")).alias("start_at"), fmt(F.max("timestamp_utc")).alias("end_at"), F.max("max_wind_kt").alias("peak_wind_kt"), F.min("min_pressure_mb").alias("min_pressure_mb"), F.count("*").alias("n"))
+    rows = summary.extremes(inputs(spark, sf_dir).points)
+    return rows.select("storm_id", fmt("start_time_utc").alias("start_at"), fmt("end_time_utc").alias("end_at"), "peak_wind_kt", "min_pressure_mb", F.col("n_track_points").alias("n"))
 
 
 _RANK = "case " + " ".join(f"when c = '{c}' then {i}" for i, c in enumerate(domain.CLASSES)) + " end"
@@ -126,17 +126,27 @@ def lifetime_class(spark, sf_dir):
     return summary.lifetime_class(inputs(spark, sf_dir).points).select("storm_id", "lifetime_class")
 
 
-@query("asof_synoptic", f"{_CTE}, ev as (select storm_id, point_seq, timestamp_utc from fixes where record_identifier = 'L') select e.storm_id, e.point_seq, s.point_seq as fix_seq from ev e asof left join (select storm_id, point_seq, timestamp_utc from fixes where is_synoptic) s on e.storm_id = s.storm_id and e.timestamp_utc >= s.timestamp_utc")
+@query(
+    "asof_synoptic",
+    f"{_CTE}, ev as (select storm_id, point_seq, timestamp_utc from fixes where record_identifier = 'L'),"
+    " syn as (select * from fixes where is_synoptic qualify row_number() over (partition by storm_id, timestamp_utc order by point_seq) = 1)"
+    " select e.storm_id, e.point_seq, strftime(s.timestamp_utc, '%Y-%m-%d %H:%M:%S') as sixhr_at, s.max_wind_kt as sixhr_wind_kt, s.longitude as sixhr_lon"
+    " from ev e asof left join syn s on e.storm_id = s.storm_id and e.timestamp_utc >= s.timestamp_utc",
+)
 def asof_synoptic(spark, sf_dir):
-    line = Window.partitionBy("storm_id").orderBy("timestamp_utc", F.desc("point_seq")).rowsBetween(Window.unboundedPreceding, 0)
-    rows = inputs(spark, sf_dir).points.withColumn("fix_seq", F.last(F.when(F.col("is_synoptic"), F.col("point_seq")), ignorenulls=True).over(line))
-    return rows.where("record_identifier = 'L'").select("storm_id", "point_seq", "fix_seq")
+    points = inputs(spark, sf_dir).points
+    flags = points.where("record_identifier = 'L'").select("storm_id", F.col("point_seq").alias("seg"), F.lit(0).alias("j"), F.lit(1).alias("native_only"), F.col("timestamp_utc").alias("exact_time"))
+    met = landfall.preceding_synoptic(flags, points)
+    return met.select("storm_id", F.col("seg").alias("point_seq"), F.date_format("sixhr_time", "yyyy-MM-dd HH:mm:ss").alias("sixhr_at"), "sixhr_wind_kt", "sixhr_lon")
 
 
-@query("nonmonotonic_time", f"{_CTE}, w as (select storm_id, point_seq, timestamp_utc < lag(timestamp_utc) over (partition by storm_id order by point_seq) as back from fixes) select storm_id, point_seq from w where back")
+@query(
+    "nonmonotonic_time",
+    "with e as (select user_id as storm_id, event_id % 97 * 100000000 + event_id as place, cast(ts as timestamp) as t from events), w as (select *, lag(t) over (partition by storm_id order by place) as before from e) select storm_id, place from w where t < before",
+)
 def nonmonotonic_time(spark, sf_dir):
-    back = F.col("timestamp_utc") < F.lag("timestamp_utc").over(Window.partitionBy("storm_id").orderBy("point_seq"))
-    return inputs(spark, sf_dir).points.withColumn("back", back).where("back").select("storm_id", "point_seq")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("storm_id"), (F.col("event_id") % 97 * 100_000_000 + F.col("event_id")).alias("place"), F.col("ts").cast("timestamp").alias("timestamp_utc"))
+    return summary.time_breaks(rows, "place")
 
 
 _SEASONAL = f"f as (select season, {_CLASS} as c, max_wind_kt, min_pressure_mb, status from fixes join seasons using (storm_id))"
@@ -201,19 +211,15 @@ def strongest_fix(spark, sf_dir):
     return inputs(spark, sf_dir).points.withColumn("r", F.row_number().over(w)).where("r = 1").select("storm_id", "point_seq", "max_wind_kt")
 
 
-# The documented workload over the built database: rows follow from geodesic sampling,
-# which SQL engines spell out differently in the last digits, so these have no SQL.
-
+# The tables of the geodesic build, whose sampling SQL engines spell out differently in
+# the last digits, have no SQL; the planar build's have.
 
-def _workload(text: str):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        database(spark, sf_dir).register()
-        return spark.sql(text)
 
-    return run
+def _planar(make):
+    return lambda spark, sf_dir: make(database(spark, sf_dir, flat=True))
 
 
-for _name, _text in WORKLOAD.items():
-    QUERIES[f"sql_{_name}"] = _workload(_text)
-for _table in ("storms", "track_points", "landfalls", "bypasses", "landfall_gates"):
+for _name, (_make, _sql) in planar_queries.QUERIES.items():
+    QUERIES[_name], ORACLE[_name] = _planar(_make), _sql
+for _table in storms.TABLES:
     QUERIES[f"table_{_table}"] = lambda spark, sf_dir, t=_table: getattr(database(spark, sf_dir), t)

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galetrack.functions import domain
 from galetrack.operators import geometry, landfall, summary
 from galetrack.operators.stage import settle
 
 
+TABLES = ("storms", "track_points", "landfalls", "bypasses", "landfall_gates", "metadata")
+#: What the landfall table holds, in a sentence for its users.
+LANDFALL_RULE = "A storm centre crosses from water onto land that it was not on already, whatever its strength; flags of the archive are never demoted."
+
+
 @dataclass
 class Database:
     """The tables of one build."""
@@ -20,13 +27,26 @@ class Database:
     landfalls: DataFrame
     bypasses: DataFrame
     landfall_gates: DataFrame
-
-    def register(self) -> None:
-        """Temporary views of the tables' names, and of the joined ones."""
-        for name in ("storms", "track_points", "landfalls", "bypasses", "landfall_gates"):
-            getattr(self, name).createOrReplaceTempView(name)
-        spark = self.storms.sparkSession
-        spark.sql("create or replace temp view v_us_landfalls as select l.*, s.name, s.season from landfalls l join storms s using (storm_id) where l.is_landfall and l.is_us_landfall")
+    metadata: DataFrame
+
+    def views(self) -> dict[str, DataFrame]:
+        """The joined and geometric views: WKT beside the tables' columns."""
+        us = self.landfalls.where("is_landfall and is_us_landfall").join(self.storms.select("storm_id", "name", "season", "basin"), "storm_id")
+        wkt = domain.point_wkt
+        return {
+            "v_us_landfalls": us,
+            "v_track_points": self.track_points.withColumns({"position_wkt": wkt(F.col("longitude"), F.col("latitude")), "nearest_coast_wkt": wkt(F.col("nearest_coast_lon"), F.col("nearest_coast_lat"))}),
+            "v_landfalls": self.landfalls.withColumns({"position_wkt": wkt(F.col("exact_lon"), F.col("exact_lat")), "sixhr_wkt": wkt(F.col("sixhr_lon"), F.col("sixhr_lat"))}),
+            "v_storms": self.storms.where("track_wkt is not null"),
+            "v_landfall_gates": self.landfall_gates.withColumn("gate_wkt", domain.line_wkt(*[F.col(c) for c in ("x1", "y1", "x2", "y2")])),
+        }
+
+    def register(self, prefix: str = "") -> None:
+        """Temporary views of the tables and the joined ones, by ``prefix`` and name."""
+        for name in TABLES:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+        for name, rows in self.views().items():
+            rows.createOrReplaceTempView(prefix + name)
 
 
 def build(
@@ -40,16 +60,34 @@ def build(
     mainland_country: str | None = "US",
     conus: list[str] | None = None,
     radius_km: float = 111.12,
+    provenance: dict[str, str] | None = None,
 ) -> Database:
-    """All tables of a set of tracks. Nothing is collected but the mainland's number."""
+    """All tables of a set of tracks. Nothing is collected but the mainland's number.
+
+    ``planar`` interpolates in degrees and measures on the mean sphere.
+    ``provenance`` (sources, checksums, calibrations) goes into the metadata.
+    """
     index = settle(geometry.containment_index(edges), "containment")
     coast = settle(geometry.boundary_edges(edges), "coast")
     masses = settle(geometry.landmasses(edges), "landmasses")
     mainland = geometry.mainland_landmass(units, masses, mainland_country) if mainland_country else None
     falls = landfalls(points, seasons, edges, units, gates, index, masses, mainland, step_km, planar, conus)
     falls = settle(falls, "landfalls")
-    track = settle(summary.enrich(points, index, coast), "track-points")
-    return Database(settle(summary.storms(track, falls, seasons), "storms"), track, falls, summary.bypasses(track, falls, radius_km), gates)
+    track = settle(summary.enrich(points, index, coast, planar), "track-points")
+    storms_ = settle(summary.storms(track, falls, seasons), "storms")
+    given = {"schema_version": SCHEMA_VERSION, "landfall_definition": LANDFALL_RULE, "step_km": f"{step_km:g}", "bypass_radius_km": f"{radius_km:g}", **(provenance or {})}
+    return Database(storms_, track, falls, summary.bypasses(track, falls, radius_km), gates, metadata(given, gates, storms_, track))
+
+
+SCHEMA_VERSION = "2"
+
+
+def metadata(given: dict[str, str], gates: DataFrame, storms_: DataFrame, track: DataFrame) -> DataFrame:
+    """key and value: what was given, and the tables' sizes."""
+    out = gates.sparkSession.createDataFrame(sorted(given.items()), "key string, value string")
+    for key, rows in (("gate_count", gates), ("storm_count", storms_), ("track_point_count", track)):
+        out = out.unionByName(rows.agg(F.count("*").cast("string").alias("value")).select(F.lit(key).alias("key"), "value"))
+    return out
 
 
 def landfalls(points, seasons, edges, units, gates, index, masses, mainland, step_km=1.0, planar=False, conus=None) -> DataFrame:
@@ -57,11 +95,11 @@ def landfalls(points, seasons, edges, units, gates, index, masses, mainland, ste
     segs = landfall.segments(points)
     found = settle(landfall.crossings(landfall.near_land(segs, edges), index, step_km, planar), "crossings")
     made = settle(landfall.events(points, segs, landfall.match_flags(segs, found)), "events")
-    placed = settle(landfall.attribute(made, index, edges, units, masses, mainland), "placed")
+    placed = settle(landfall.attribute(made, index, edges, units, masses, mainland, planar), "placed")
     ordered = landfall.sequence(placed, points, index)
     rows = landfall.finish(landfall.preceding_synoptic(ordered, points), seasons, conus)
     if gates is not None:
-        rows = landfall.attribute_gates(rows, gates)
+        rows = landfall.attribute_gates(rows, gates, planar)
     return rows
 
 
@@ -71,13 +109,13 @@ FIXES_SQL = """
 select user_id as storm_id, cast(point_seq as int) as point_seq, cast(ts as timestamp) as timestamp_utc,
        cast(lon10 as double) / 10 as longitude, cast(lat10 as double) / 10 as latitude,
        case event_type when 'view' then 'TS' when 'signup' then 'TD' when 'error' then 'EX' when 'click' then 'HU' else 'LO' end as status,
-       case when event_id % 13 = 0 then 'L' end as record_identifier,
+       case when event_id % 13 = 0 and user_id % 11 not in (0, 5) then 'L' end as record_identifier,
        cast(case when event_id % 17 <> 0 then 15 + (event_id * 7 % 30) * 5 end as int) as max_wind_kt,
        cast(case when event_id % 5 <> 0 then 1010 - (event_id * 7 % 30) * 3 end as int) as min_pressure_mb,
        hour(ts) % 6 = 0 as is_synoptic
 from (
   select *, row_number() over (partition by user_id order by ts, event_id) - 1 as point_seq,
-         -850 + (user_id * 53 % 300) - 150 + sum((event_id * 37 % 41) - 20) over (partition by user_id order by ts, event_id rows unbounded preceding) as lon10,
+         -850 + (user_id * 53 % 300) - 150 + case when user_id % 11 in (0, 5) then 380 else 0 end + sum((event_id * 37 % 41) - 20) over (partition by user_id order by ts, event_id rows unbounded preceding) as lon10,
          250 + (user_id * 29 % 160) - 80 + sum((event_id * 31 % 21) - 10) over (partition by user_id order by ts, event_id rows unbounded preceding) as lat10
   from events
 ) e
@@ -90,9 +128,10 @@ from events group by user_id
 UNITS_SQL = """
 select cast(n_nationkey as int) as unit_id, n_name as admin1_name, r_name as country_name,
        case n_regionkey when 1 then 'US' when 2 then 'MX' else cast(n_regionkey as varchar(5)) end as iso_country,
-       -1100317 + 120000 * (n_nationkey % 5) as ix1,
-       -1100317 + 120000 * (n_nationkey % 5) + case when n_nationkey % 2 = 0 then 120000 else 80000 end as ix2,
-       80317 + 80000 * cast(floor(n_nationkey / 5) as int) as iy1, 80317 + 80000 * cast(floor(n_nationkey / 5) as int) + 60000 as iy2
+       -1100317 + 120000 * (n_nationkey % 5) + case when n_nationkey in (3, 17) then 30000 else 0 end as ix1,
+       -1100317 + 120000 * (n_nationkey % 5) + case when n_nationkey in (3, 17) then 36000 when n_nationkey % 2 = 0 then 120000 else 80000 end as ix2,
+       80317 + 80000 * cast(floor(n_nationkey / 5) as int) as iy1,
+       80317 + 80000 * cast(floor(n_nationkey / 5) as int) + case when n_nationkey in (3, 17) then 6000 else 60000 end as iy2
 from nation join region on n_regionkey = r_regionkey
 """
 
@@ -108,19 +147,19 @@ class Inputs:
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """Tracks, land and gates from events, nation and region."""
-    for name in ("events", "nation", "region"):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    units = spark.sql(UNITS_SQL)
+    tables = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("events", "nation", "region")}
+    run = lambda text: spark.sql(re.sub(r"\b(from|join) (events|nation|region)\b", r"\1 {\2}", text), **tables)
+    units = run(UNITS_SQL)
     deg = lambda c: F.col(c) / F.lit(10000.0)
     box = units.select("unit_id", deg("ix1").alias("a"), deg("ix2").alias("b"), deg("iy1").alias("c"), deg("iy2").alias("d"))
     sides = [("a", "c", "b", "c"), ("b", "c", "b", "d"), ("b", "d", "a", "d"), ("a", "d", "a", "c")]
     edges = box.select("unit_id", F.explode(F.array(*[F.struct(F.col(w).alias("x1"), F.col(x).alias("y1"), F.col(y).alias("x2"), F.col(z).alias("y2")) for w, x, y, z in sides])).alias("e")).select("unit_id", "e.*")
-    # One gate across the middle of each unit's west side.
+    # One gate along each unit's west side.
     gates = box.join(units.select("unit_id", "admin1_name"), "unit_id").select(
         F.format_string("G%03d", "unit_id").alias("gate_id"), F.col("admin1_name").alias("gate_name"), F.col("admin1_name").alias("region"), F.col("unit_id").alias("sort_order"),
-        (F.col("a") - 0.25).alias("x1"), ((F.col("c") + F.col("d")) / 2).alias("y1"), (F.col("a") + 0.25).alias("x2"), ((F.col("c") + F.col("d")) / 2).alias("y2"),
+        F.col("a").alias("x1"), F.col("c").alias("y1"), F.col("a").alias("x2"), F.col("d").alias("y2"),
     )
     return Inputs(
-        settle(spark.sql(FIXES_SQL), "fixes"), settle(spark.sql(SEASONS_SQL), "seasons"),
+        settle(run(FIXES_SQL), "fixes"), settle(run(SEASONS_SQL), "seasons"),
         settle(units.select("unit_id", "admin1_name", "country_name", "iso_country"), "units"), settle(edges, "edges"), settle(gates, "gates"),
     )

@@ -9,12 +9,14 @@ from galetrack.operators import geometry, landfall
 
 
 def test_categories(spark):
+    # The scale's floors.
     cases = [(0, "TD"), (33, "TD"), (34, "TS"), (63, "TS"), (64, "1"), (82, "1"), (83, "2"), (95, "2"), (96, "3"), (112, "3"), (113, "4"), (136, "4"), (137, "5"), (200, "5"), (None, "UNK"), (-999, "UNK"), (-99, "UNK")]
     rows = spark.createDataFrame(cases, "w int, want string").select("want", domain.ss_category(F.col("w")).alias("got")).collect()
     assert all(r["got"] == r["want"] for r in rows)
 
 
 def test_flag_eras(spark):
+    # The seasons in which the archive flags landfalls.
     years = [(y,) for y in (1850, 1851, 1950, 1951, 1970, 1971, 1990, 1991, 2025)]
     rows = spark.createDataFrame(years, "y int").select("y", domain.flagging_complete(F.col("y"), F.lit(True)).alias("c"), domain.flagging_complete(F.col("y"), F.lit(False)).alias("i")).collect()
     assert {r["y"] for r in rows if r["c"]} == {1851, 1950, 1951, 1970, 1991, 2025}
@@ -30,7 +32,7 @@ def test_half_even_and_longitudes(spark):
 
 
 def test_geodesics(spark):
-    rows = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0), (-90.0, 29.0, -90.0, 29.0), (-90.0, 29.0, -89.0, 30.0), (179.5, 10.0, -179.5, 10.0)], "x1 double, y1 double, x2 double, y2 double")
+    rows = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0), (-71.5, 33.0, -71.5, 33.0), (-71.5, 33.0, -70.0, 34.5), (179.5, 10.0, -179.5, 10.0)], "x1 double, y1 double, x2 double, y2 double")
     got = with_geodesic(rows, "km", "x1", "y1", "x2", "y2", azimuth="az")
     assert [round(r["km"], 2) for r in got.collect()][:2] == [110.57, 0.0]
     assert got.collect()[3]["km"] < 120
@@ -84,3 +86,18 @@ def test_flag_matching_is_greedy(spark):
         want.update(zip(spots, greedy(flags, counts)))
     got = landfall.match_flags(spark.createDataFrame(segs, "storm_id int, seg int, a_flagged boolean, b_flagged boolean"), spark.createDataFrame(found, "storm_id int, seg int, o int"))
     assert {(r["storm_id"], r["seg"], r["o"]): r["flag_seq"] for r in got.collect()} == want
+
+
+def test_classes_ask_the_status_first(spark):
+    hurricane, storm, depression, other, unknown = domain.CLASSES
+    cases = [("HU", 64, hurricane), ("SS", 64, hurricane), ("SD", 20, depression), ("TS", 34, storm), ("EX", 90, other), ("LO", None, other), ("WV", 40, other), (None, 70, other), ("TD", None, unknown)]
+    rows = spark.createDataFrame(cases, "s string, w int, want string")
+    got = rows.select("s", "w", "want", domain.event_class(F.col("s"), F.col("w")).alias("got"), domain.system_type(F.col("s"), F.col("w")).alias("marker")).collect()
+    assert all(r["got"] == r["want"] for r in got)
+    assert [r["marker"] for r in got] == ["hurricane", "hurricane", "depression", "tropical", "extratropical", "extratropical", "extratropical", "extratropical", "depression"]
+
+
+def test_published_labels(spark):
+    rows = spark.createDataFrame([("QUILL", 7, 2018), ("UNNAMED", 3, 1902), ("unnamed", 16, 1902)], "n string, k int, s int")
+    got = [r[0] for r in rows.select(domain.published_label(F.col("n"), F.col("s"), F.col("k"))).collect()]
+    assert got == ["Quill (2018)", "Three (1902)", "16 (1902)"]

@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from galetrack.plans import registry
+from galetrack.plans import analytics, planar, registry, storms
 
 DIR = "/root/testdata/sf0.001"
 
@@ -26,6 +26,28 @@ def test_against_sql(spark, name):
         assert all(x == y or (x is not None and y is not None and float(x) == pytest.approx(float(y))) for x, y in zip(a, b))
 
 
+@pytest.mark.parametrize("name", [f"table_{t}" for t in storms.TABLES])
+def test_tables_of_the_geodesic_build(spark, name):
+    assert registry.QUERIES[name](spark, DIR).count() > (-1 if name == "table_bypasses" else 0)
+
+
+def test_scope_guard(spark):
+    db = registry.database(spark, DIR, flat=True)
+    analytics.guard(db, planar.CONUS)
+    with pytest.raises(analytics.EmptyScope, match="NATION_1"):
+        analytics.guard(db)
+
+
+def test_views(spark):
+    db = registry.database(spark, DIR, flat=True)
+    db.register("t_")
+    assert spark.sql("select count(*) from t_v_us_landfalls where basin is not null").first()[0] > 0
+    for name, start in (("v_track_points", "POINT"), ("v_landfalls", "POINT"), ("v_storms", "LINESTRING"), ("v_landfall_gates", "LINESTRING")):
+        rows = db.views()[name]
+        wkt = next(c for c in rows.columns if c.endswith("_wkt"))
+        assert rows.where(f"{wkt} like '{start} (%'").count() == rows.count() > 0
+
+
 def test_subpackage_is_optional():
     import sys
     from unittest import mock
