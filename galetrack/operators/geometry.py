@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import functools
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galetrack.functions.geodesy import equal_area_x, equal_area_y, haversine_km, with_geodesic
+from galetrack.functions.workers import importable
 from galetrack.operators.stage import settle
 
 #: Cell width in degrees of the containment grid and of the finest nearest-edge grid.
@@ -149,7 +152,7 @@ def nearest_edge(points: DataFrame, key: list[str], edges: DataFrame, edge_id: s
     """key, ``edge_id``, near_x, near_y and near_degrees of each point's nearest edge.
 
     Nearness is planar in degrees; ties go to the smallest id. A set of at most
-    ``FEW_EDGES`` edges is one broadcast array that every point scans. Beyond that,
+    ``FEW_EDGES`` edges is compared as a whole with every point. Beyond that,
     grids grow from level to level: in a point's 3 x 3 cells, any edge nearer than
     one cell's width is present, so a best distance up to that width is final, and
     only the other points go on. The last level's cells hold the globe.
@@ -177,20 +180,37 @@ def nearest_edge(points: DataFrame, key: list[str], edges: DataFrame, edge_id: s
 
 
 def _nearest_of_few(left: DataFrame, key: list[str], edges: DataFrame, edge_id: str) -> DataFrame:
-    """All edges as one array in one row, beside every point."""
-    one = edges.agg(F.collect_list(F.struct(F.col(edge_id).alias("id"), "x1", "y1", "x2", "y2")).alias("__edges"))
-    px, py = F.col("__px"), F.col("__py")
-
-    def candidate(e: Column) -> Column:
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    """Every point against all edges, whose number has been checked, as Arrow-batched NumPy."""
+    rows = sorted(tuple(r) for r in edges.select(edge_id, "x1", "y1", "x2", "y2").collect())
+    kind = edges.schema[edge_id].dataType.simpleString()
+    if not rows:
+        return left.where("false").select(*key, F.lit(None).cast(kind).alias(edge_id), *[F.lit(None).cast("double").alias(c) for c in ("near_x", "near_y", "near_degrees")])
+    importable(left.sparkSession)
+    ids = [r[0] for r in rows]
+    rank = np.unique(np.array(ids), return_inverse=True)[1]
+    x1, y1, x2, y2 = (np.array([r[i] for r in rows], dtype=float) for i in (1, 2, 3, 4))
+
+    @F.pandas_udf(f"struct<id: {kind}, near_x: double, near_y: double, near_degrees: double>")
+    def best(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
+        out = []
+        dx, dy = x2 - x1, y2 - y1
         size = dx * dx + dy * dy
-        t = F.when(size == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - e["x1"]) * dx + (py - e["y1"]) * dy) / size)))
-        nx, ny = e["x1"] + t * dx, e["y1"] + t * dy
-        d = F.sqrt(F.pow(nx - px, F.lit(2.0)) + F.pow(ny - py, F.lit(2.0)))
-        return F.struct(F.round(d, 12).alias("r"), e["id"].alias("id"), nx.alias("near_x"), ny.alias("near_y"), d.alias("near_degrees"))
-
-    met = left.join(F.broadcast(one), F.lit(True)).withColumn("best", F.array_min(F.transform("__edges", candidate)))
-    return met.where("best is not null").select(*key, F.col("best.id").alias(edge_id), "best.near_x", "best.near_y", "best.near_degrees")
+        for a in range(0, len(xs), 4096):
+            px, py = xs.to_numpy(float)[a : a + 4096, None], ys.to_numpy(float)[a : a + 4096, None]
+            t = np.where(size == 0, 0.0, np.clip(((px - x1) * dx + (py - y1) * dy) / np.where(size == 0, 1.0, size), 0.0, 1.0))
+            nx, ny = x1 + t * dx, y1 + t * dy
+            d = np.sqrt((nx - px) ** 2 + (ny - py) ** 2)
+            # Of equally near ones the smallest id, then the first position.
+            mask = np.ones(d.shape, dtype=bool)
+            for value in (np.round(d, 12), np.broadcast_to(rank, d.shape), nx, ny):
+                low = np.where(mask, value, np.inf).min(axis=1, keepdims=True)
+                mask &= value == low
+            at, row = mask.argmax(axis=1), np.arange(len(d))
+            out.append(pd.DataFrame({"id": [ids[i] for i in at], "near_x": nx[row, at], "near_y": ny[row, at], "near_degrees": d[row, at]}))
+        return pd.concat(out) if out else pd.DataFrame({"id": [], "near_x": [], "near_y": [], "near_degrees": []})
+
+    met = left.withColumn("best", best("__px", "__py"))
+    return met.select(*key, F.col("best.id").alias(edge_id), "best.near_x", "best.near_y", "best.near_degrees")
 
 
 def with_distance(df: DataFrame, out: str, lon1: str, lat1: str, lon2: str, lat2: str, planar: bool = False) -> DataFrame:
