@@ -166,12 +166,11 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     Rows that agree in id, source and size share their taken words evenly.
     """
-    key = {"__id": F.col("doc_id"), "__source": F.col("source").cast("string"), "__size": word_count(F.col("text").cast("string"))}
+    size = word_count(F.col("text").cast("string"))
     counts = take(docs.select("doc_id", "source", "text"), **options).groupBy("doc_id", "source", "size")
-    counts = counts.agg(F.expr("cast(coalesce(round(sum(taken) / (count(*) * nullif(first(size), 0))), 0) as int)").alias("__times"))
-    counts = counts.where("__times > 0").select(*[F.col(c).alias(k) for k, c in zip(key, ("doc_id", "source", "size"))], "__times")
-    marked = docs.withColumns(key)
-    on = [marked[k].eqNullSafe(counts[k]) for k in key]
-    found = marked.join(counts, on).select(*[marked[c] for c in docs.columns], counts["__times"])
-    repeated = found.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    counts = counts.agg(F.expr("cast(coalesce(round(sum(taken) / (count(*) * nullif(first(size), 0))), 0) as int)").alias("times")).where("times > 0")
+    # The whole row is one column, so no name of the input can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("i"), F.col("source").cast("string").alias("s"), size.alias("n"))
+    on = rows["i"].eqNullSafe(counts["doc_id"]) & rows["s"].eqNullSafe(counts["source"]) & (rows["n"] == counts["size"])
+    repeated = rows.join(counts, on).select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("turn"))
+    return repeated.select("row.*")

@@ -140,9 +140,13 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
 
 
 def stage(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``docs`` with __uid, __id and __text, written once so that __uid stays."""
-    rows = materialise(docs.withColumn("__uid", F.monotonically_increasing_id()), "omh-documents")
-    return rows.withColumns({"__id": F.col(f"`{doc_id}`").cast("long"), "__text": F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))})
+    """uid, id, text and the whole ``row`` of ``docs``, written once so that uid stays.
+
+    The row is one column, so no name of the input can clash.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = materialise(docs.select(whole).withColumn("uid", F.monotonically_increasing_id()), "omh-documents")
+    return rows.select("uid", "row", F.col(f"row.`{doc_id}`").cast("long").alias("id"), F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit("")).alias("text"))
 
 
 def sketch(staged: DataFrame, sketches: int, length: int, k: int) -> DataFrame:
@@ -159,7 +163,7 @@ def sketch(staged: DataFrame, sketches: int, length: int, k: int) -> DataFrame:
 
         return step
 
-    source = staged.select(F.col("__uid").alias("uid"), F.col("__id").alias("id"), F.col("__text").alias("text"))
+    source = staged.select("uid", "id", "text")
     return map_rows(source, "uid long, id long, digest binary, n int, keys array<long>", make)
 
 
@@ -260,7 +264,7 @@ def find(staged: DataFrame, sketches: int = 24, length: int = 4, least: float =
     # A text of n k-mers has partners of at most n / least.
     brief = nodes.where((F.col("n") >= 4) & (F.col("n") <= int(short / least))).select("digest")
     involved = members.select("digest").union(brief).distinct().join(nodes.select("digest", "first.uid"), "digest")
-    texts = staged.select(F.col("__uid").alias("uid"), F.col("__text").alias("text")).join(involved, "uid").select("digest", "text")
+    texts = staged.select("uid", "text").join(involved, "uid").select("digest", "text")
 
     def make():
         def step(rows):
@@ -299,5 +303,5 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **optio
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each class: the one with the smallest id."""
     staged = stage(docs, doc_id, text)
-    kept = find(staged, **options).where(F.col("uid") == F.col("head.uid")).select(F.col("uid").alias("__uid"))
-    return staged.join(kept, "__uid", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = find(staged, **options).where(F.col("uid") == F.col("head.uid")).select("uid")
+    return staged.join(kept, "uid", "left_semi").select("row.*")

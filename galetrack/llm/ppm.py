@@ -319,8 +319,8 @@ def key_logs(entries: DataFrame, order: int = ORDER, shard_rows: int = 20_000) -
     """key, uses and log (natural log-probability) of the codes in use, by shards of the trie."""
     importable(entries.sparkSession)
     discounts = discounts_of(entries, order)
-    low = entries.where((F.col("key") < (2 << SHIFT)) & (F.col("n") > 0)).select("key", "n").toPandas()
-    low_keys, low_n = low["key"].to_numpy(np.int64), low["n"].to_numpy(np.int64)
+    low = entries.where((F.col("key") < (2 << SHIFT)) & (F.col("n") > 0)).select("key", "n").toArrow()
+    low_keys, low_n = low["key"].to_numpy(), low["n"].to_numpy()
     shards = entries.count() // shard_rows + 1
     schema = pa.schema([("key", pa.int64()), ("uses", pa.int64()), ("log", pa.float64())])
 
@@ -348,7 +348,7 @@ class Scorer:
 
     def __init__(self, hot: tuple, documents: int, order: int = ORDER):
         words, counts, self.keys, self.logs = hot
-        self.index = {w: i for i, w in enumerate(words)}
+        self.index = {w: i for i, w in enumerate(words.to_pylist())}
         self.known = np.log10(counts + 1.0)
         self.end_known, self.documents, self.order = math.log10(documents + 1), documents, order
 
@@ -374,17 +374,19 @@ class Scorer:
         return [(*r, float(s)) for r, s in zip(rows, scores)], words_left, [(k, key, n) for (k, key), n in pairs_left]
 
 
-def train(source: DataFrame, documents: int, order: int = ORDER, max_entries: int = 600_000, hot_words: int = 200_000) -> Model:
+def train(source: DataFrame, documents: int, order: int = ORDER, max_entries: int = 400_000, hot_words: int = 150_000) -> Model:
     """A model from the texts of ``source`` (text, learn)."""
     words = materialise(count_words(source), "ppm-words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     pairs = materialise(count_pairs(source, order), "ppm-pairs")
     logs = materialise(key_logs(materialise(contexts_of(pairs, order), "ppm-contexts"), order), "ppm-logs")
     used = _floor(logs, "uses", F.lit(1), max_entries)
-    common = logs.where(F.col("uses") >= used).select("key", "log").toPandas().sort_values("key")
+    common = logs.where(F.col("uses") >= used).select("key", "log").toArrow()
+    order_ = np.argsort(common["key"].to_numpy())
     frequent = max(1, _floor(words, "n", F.lit(1), hot_words))
-    hot = [(bytes(r["word"]), r["n"]) for r in words.where(F.col("n") >= frequent).toLocalIterator()]
-    at_hand = ([w for w, _ in hot], np.array([n for _, n in hot], dtype=np.int64), common["key"].to_numpy(np.int64), common["log"].to_numpy(np.float64))
+    hot = words.where(F.col("n") >= frequent).select("word", "n").toArrow()
+    # As Arrow columns: the driver makes no Python object for a word.
+    at_hand = (hot["word"].combine_chunks(), hot["n"].to_numpy(), common["key"].to_numpy()[order_], common["log"].to_numpy()[order_])
     return Model(words, logs, at_hand, documents, sums["n"] + documents, sums["v"] + (documents > 0))
 
 

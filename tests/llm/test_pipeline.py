@@ -1,5 +1,7 @@
 """The pipeline's stages over the smallest tables, each held against its own input."""
 
+from pyspark.sql import functions as F
+
 from galetrack.llm.common import materialise
 
 DIR = "/root/testdata/sf0.001"
@@ -22,3 +24,30 @@ def test_stages(spark):
     assert seen["near_duplicates"][1] < seen["near_duplicates"][0]
     assert seen["mix"][1] == seen["encode"][1] == seen["encode"][0]
     assert all(r["n_tokens"] == len(r["ids"]) for r in docs.collect())
+
+
+def test_odd_rows(spark):
+    """Null, empty, repeated, very long and clashing rows, and no rows, through every stage."""
+    import corpus_pipeline
+
+    good = spark.read.parquet(f"{DIR}/documents.parquet")
+    columns = good.columns
+    text = good.first()["text"]
+    odd = [(None, text, None, None, None), (1, None, "en", "s", 0), (2, "", "en", None, 0), (3, "?? 12", None, "s", 5), (4, " ".join([text] * 200), "en", "s", 9), (5, text, "en", "s", 1), (5, text, "en", "s", 1)]
+    rows = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long").select(*columns)
+    rows = rows.withColumns({"__uid": F.lit(1), "row": F.lit("x"), "uid": F.lit(2), "times": F.lit(3), "__text": F.lit("y")})
+    more = good.where("doc_id >= 100").limit(60).withColumns({"__uid": F.lit(1), "row": F.lit("x"), "uid": F.lit(2), "times": F.lit(3), "__text": F.lit("y")})
+    docs = rows.unionByName(more)
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before, docs = docs, materialise(stage(spark, docs, DIR), f"odd-{name}")
+        if i + 1 < len(corpus_pipeline.STAGES):
+            assert docs.columns == before.columns
+        ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
+        if name == "language":
+            assert not ids & {1, 2, 3} and {None, 4, 5} <= ids
+        if name == "near_duplicates":
+            assert docs.where("doc_id = 5 or doc_id is null").count() <= 1
+    none = good.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        none = materialise(stage(spark, none, DIR), f"none-{name}")
+        assert none.count() == 0
