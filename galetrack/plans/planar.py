@@ -207,6 +207,7 @@ TABLES = {
     "flagged": "select *, detection_method = 'native' as missed from falls where detection_method in ('native', 'native_confirmed')",
     "offshore": "select * from flagged where missed and not is_attribution_exact",
     "peak": "select * from conus qualify row_number() over (partition by storm_id order by exact_wind_kt desc nulls last, exact_time, native_only, seg, j) = 1",
+    "listed": "select season as year, name, storm_id % 7 = 0 as missed, storm_id % 13 = 0 as in_mexico from seasons where storm_id % 3 <> 0",
     "timing": "select *, exact_wind_kt - sixhr_wind_kt as delta_kt from conus where exact_wind_kt is not null and sixhr_wind_kt is not null",
 }
 #: Those that others read several times.

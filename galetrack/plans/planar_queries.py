@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from galetrack.functions import domain
 from galetrack.plans import analytics as a
-from galetrack.plans import planar, workload
+from galetrack.plans import external, planar, workload
 from galetrack.plans.storms import Database
 
 CONUS = planar.CONUS
@@ -306,3 +306,38 @@ put(
     " (select count(*) from storms) as storms, (select count(*) from track_points) as track_points, (select count(*) from near_misses) as bypasses, (select count(*) from gates) as landfall_gates",
     a.summary_counts,
 )
+
+# An external list, made from the seasons by a recipe: it lacks some storms and marks others.
+
+_COUNTED = "(select * from listed where not missed and not in_mexico)"
+_EVENTS = "(select * from conus where exact_wind_kt >= 64 qualify row_number() over (partition by storm_id order by exact_time, native_only, seg, j) = 1)"
+
+
+def listed(db: Database) -> DataFrame:
+    rows = db.storms.where("storm_id % 3 <> 0")
+    return rows.select(F.col("season").alias("year"), "name", (F.col("storm_id") % 7 == 0).alias("missed"), (F.col("storm_id") % 13 == 0).alias("in_mexico"))
+
+
+put(
+    "external_by_year",
+    f"select year, coalesce(a, 0) as listed, coalesce(b, 0) as detected, coalesce(b, 0) - coalesce(a, 0) as diff from (select year, count(*) as a from {_COUNTED} group by 1)"
+    f" full join (select season as year, count(*) as b from {_EVENTS} group by 1) using (year)",
+    lambda db: external.by_year(db, listed(db), CONUS),
+)
+put(
+    "external_by_era",
+    f"select era, flags_complete, a as listed, b as detected, b - a as diff from (select e.era, e.flags_complete, (select count(*) from {_COUNTED} l where l.year between lo and hi) as a, (select count(*) from {_EVENTS} v where v.season between lo and hi) as b"
+    " from (values ('1851-1970', 1, 1851, 1970), ('1971-1990', 0, 1971, 1990), ('1991-present', 1, 1991, 9999)) e(era, flags_complete, lo, hi))",
+    lambda db: external.by_era(db, listed(db), CONUS),
+)
+_WEAK = "(select season, name, max(exact_wind_kt) as kt from conus where exact_wind_kt < 64 group by 1, 2)"
+put(
+    "external_by_name",
+    "select * from (select season, name, case when l and d then 'matched' when l and kt is not null then 'below_hurricane' when l then 'only_listed' when d and m then 'annotated' when d then 'only_detected' end as verdict,"
+    " case when l and not d then kt end as weak_kt from (select season, name, coalesce(l, false) as l, coalesce(m, false) as m, coalesce(d, false) as d, kt from"
+    " (select year as season, name, bool_or(not missed and not in_mexico) as l, bool_or(missed or in_mexico) as m from listed group by 1, 2)"
+    f" full join (select distinct season, name, true as d from {_EVENTS} where season >= 1950) using (season, name) left join {_WEAK} using (season, name))) where verdict is not null",
+    lambda db: external.by_name(db, listed(db), CONUS),
+)
+put("outside_scope", f"select count(*) as n {_FALLS} and is_us_landfall and landfall_admin1 = 'NATION_21'", lambda db: external.outside_count(db, ("NATION_21",)))
+put("weak_landfalls", f"select season, name, kt as weak_kt from {_WEAK}", lambda db: external.weak_events(db, CONUS))
