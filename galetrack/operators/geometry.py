@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from galetrack.functions.geodesy import equal_area_x, equal_area_y, haversine_km, with_geodesic
 from galetrack.functions.workers import importable
@@ -96,7 +97,11 @@ def connected_units(edges: DataFrame) -> DataFrame:
     shared = normalised(edges).select("unit_id", "p", "q")
     other = shared.withColumnRenamed("unit_id", "other")
     links = shared.join(other, ["p", "q"]).select("unit_id", "other").distinct()
-    links = settle(links, "unit-links")
+    return connected(settle(links, "unit-links"))
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """unit_id and root, the least number it is connected to, from links (unit_id, other) in both directions."""
     if links.count() <= MOST_LINKS:
         return _connected_on_driver(links)
     labels = links.groupBy("unit_id").agg(F.min("other").alias("root"))
@@ -122,7 +127,7 @@ def _connected_on_driver(links: DataFrame) -> DataFrame:
     for a, b in links.collect():
         x, y = find(a), find(b)
         root[max(x, y)] = min(x, y)
-    return links.sparkSession.createDataFrame([(u, find(u)) for u in sorted(root)], "unit_id int, root int")
+    return links.sparkSession.createDataFrame([(u, find(u)) for u in sorted(root)], T.StructType([T.StructField(n, links.schema["unit_id"].dataType) for n in ("unit_id", "root")]))
 
 
 def landmasses(edges: DataFrame) -> DataFrame:

@@ -50,11 +50,11 @@ def parse(pages: DataFrame) -> DataFrame:
     words = F.filter(F.split(F.trim(F.regexp_replace("tail", r"\s+", " ")), " "), lambda w: w != "")
     numbers = F.transform(F.filter(words, lambda w: w.rlike(r"^\d+$")), lambda w: w.try_cast("int"))
     rows = rows.withColumns({"words": words, "numbers": numbers})
-    at = F.array_position("numbers", F.element_at(F.filter("numbers", lambda v: v.between(850, 1050)), -1)).cast("int")
+    at = F.array_position("numbers", F.try_element_at(F.filter("numbers", lambda v: v.between(850, 1050)), F.lit(-1))).cast("int")
     rows = rows.withColumn("at", F.when((F.size("numbers") >= 3) & (F.size(F.filter("numbers", lambda v: v.between(850, 1050))) > 0), at))
-    last = F.element_at("words", -1)
+    last = F.try_element_at("words", F.lit(-1))
     name = F.when((F.col("year") >= NAMED_SINCE) & last.rlike(r"^[A-Z][A-Za-z]{2,}$") & ~F.upper(last).isin("NONE", *STATES), last)
-    category = F.when(F.array_contains("words", "TS"), "TS").otherwise(F.element_at(F.filter(F.slice("numbers", F.lit(1), F.col("at") - 1), lambda v: v.between(1, 5)), -1).cast("string"))
+    category = F.when(F.array_contains("words", "TS"), "TS").otherwise(F.try_element_at(F.filter(F.slice("numbers", F.lit(1), F.col("at") - 1), lambda v: v.between(1, 5)), F.lit(-1)).cast("string"))
     kind = F.when(F.col("rest").rlike(r"(?i)^\s*none\b"), "none").when((F.size("coastal") > 0) | (F.size("inland") > 0), "landfall").otherwise("unparsed")
     return rows.select(
         "path", "year", "month", name.alias("name"), "coastal", "inland", category.alias("category"), F.get("numbers", F.col("at") - 1).alias("pressure_mb"),

@@ -1,0 +1 @@
+"""Fixes as they arrive: labels, landfalls and running extremes."""
