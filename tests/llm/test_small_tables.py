@@ -230,6 +230,44 @@ def test_warc(spark):
     assert warc.archive(pages.where("page_id < 0")).count() == 0
 
 
+def test_warc_against_brute_force(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(i), f"http://h{rng.integers(9)}.org/{chr(rng.integers(1, 127))}", f"page {rng.integers(25)}") for i in rng.choice(10**6, 200, replace=False)]
+    rows += [(10**13, "http://h1.org/a", "page 1"), (-5, "http://h1.org/b", "page 2"), (10**13 + 1, "http://h1.org/\n", "x" * 200_000)]
+    best = {}
+    for i, _, html in rows:
+        best[html] = max(i, best.get(html, i))
+    got = warc.archive(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    want = {(i, len(h.encode()), warc.digest(h.encode()), "response" if best[h] == i else "revisit", None if best[h] == i else best[h]) for i, _, h in rows}
+    assert {(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got} == want and len(got) == len(rows)
+    order = [(r["urlkey"], r["ts"], r["page_id"]) for r in sorted(got, key=lambda r: (r["range"], r["place"]))]
+    assert order == sorted(order)
+
+
+def test_ann_ties_are_exact(spark):
+    """Equal vectors have equal scores wherever they lie, and go by id."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((40, 16))
+    rows = [(i, x[i // 3].tolist()) for i in range(120)]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=8, shard_rows=16, query_block=2).toPandas()
+    for _, part in got.groupby("query_id"):
+        part = part.sort_values("rank")
+        assert part["rank"].tolist() == list(range(1, 9))
+        assert part.sort_values(["score", "vec_id"], ascending=[False, True])["vec_id"].tolist() == part["vec_id"].tolist()
+        for _, same in part.groupby(part["vec_id"] // 3):
+            assert same["score"].nunique() == 1
+
+
+def test_simhash_counts_near_fingerprints(spark):
+    docs = documents(spark).where("doc_id is not null").withColumn("doc_id", F.col("doc_id") * 50)
+    got = simhash.compare_with_next(docs, 4, queries=F.col("doc_id") % 100 == 0).collect()
+    prints = [int(r["fingerprint"], 16) for r in got]
+    assert len(got) == docs.count()
+    for r in got:
+        want = sum((int(r["fingerprint"], 16) ^ p).bit_count() <= 3 for p in prints) if r["doc_id"] % 100 == 0 else None
+        assert r["near_count"] == want
+
+
 def test_loser_tree():
     rng = np.random.default_rng(2)
     for _ in range(100):
