@@ -50,8 +50,9 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written as a WARC record, read back and put in capture order."""
-    return warc.archive(table(spark, sf_dir, "pages"))
+    """Every page written as a WARC record, read back and put in capture order: the records' own fields."""
+    found = warc.archive(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,4 +80,15 @@ QUERIES = {
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+#: Base32 of a SHA-1: its 160 bits, five at a time.
+_BITS = "cast(cast(unhex(sha1(html)) as bit) as varchar)"
+_FIVE = " + ".join(f"{1 << (4 - k)} * cast(substr(bits, cast(5 * i + {k + 1} as int), 1) as int)" for k in range(5))
+ORACLE: dict[str, str] = {
+    "op8_warc": (
+        "select page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+        f"cast(1 + {_FIVE} as int), 1)), 'string_agg', '') as payload_digest,"
+        " case when page_id = latest then 'response' else 'revisit' end as record_type, case when page_id <> latest then latest end as refers_to"
+        f" from (select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, {_BITS} as bits, max(page_id) over (partition by html) as latest"
+        " from (select page_id, coalesce(html, '') as html from pages))"
+    ),
+}
