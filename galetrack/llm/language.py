@@ -33,6 +33,8 @@ START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Longer words are added up in logarithms.
 LONG_WORD = 40
+#: A model has a table of all pieces for each language; more languages are refused.
+MOST_LANGUAGES = 500
 
 
 def load_pieces(path: str) -> list[str]:
@@ -253,8 +255,11 @@ def _cuts(rows: DataFrame, max_docs: int) -> dict[str, tuple[int, int]]:
     Hashes are even over 64 bits, so the cut at a share of the range takes that
     share of the rows; languages with few rows are taken whole.
     """
+    found = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: each has a table of all pieces")
     out = {}
-    for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect():
+    for r in found:
         share = min(1.0, max_docs / r["n"])
         out[r["lang"]] = (r["n"], (1 << 63) - 1 if share == 1 else int(-(1 << 63) + share * (1 << 64)))
     return out

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORDS = 5
-MOST_SHINGLES = 100_000
+MOST_SHINGLES = 20_000
 #: The most a window that holds enough of a template may be missed with.
 MISS = 1e-6
 

@@ -28,6 +28,8 @@ from galetrack.llm.common import materialise
 
 #: The weights of sources, in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
+#: The most sources of a mix, which is a list on the driver.
+MOST_SOURCES = 1000
 #: The circle in integer units, and the golden ratio's fraction of it.
 CIRCLE = 1 << 64
 GOLDEN = 0x9E3779B97F4A7C15
@@ -113,13 +115,15 @@ def enough_slots(spark: SparkSession, need: list[int]) -> int:
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = 3.0, block: int = 1024) -> DataFrame:
     """doc_id, source, size, source_size, target and taken for each document.
 
-    The driver sees one row for each source (sources are few; a list of sources
-    is part of a mix's definition).
+    The driver sees one row for each source; more than ``MOST_SOURCES`` are refused.
     """
     spark = docs.sparkSession
     narrow = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"))
     narrow = materialise(narrow, "mix-sizes")
-    by_source = {r["source"]: (r["size"], r["n"]) for r in narrow.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()}
+    found = narrow.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: a mix is a list of sources, each a term of the schedule")
+    by_source = {r["source"]: (r["size"], r["n"]) for r in found}
     sizes = {s: v[0] for s, v in by_source.items()}
     goals = targets(sizes, weights, most)
     need = needs(sizes, goals, block)
