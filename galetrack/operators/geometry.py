@@ -70,6 +70,27 @@ def normalised(edges: DataFrame) -> DataFrame:
     return edges.withColumns({"p": F.least(a, b), "q": F.greatest(a, b)})
 
 
+def split_edges(edges: DataFrame, size: float = CELL) -> DataFrame:
+    """``edges`` cut at every vertex that lies on them, so that partly shared borders are equal edges.
+
+    Vertices meet edges by grid cell.
+    """
+    rows = settle(edges.select("unit_id", "x1", "y1", "x2", "y2").withColumn("edge", F.monotonically_increasing_id()), "whole-edges")
+    ends = F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")
+    spots = rows.select(ends).select("p.x", "p.y").distinct().withColumns({"cx": cell(F.col("x"), size), "cy": cell(F.col("y"), size)})
+    covers = rows.withColumn("cx", F.explode(F.sequence(cell(F.least("x1", "x2"), size), cell(F.greatest("x1", "x2"), size))))
+    covers = covers.withColumn("cy", F.explode(F.sequence(cell(F.least("y1", "y2"), size), cell(F.greatest("y1", "y2"), size))))
+    dx, dy, px, py = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("x") - F.col("x1"), F.col("y") - F.col("y1")
+    t = (px * dx + py * dy) / (dx * dx + dy * dy)
+    on = (dx * dx + dy * dy > 0) & (F.abs(px * dy - py * dx) <= F.lit(1e-12) * (dx * dx + dy * dy)) & (t > 1e-12) & (t < 1 - 1e-12)
+    cuts = covers.join(spots, ["cx", "cy"]).where(on).groupBy("edge").agg(F.array_sort(F.collect_set(F.struct(t.alias("t"), "x", "y"))).alias("cuts"))
+    spot = lambda x, y, at: F.array(F.struct(F.lit(at).alias("t"), F.col(x).alias("x"), F.col(y).alias("y")))
+    path = F.concat(spot("x1", "y1", 0.0), F.coalesce("cuts", F.array().cast("array<struct<t: double, x: double, y: double>>")), spot("x2", "y2", 1.0))
+    out = rows.join(cuts, "edge", "left").withColumn("path", path).select("unit_id", "path", F.explode(F.sequence(F.lit(1), F.size("path") - 1)).alias("i"))
+    a, b = F.get("path", F.col("i") - 1), F.get("path", F.col("i"))
+    return out.select("unit_id", a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"))
+
+
 def boundary_edges(edges: DataFrame) -> DataFrame:
     """Edges of the union's boundary: those that occur an odd number of times."""
     once = normalised(edges).groupBy("p", "q").agg(F.count("*").alias("n"), F.min("unit_id").alias("unit_id")).where("n % 2 = 1")

@@ -68,8 +68,9 @@ def build(
     ``provenance`` (sources, checksums, calibrations) goes into the metadata.
     """
     index = settle(geometry.containment_index(edges), "containment")
-    coast = settle(geometry.boundary_edges(edges), "coast")
-    masses = settle(geometry.landmasses(edges), "landmasses")
+    fine = settle(geometry.split_edges(edges), "split-edges")
+    coast = settle(geometry.boundary_edges(fine), "coast")
+    masses = settle(geometry.landmasses(fine), "landmasses")
     mainland = geometry.mainland_landmass(units, masses, mainland_country) if mainland_country else None
     falls = landfalls(points, seasons, edges, units, gates, index, masses, mainland, step_km, planar, conus)
     falls = settle(falls, "landfalls")

@@ -101,3 +101,20 @@ def test_published_labels(spark):
     rows = spark.createDataFrame([("QUILL", 7, 2018), ("UNNAMED", 3, 1902), ("unnamed", 16, 1902)], "n string, k int, s int")
     got = [r[0] for r in rows.select(domain.published_label(F.col("n"), F.col("s"), F.col("k"))).collect()]
     assert got == ["Quill (2018)", "Three (1902)", "16 (1902)"]
+
+
+def test_partly_shared_borders(spark):
+    def ring(unit, x1, y1, x2, y2):
+        corners = [(x1, y1), (x2, y1), (x2, y2), (x1, y2)]
+        return [(unit, *a, *b) for a, b in zip(corners, corners[1:] + corners[:1])]
+
+    # A tall unit beside two short ones, and one that only touches its corner.
+    rows = ring(1, 0.0, 0.0, 1.0, 3.0) + ring(2, 1.0, 0.0, 2.0, 1.0) + ring(3, 1.0, 1.0, 2.5, 2.0) + ring(4, 3.0, 3.0, 4.0, 4.0)
+    edges = spark.createDataFrame(rows, "unit_id int, x1 double, y1 double, x2 double, y2 double")
+    fine = geometry.split_edges(edges)
+    assert {r["unit_id"]: r["root"] for r in geometry.connected_units(fine).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+    coast = geometry.boundary_edges(fine).collect()
+    length = sum(abs(r["x2"] - r["x1"]) + abs(r["y2"] - r["y1"]) for r in coast)
+    # The outline of the union (11 and a half less the inner borders) and the lone square.
+    assert length == pytest.approx(8 + 4 + 5 - 2 * (1 + 1 + 1) + 4)
+    assert sum(r[0] for r in geometry.unit_areas(fine).join(geometry.unit_areas(edges).withColumnRenamed("area_km2", "a"), "unit_id").select(F.abs(F.col("area_km2") - F.col("a"))).collect()) < 1e-3
