@@ -374,7 +374,7 @@ class Scorer:
         return [(*r, float(s)) for r, s in zip(rows, scores)], words_left, [(k, key, n) for (k, key), n in pairs_left]
 
 
-def train(source: DataFrame, documents: int, order: int = ORDER, max_entries: int = 400_000, hot_words: int = 150_000) -> Model:
+def train(source: DataFrame, documents: int, order: int = ORDER, max_entries: int = 1_000_000, hot_words: int = 250_000) -> Model:
     """A model from the texts of ``source`` (text, learn)."""
     words = materialise(count_words(source), "ppm-words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
