@@ -52,6 +52,8 @@ START, END = 9, 10
 ORDER = 5
 #: Bits that hold a context's bytes and the predicted byte; the order stands above.
 SHIFT = 56
+#: The bits of a context of five bytes and its byte.
+CODE = (1 << 48) - 1
 #: Bytes of a text that are looked at together.
 PIECE = 1 << 20
 
@@ -367,15 +369,22 @@ class Scorer:
         ends = np.cumsum([len(s) for s in streams])
         for a, at, found in full_codes(b"".join(streams), self.order):
             text = np.searchsorted(ends, at + a, side="right")
-            place, has = Trie._find(self.keys, found)
-            if has.any():
-                scores += np.bincount(text[has], self.logs[place[has]], len(texts))
-            pairs_left += Counter(zip(text[~has].tolist(), found[~has].tolist())).items()
+            # In order of the codes, each beside its place, the look-up goes through the keys once.
+            for b in range(0, len(found), 1 << 16):
+                both = ((found[b : b + (1 << 16)] & CODE).astype(np.uint64) << np.uint64(16)) | np.arange(min(1 << 16, len(found) - b), dtype=np.uint64)
+                both.sort()
+                code, own = (both >> np.uint64(16)).astype(np.int64) | (self.order << SHIFT), text[b + (both & np.uint64(0xFFFF)).astype(np.int64)]
+                place, has = Trie._find(self.keys, code)
+                if has.any():
+                    scores += np.bincount(own[has], self.logs[place[has]], len(texts))
+                pairs_left += Counter(zip(own[~has].tolist(), code[~has].tolist())).items()
         return [(*r, float(s)) for r, s in zip(rows, scores)], words_left, [(k, key, n) for (k, key), n in pairs_left]
 
 
 def train(source: DataFrame, documents: int, order: int = ORDER, max_entries: int = 1_000_000, hot_words: int = 250_000) -> Model:
-    """A model from the texts of ``source`` (text, learn)."""
+    """A model from the texts of ``source`` (text, learn); ``order`` is five at most."""
+    if not 0 < order <= 5:
+        raise ValueError(f"contexts of one to five bytes, not {order}")
     words = materialise(count_words(source), "ppm-words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     pairs = materialise(count_pairs(source, order), "ppm-pairs")
