@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galetrack.llm import ann, bpe, language, licenses, mixing, omh, ppm, simhash, toxicity, warc
+from galetrack.llm import ann, bpe, language, licenses, mixing, omh, ppm, simhash, suffixes, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without byte strings that start earlier."""
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_omh": op2_omh,
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_ppm": op9_ppm,
     "op10_bpe": op10_bpe,
+    "op12_suffixes": op12_suffixes,
 }
 
 #: Base32 of a SHA-1: its 160 bits, five at a time.
