@@ -4,16 +4,16 @@ A byte goes if a string of ``LENGTH`` (100) bytes over it also starts earlier: i
 document with a smaller id or earlier in its own. What has to be known of a suffix is
 only which others share its first 100 bytes, and which of those comes first.
 
-1. *Sampled tuples.* Suffixes at places whose remainder modulo 31 is in ``COVER`` are
-   the sample. Every difference modulo 31 is one of two members of ``COVER`` (a
+1. *Sampled tuples.* Suffixes at places whose remainder modulo 21 is in ``COVER`` are
+   the sample. Every difference modulo 21 is one of two members of ``COVER`` (a
    perfect difference cover), so two equal strings of 100 bytes have, at one common
-   shift of at most 30, a sampled suffix each, and these share ``TUPLE`` (70) bytes.
-   A tuple's name is made by doubling: the name of 2k bytes is made of those of its
-   halves. Each block of documents sorts its names; buckets of names merge the sorted
+   shift of at most 20, a sampled suffix each, and these share ``TUPLE`` (80) bytes.
+   A tuple's name is a polynomial of its bytes, so running sums over a block give the
+   names of all. Each block of documents sorts its names; buckets of names merge the sorted
    runs. A suffix whose tuple is nowhere else shares 100 bytes with no other one and
    leaves the sort here, as do all remaining suffixes that reach no repeated tuple.
 2. *Recursion on names.* Repeated tuples meet again by their name of 96 bits, together
-   with the 30 bytes before and the 30 bytes after, which settle the order that the
+   with the 20 bytes before and the 20 bytes after, which settle the order that the
    name leaves open: no third level is needed, since 100 bytes are all that counts.
 3. *Remaining suffixes.* The suffix that starts l bytes before a sampled one is its l
    bytes and the sampled one's name. For each l in turn the suffixes of a bucket are
@@ -23,9 +23,9 @@ only which others share its first 100 bytes, and which of those comes first.
 The sort order is that of names instead of that of bytes, so a bucket is a range of
 names and needs no global ranks, and equal prefixes still stand side by side.
 
-Blocks hold whole documents and are written once, bucketed by ``lane``, so that the
-names' and the repeats' answers join them without moving the text again. Suffixes that
-are equal in all of their 130 bytes are sent once for each block. Tuples that many
+Blocks hold whole documents and are written once, bucketed by ``lane`` (the
+input partition), so that the names' and the repeats' answers join them without moving the text again. Suffixes that
+are equal in all of their 120 bytes are sent once for each block. Tuples that many
 blocks or one block very often hold (``HOT_BLOCKS``, ``HOT_TIMES``) are not brought
 together: their strings of 100 bytes are dealt one by one, by their own names, so the
 contexts of one frequent line spread over all buckets.
@@ -49,8 +49,8 @@ from pyspark.sql import functions as F
 from galetrack.llm.common import importable, materialise, shared_dir
 
 LENGTH = 100
-#: A perfect difference cover: each remainder modulo 31 is a difference of two members.
-MODULUS, COVER = 31, (1, 5, 11, 24, 25, 27)
+#: A perfect difference cover: each remainder modulo 21 is a difference of two members.
+MODULUS, COVER = 21, (0, 1, 4, 14, 16)
 TUPLE = LENGTH - MODULUS + 1
 SIDE = MODULUS - 1
 #: Bytes of text in a block, positions named at a time, names and repeats in a bucket.
@@ -68,7 +68,8 @@ def _random(n: int, seed: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_BYTE, _SECOND, _CONTEXT = _random(256, 1), _random((TUPLE + 7) // 8, 2), _random(SIDE + 1, 3)
+_BASE = int(_random(1, 6)[0])
+_BYTE, _SECOND = _random(256, 1), _random((TUPLE + 7) // 8, 2)
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -81,12 +82,23 @@ def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def names(data: np.ndarray, width: int) -> np.ndarray:
-    """The name of the ``width`` bytes from each place on, by doubling."""
-    out, k = _BYTE[data], 1
-    while 2 * k <= width:
-        out, k = _joined(out[:-k], out[k:]), 2 * k
-    return _joined(out[: len(out) - (width - k)], out[width - k :]) if width > k else out
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(n - 1, base, dtype=np.uint64)])
+
+
+def names(data: np.ndarray, at: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.ndarray:
+    """The name of the ``TUPLE`` bytes from each of some places on: the polynomial of the
+    bytes' random numbers, from running sums. ``up``, ``down``: powers of the base and of
+    its inverse."""
+    sums = _BYTE[data]
+    sums *= up[: len(data)]
+    np.cumsum(sums, out=sums)
+    sums = np.r_[np.uint64(0), sums]
+    out = (sums[at + TUPLE] - sums[at]) * down[at]
+    out ^= out >> np.uint64(32)
+    out *= _ODD
+    out ^= out >> np.uint64(29)
+    return out
 
 
 class Block:
@@ -100,16 +112,17 @@ class Block:
 
     def samples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place, document and name of every sampled suffix of ``TUPLE`` bytes at least."""
-        places, docs, found = [], [], []
-        for a in range(0, max(0, len(self.data) - TUPLE + 1), PIECE):
-            own = names(self.data[a : a + PIECE + TUPLE - 1], TUPLE)
-            at = np.arange(a, a + len(own))
-            doc = np.searchsorted(self.ends, at, side="right")
-            mine = _SAMPLED[(at - self.starts[doc]) % MODULUS] & (at + TUPLE <= self.ends[doc])
-            places.append(at[mine]), docs.append(doc[mine]), found.append(own[mine])
-        if not places:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        return np.concatenate(places), np.concatenate(docs), np.concatenate(found)
+        longest = int(self.lengths.max()) if len(self.lengths) else 0
+        offsets = np.flatnonzero(np.resize(_SAMPLED, longest)) if longest >= TUPLE else np.zeros(0, np.int64)
+        counts = np.searchsorted(offsets, self.lengths - TUPLE, side="right")
+        doc = np.repeat(np.arange(len(counts)), counts)
+        at = np.concatenate([offsets[:n] for n in counts.tolist()] or [offsets]) + self.starts[doc]
+        found, size = np.empty(len(at), np.uint64), PIECE + TUPLE
+        up, down = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
+        for a in range(0, len(self.data), PIECE):
+            part = slice(*np.searchsorted(at, (a, a + PIECE)))
+            found[part] = names(self.data[a : a + size], at[part] - a, up, down)
+        return at, doc, found
 
     def context(self, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of sampled suffixes: a second name, the bytes around the tuple, and how many
@@ -199,7 +212,7 @@ def write_blocks(docs: DataFrame) -> DataFrame:
             held.sort(key=lambda d: (d[0] is not None, d[0] or 0))
             lengths = np.array([len(t) for _, t in held], dtype=np.int64).tobytes()
             body = zstandard.compress(b"".join(t for _, t in held), 3)
-            return _batch([(part % lanes, (part << 32) | number, size, [i for i, _ in held], lengths, body)], schema)
+            return _batch([(part, (part << 32) | number, size, [i for i, _ in held], lengths, body)], schema)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -277,11 +290,16 @@ def _own_firsts(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return by[new], by[~new]
 
 
+def _of_block(column: str):
+    """What a lane was answered, for the row's block."""
+    return F.filter(column, lambda x: x["block"] == F.col("block")).alias(column)
+
+
 def _send_repeats(blocks: DataFrame, answers: DataFrame, bits: int, buckets: int) -> DataFrame:
     """Repeated tuples with their surroundings, once for each block, and very frequent ones string by string."""
     schema = _arrow(blocks, PARTS)
     drop = np.uint64(64 - bits)
-    told = answers.groupBy("lane", "block").agg(F.sort_array(F.collect_list(F.struct("bucket", "body"))).alias("told"))
+    told = answers.groupBy("lane").agg(F.sort_array(F.collect_list(F.struct("block", "bucket", "body"))).alias("told"))
 
     def run(batches):
         for batch in batches:
@@ -291,13 +309,14 @@ def _send_repeats(blocks: DataFrame, answers: DataFrame, bits: int, buckets: int
     def _repeats(held: Block, ids: list, told: list, lane: int, block: int) -> list[tuple]:
         at, doc, name = held.samples()
         verdict = np.frombuffer(b"".join(zstandard.decompress(t["body"]) for t in told), dtype=np.uint8)
-        mine, inverse = np.unique(name >> drop, return_inverse=True)
-        verdict = verdict[inverse]
+        verdict = verdict[np.unique(name >> drop, return_inverse=True)[1]]
         keep = verdict > 0
         at, doc, name, verdict = at[keep], doc[keep], name[keep], verdict[keep]
         second, sides, before, after = held.context(at, doc)
         known, rows = [], []
         number = np.array([_NONE if i is None else i for i in ids], dtype=np.int64)
+        # Ids are sent as what they are ahead of the document's place: mostly one number.
+        ahead = number - np.arange(len(ids))
         usual = np.flatnonzero(verdict == 1)
         # Suffixes equal in name and surroundings: the first speaks for all; the others repeat it.
         words = np.zeros((len(usual), -(-2 * SIDE // 8) * 8), np.uint8)
@@ -309,7 +328,7 @@ def _send_repeats(blocks: DataFrame, answers: DataFrame, bits: int, buckets: int
         known.append((doc[rest], at[rest] - before[rest], at[rest] + LENGTH - least, before[rest] >= least))
         for b, part in _ranges(_bucket(name[sent], buckets), buckets):
             x = sent[part]
-            numbers = _packed(_steps(name[x]), second[x], before[x], after[x], number[doc[x]], doc[x].astype(np.int32), at[x] - held.starts[doc[x]])
+            numbers = _packed(_steps(name[x]), second[x], before[x], after[x], ahead[doc[x]], doc[x].astype(np.int32), at[x] - held.starts[doc[x]])
             rows.append((b, 0, lane, block, len(x), len(numbers).to_bytes(8, "little") + numbers + zstandard.compress(sides[x].tobytes(), 3)))
         hot = np.flatnonzero(verdict == 2)
         if len(hot):
@@ -326,7 +345,7 @@ def _send_repeats(blocks: DataFrame, answers: DataFrame, bits: int, buckets: int
             known.append((owner[rest], begin[rest], begin[rest] + LENGTH, np.ones(len(rest), bool)))
             for b, part in _ranges(_bucket(one[sent], buckets), buckets):
                 x = sent[part]
-                rows.append((b, 1, lane, block, len(x), _packed(_steps(one[x]), two[x], number[owner[x]], owner[x].astype(np.int32), begin[x] - held.starts[owner[x]])))
+                rows.append((b, 1, lane, block, len(x), _packed(_steps(one[x]), two[x], ahead[owner[x]], owner[x].astype(np.int32), begin[x] - held.starts[owner[x]])))
         d, a, z, true = (np.concatenate(c) for c in zip(*known))
         if true.any():
             d, a, z = d[true], a[true] - held.starts[d[true]], z[true] - held.starts[d[true]]
@@ -334,7 +353,7 @@ def _send_repeats(blocks: DataFrame, answers: DataFrame, bits: int, buckets: int
             rows.append((block % buckets, 2, lane, block, len(d), _packed(d.astype(np.int32), a, z)))
         return rows
 
-    joined = blocks.join(told, ["lane", "block"]).select("lane", "block", "ids", "lengths", "body", "told")
+    joined = blocks.join(told, "lane").select("lane", "block", "ids", "lengths", "body", _of_block("told"))
     return joined.mapInArrow(run, blocks.sparkSession.createDataFrame([], PARTS).schema)
 
 
@@ -373,34 +392,40 @@ def _repeat_shifts(group: np.ndarray, sides: np.ndarray, before: np.ndarray, aft
     """Of sampled suffixes in document order: the least and the greatest l for which the
     suffix l bytes before repeats an earlier one; (SIDE + 1, -1) where none does."""
     least, most = np.full(len(group), SIDE + 1), np.full(len(group), -1)
-    left, right = np.zeros((SIDE + 1, 1), np.uint64), None
-    salt = 0
+    # Those that repeat an earlier one in all bytes around them repeat it for every l.
+    whole = np.concatenate([sides, before[:, None], after[:, None]], axis=1)
+    first = _first_equal(group, whole)
+    again = np.flatnonzero((first != np.arange(len(group))) & (before.astype(int) + after >= SIDE))
+    least[again], most[again] = SIDE - after[again].astype(int), before[again]
+    # Only the others are sorted for each l, and only where a name has several.
+    rest = np.flatnonzero(first == np.arange(len(group)))
+    rest = rest[np.bincount(group[rest])[group[rest]] > 1]
     for shift in range(SIDE + 1):
-        may = np.flatnonzero((before >= shift) & (after >= SIDE - shift))
-        while len(may):
-            weight = _CONTEXT if not salt else _random(SIDE + 1, 100 + salt)
-            near = sides[may, SIDE - shift : 2 * SIDE - shift]
-            key = _named(near, group[may], weight)
-            by = np.argsort(key, kind="stable")
-            new = np.r_[True, key[by][1:] != key[by][:-1]]
-            first = by[np.flatnonzero(new)[np.cumsum(new) - 1]]
-            same = (group[may[by]] == group[may[first]]) & (near[by] == near[first]).all(axis=1)
-            if same.all():
-                again = may[by[~new]]
-                least[again], most[again] = np.minimum(least[again], shift), shift
-                break
-            salt += 1  # two different ones under one key: other weights
+        may = rest[(before[rest] >= shift) & (after[rest] >= SIDE - shift)]
+        first = _first_equal(group[may], sides[may, SIDE - shift : 2 * SIDE - shift])
+        again = may[first != np.arange(len(may))]
+        least[again], most[again] = np.minimum(least[again], shift), shift
     return least, most
 
 
-def _named(near: np.ndarray, group: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    words = np.zeros((len(near), -(-SIDE // 8) * 8), np.uint8)
-    words[:, :SIDE] = near
-    words = words.view(np.uint64)
-    key = group.astype(np.uint64) * weight[-1]
-    for k in range(words.shape[1]):
-        key = _joined(key, words[:, k] * weight[k])
-    return key
+def _first_equal(group: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """For each row the first one with equal group and bytes, compared byte by byte."""
+    words = np.zeros((len(near), -(-near.shape[1] // 8) * 8), np.uint8)
+    words[:, : near.shape[1]] = near
+    words, salt = words.view(np.uint64), 0
+    while True:
+        weight = _random(words.shape[1] + 1, 100 + salt)
+        key = group.astype(np.uint64) * weight[-1]
+        for k in range(words.shape[1]):
+            key = _joined(key, words[:, k] * weight[k])
+        by = np.argsort(key)
+        new = np.flatnonzero(np.r_[True, key[by][1:] != key[by][:-1]]) if len(by) else by
+        first = np.empty(len(by), np.int64)
+        if len(by):
+            first[by] = np.repeat(np.minimum.reduceat(by, new), np.diff(np.r_[new, len(by)]))
+        if (group == group[first]).all() and (words == words[first]).all():
+            return first
+        salt += 1  # two different ones under one key: other weights
 
 
 RUNS = "lane int, block long, n int, body binary"
@@ -422,7 +447,7 @@ def _merge_repeats(parts: DataFrame) -> DataFrame:
                 columns[-1][0] = np.cumsum(columns[-1][0])
                 sides.append(np.frombuffer(zstandard.decompress(body[8 + size :]), np.uint8).reshape(n, 2 * SIDE))
             name, second, before, after, number, doc, offset = (np.concatenate(c) for c in zip(*columns))
-            sides = np.concatenate(sides)
+            sides, number = np.concatenate(sides), number + doc
             block = np.repeat(np.arange(len(records)), [r[3] for r in records])
             by = np.lexsort((offset, doc, np.array([r[2] for r in records])[block], number))
             pair = np.lexsort((second[by], name[by]))
@@ -438,6 +463,7 @@ def _merge_repeats(parts: DataFrame) -> DataFrame:
             for c in columns:
                 c[0] = np.cumsum(c[0])
             name, second, number, doc, offset = (np.concatenate(c) for c in zip(*columns))
+            number = number + doc
             block = np.repeat(np.arange(len(strings)), [r[3] for r in strings])
             by = np.lexsort((offset, doc, np.array([r[2] for r in strings])[block], number))
             _, rest = _own_firsts([name[by], second[by]])
@@ -465,12 +491,12 @@ def removed(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     blocks = write_blocks(docs)
     sample = max(1, (blocks.agg(F.sum("bytes")).first()[0] or 0) * len(COVER) // MODULUS)
-    bits, buckets = min(64, max(40, sample.bit_length() + 12)), max(1, -(-sample // NAMES))
+    bits, buckets = min(64, max(40, sample.bit_length() + 9)), max(1, -(-sample // NAMES))
     answers = materialise(_merge_names(_send_names(blocks, bits, buckets)), "suffix-names")
     repeats = answers.agg(F.sum("repeated")).first()[0] or 0
     into = max(1, -(-repeats // REPEATS))
     runs = materialise(_merge_repeats(_send_repeats(blocks, answers, bits, into)), "suffix-runs")
-    by_block = runs.groupBy("lane", "block").agg(F.collect_list(F.struct("n", "body")).alias("runs"))
+    by_lane = runs.groupBy("lane").agg(F.collect_list(F.struct("block", "n", "body")).alias("runs"))
     schema = _arrow(docs, REMOVED)
 
     def run(batches):
@@ -491,7 +517,7 @@ def removed(docs: DataFrame) -> DataFrame:
                         rows, size = [], 0
                 yield _batch(rows, schema)
 
-    joined = blocks.join(by_block, ["lane", "block"], "left").select("ids", "lengths", "body", "runs")
+    joined = blocks.join(by_lane, "lane", "left").select("ids", "lengths", "body", _of_block("runs"))
     return joined.mapInArrow(run, spark.createDataFrame([], REMOVED).schema)
 
 

@@ -52,6 +52,11 @@ def test_against_a_dictionary(spark, monkeypatch, options):
     assert got == sorted(brute(texts), key=str)
 
 
+def test_cover():
+    m, cover = suffixes.MODULUS, suffixes.COVER
+    assert {(a - b) % m for a in cover for b in cover} == set(range(m)) and suffixes.TUPLE + suffixes.SIDE == suffixes.LENGTH
+
+
 def test_no_rows(spark):
     assert suffixes.digests(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
