@@ -11,7 +11,7 @@ DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_against_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         db.execute(f"create view {t} as select * from '{DIR}/{t}.parquet'")
     got = queries.QUERIES[name](spark, DIR)
     want = db.execute(f"select {', '.join(sorted(got.columns))} from ({queries.ORACLE[name]})").fetchall()
