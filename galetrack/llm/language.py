@@ -31,19 +31,27 @@ UNDETERMINED = "und"
 #: Marks a word's start, as in the vocabulary file.
 START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
+#: The same without the signs of numbers that `\w` holds, such as ½ or Ⅷ; slower.
+ONLY_LETTERS = re.compile(r"[^\W\d_%s]+" % "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()))
 #: Longer words are added up in logarithms.
 LONG_WORD = 40
 #: A model has a table of all pieces for each language; more languages are refused.
 MOST_LANGUAGES = 500
 
 
+def words(text: str) -> list[str]:
+    """Runs of letters."""
+    found = LETTERS.findall(text)
+    return found if "".join(found).isalpha() else [w for part in found for w in ONLY_LETTERS.findall(part)]
+
+
 def load_pieces(path: str) -> list[str]:
     """Lower-case letter pieces of a sentencepiece file (a few tens of thousands)."""
     import sentencepiece
 
     processor = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {processor.id_to_piece(i) for i in range(processor.get_piece_size()) if not processor.is_control(i)}
-    return sorted(p for p in pieces if (body := p.removeprefix(START)) and LETTERS.fullmatch(body) and body == body.lower())
+    return sorted(p for p in pieces if (body := p.removeprefix(START)) and body.isalpha() and body == body.lower())
 
 
 class Lattice:
@@ -165,15 +173,15 @@ class Scorer:
 
     def score(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its posterior probability."""
-        words = LETTERS.findall(text.lower()) if text else []
-        if not words or not self.model.languages:
+        found = words(text.lower()) if text else []
+        if not found or not self.model.languages:
             return UNDETERMINED, 0.0
         logs, index, add = np.array(self.model.priors), self.index, self.add
-        for a in range(0, len(words), 500):
+        for a in range(0, len(found), 500):
             if len(index) + 500 > self.limit:
                 self.reset()
                 index = self.index
-            at = [index[w] if w in index else add(w) for w in words[a : a + 500]]
+            at = [index[w] if w in index else add(w) for w in found[a : a + 500]]
             logs += self.rows[at].sum(axis=0)
         best = int(np.argmax(logs))
         return self.model.languages[best], float(1.0 / np.exp(logs - logs[best]).sum())
@@ -184,7 +192,7 @@ def _word_counts(sample: DataFrame) -> DataFrame:
         def step(rows):
             counts: Counter = Counter()
             for lang, text in zip(rows["lang"], rows["text"]):
-                counts.update([(lang, w) for w in LETTERS.findall(text.lower())])
+                counts.update([(lang, w) for w in words(text.lower())])
             return {"lang": [k[0] for k in counts], "word": [k[1] for k in counts], "n": list(counts.values())}
 
         return step
@@ -222,7 +230,7 @@ def train(
     picked = F.lit(False)
     for x in languages:
         picked = picked | ((F.col("lang") == x) & (F.col("h") <= per[x][1]))
-    words = materialise(_word_counts(rows.where(picked).select("lang", "text")), "language-words")
+    counted = materialise(_word_counts(rows.where(picked).select("lang", "text")), "language-words")
     model = Model(languages, pieces, priors, {})
     for _ in range(iterations):
         held = send(spark, model)
@@ -241,9 +249,11 @@ def train(
             return step
 
         counts: dict[str, dict[int, float]] = defaultdict(dict)
-        expected = map_rows(words, "lang string, piece int, n double", make, rows=1 << 16)
-        for r in expected.groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect():
-            counts[r["lang"]][r["piece"]] = r["n"]
+        expected = map_rows(counted, "lang string, piece int, n double", make, rows=1 << 16)
+        # One number for each language and piece, as columns.
+        for batch in expected.groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow().to_batches(1 << 16):
+            for lang, piece, n in zip(*(c.to_pylist() for c in batch.columns)):
+                counts[lang][piece] = n
         held.destroy()
         model = Model(languages, pieces, priors, dict(counts))
     return model

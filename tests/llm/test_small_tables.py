@@ -36,6 +36,17 @@ def test_language(spark):
     assert language.predict(documents(spark, []), P.path("piece_bpe_32k.model")).count() == 0
 
 
+def test_language_of_texts_without_letters(spark):
+    """Signs of numbers, marks and scripts beside one another."""
+    none = ["½ ² ① 42", "Ⅷ ⅷ ㊿ ٣ 三"[:8], "\u0301 \u0300", "_ 1_2", "𝟙 ➓ ⑳"]
+    assert not any(language.words(t) for t in none)
+    assert language.words("½abc²Ñé Жук三x_y") == ["abc", "Ñé", "Жук三x", "y"]
+    texts = [*none, "the thing in the house", "La casa de los ñandúes", "½ the"]
+    docs = spark.createDataFrame([(i, t, "en" if "th" in t else "es", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(docs, P.path("piece_bpe_32k.model")).collect()}
+    assert all(got[i] == ("und", 0.0) for i in range(len(none))) and all(got[i][0] != "und" for i in range(len(none), len(texts)))
+
+
 def test_language_sums_all_segmentations():
     pieces = language.load_pieces(P.path("piece_bpe_32k.model"))
     model = language.Model(["x"], pieces, [0.0], {"x": {i: 1.0 + i % 7 for i in range(len(pieces))}})
