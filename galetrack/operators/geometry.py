@@ -32,38 +32,6 @@ def cell(x: Column, size: float = CELL) -> Column:
     return F.floor(x / F.lit(size)).cast("int")
 
 
-def containment_index(edges: DataFrame, size: float = CELL) -> DataFrame:
-    """cx, cy and, for each unit whose box meets the cell, its edges in the cell's band.
-
-    A ray to the right of a point meets edges in the point's latitude band only.
-    """
-    boxes = edges.groupBy("unit_id").agg(
-        F.min(F.least("x1", "x2")).alias("xa"), F.max(F.greatest("x1", "x2")).alias("xb")
-    )
-    bands = edges.withColumn("cy", F.explode(F.sequence(cell(F.least("y1", "y2"), size), cell(F.greatest("y1", "y2"), size))))
-    rings = bands.groupBy("unit_id", "cy").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-    cells = rings.join(boxes, "unit_id").withColumn("cx", F.explode(F.sequence(cell(F.col("xa"), size), cell(F.col("xb"), size))))
-    return cells.groupBy("cx", "cy").agg(F.collect_list(F.struct("unit_id", "edges")).alias("units"))
-
-
-def _inside(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule; an edge counts from its lower end up to below its upper end."""
-    crossed = F.filter(
-        edges,
-        lambda e: ((e["y1"] > y) != (e["y2"] > y)) & (x < e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])),
-    )
-    return F.size(crossed) % 2 == 1
-
-
-def with_containing_unit(points: DataFrame, index: DataFrame, x: str = "longitude", y: str = "latitude", out: str = "unit_id", size: float = CELL) -> DataFrame:
-    """``points`` with the smallest id of the units that contain them, or null."""
-    keyed = points.withColumns({"__cx": cell(F.col(x), size), "__cy": cell(F.col(y), size)})
-    held = index.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("units").alias("__units"))
-    met = F.filter("__units", lambda u: _inside(u["edges"], F.col(x), F.col(y)))
-    found = keyed.join(held, ["__cx", "__cy"], "left").withColumn(out, F.array_min(F.transform(met, lambda u: u["unit_id"])))
-    return found.select(*[c for c in points.columns if c != out], out)
-
-
 def normalised(edges: DataFrame) -> DataFrame:
     """Edges with ends in a fixed order, so that shared edges are equal."""
     a, b = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from galetrack.functions import domain
-from galetrack.functions.geodesy import haversine_km, with_destination, with_geodesic
-from galetrack.operators import geometry
+from galetrack.operators import cover, geometry
 
 FIX = ("timestamp_utc", "longitude", "latitude", "max_wind_kt", "min_pressure_mb", "status", "flagged")
 
@@ -32,54 +31,23 @@ def densify(segs: DataFrame, step_km: float = 1.0, planar: bool = False) -> Data
     on the geodesic. Longitudes are unwrapped, so a segment over the antimeridian
     stays short.
     """
-    span = F.pmod(F.col("b_longitude") - F.col("a_longitude") + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)
-    if planar:
-        rows = segs.withColumn("km", haversine_km(F.col("a_longitude"), F.col("a_latitude"), F.col("b_longitude"), F.col("b_latitude")))
-    else:
-        rows = with_geodesic(segs, "km", "a_longitude", "a_latitude", "b_longitude", "b_latitude", azimuth="az")
-    rows = rows.withColumn("n", F.greatest(F.lit(1), F.ceil(F.col("km") / step_km)).cast("int")).withColumn("span", span)
-    kept = ["storm_id", "seg", "n", "km", "span", "a_longitude", "a_latitude", "b_longitude", "b_latitude"] + ([] if planar else ["az"])
-    rows = rows.select(*kept, F.explode(F.sequence(F.lit(0), F.col("n"))).alias("j"))
-    f = F.col("j") / F.col("n")
-    if planar:
-        lon, lat = F.col("a_longitude") + F.col("span") * f, F.col("a_latitude") + (F.col("b_latitude") - F.col("a_latitude")) * f
-        rows = rows.withColumns({"lon": domain.wrapped_longitude(lon), "lat": lat})
-    else:
-        rows = with_destination(rows.withColumn("part", F.col("km") * f), "lon", "lat", "a_longitude", "a_latitude", "az", "part")
-        ends = F.when(F.col("j") == 0, F.lit("a")).when(F.col("j") == F.col("n"), F.lit("b"))
-        rows = rows.withColumns({
-            "lon": F.when(ends == "a", F.col("a_longitude")).when(ends == "b", F.col("b_longitude")).otherwise(F.col("lon")),
-            "lat": F.when(ends == "a", F.col("a_latitude")).when(ends == "b", F.col("b_latitude")).otherwise(F.col("lat")),
-        })
+    rows = cover.parts(segs, step_km, planar)
+    rows = cover.positions(rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n")))), planar, j="lon,lat")
     return rows.select("storm_id", "seg", "j", "n", "lon", "lat")
 
 
-def near_land(segs: DataFrame, edges: DataFrame, size: float = geometry.CELL) -> DataFrame:
-    """Segments whose cells meet some unit's box: the others can't cross onto land."""
-    boxes = edges.groupBy("unit_id").agg(*[f(g(a, b)).alias(n) for n, f, g, a, b in (("xa", F.min, F.least, "x1", "x2"), ("xb", F.max, F.greatest, "x1", "x2"), ("ya", F.min, F.least, "y1", "y2"), ("yb", F.max, F.greatest, "y1", "y2"))])
-    cells = boxes.select(F.explode(F.sequence(geometry.cell(F.col("xa"), size) - 1, geometry.cell(F.col("xb"), size) + 1)).alias("cx"), "ya", "yb")
-    cells = cells.select("cx", F.explode(F.sequence(geometry.cell(F.col("ya"), size) - 1, geometry.cell(F.col("yb"), size) + 1)).alias("cy")).distinct()
-    lo, hi = F.least("a_longitude", "b_longitude"), F.greatest("a_longitude", "b_longitude")
-    # Over the antimeridian both ends' surroundings count.
-    far = hi - lo > 180
-    xs = F.when(far, F.array_union(F.sequence(geometry.cell(hi, size), F.lit(int(180 / size))), F.sequence(F.lit(int(-180 / size)), geometry.cell(lo, size)))).otherwise(F.sequence(geometry.cell(lo, size), geometry.cell(hi, size)))
-    keyed = segs.select("storm_id", "seg", F.explode(xs).alias("cx"), "a_latitude", "b_latitude")
-    keyed = keyed.withColumn("cy", F.explode(F.sequence(geometry.cell(F.least("a_latitude", "b_latitude"), size), geometry.cell(F.greatest("a_latitude", "b_latitude"), size))))
-    hits = keyed.join(cells, ["cx", "cy"], "left_semi").select("storm_id", "seg").distinct()
-    return segs.join(hits, ["storm_id", "seg"], "left_semi")
-
-
-def crossings(segs: DataFrame, index: DataFrame, step_km: float = 1.0, planar: bool = False) -> DataFrame:
+def crossings(segs: DataFrame, land: DataFrame, step_km: float = 1.0, planar: bool = False) -> DataFrame:
     """Water-to-land transitions: storm_id, seg, o (ordinal in the segment), n, j, lon, lat, unit_id.
 
-    j is the first sample on land; (before_lon, before_lat) the last one at sea.
+    j is the first sample on land; (before_lon, before_lat) the last one at sea. ``land``
+    is a cover; only samples of stretches in its boundary cells are rows.
     """
-    samples = geometry.with_containing_unit(densify(segs, step_km, planar), index, "lon", "lat")
+    rows = cover.stretches(cover.parts(cover.near_land(segs, land), step_km, planar), land, planar)
     along = Window.partitionBy("storm_id", "seg").orderBy("j")
-    rows = samples.withColumns({"was": F.lag(F.struct("lon", "lat", F.col("unit_id").isNull().alias("sea"))).over(along)})
-    rows = rows.where("unit_id is not null and was.sea")
-    rows = rows.withColumn("o", (F.row_number().over(along) - 1).cast("int"))
-    return rows.select("storm_id", "seg", "o", "j", "n", "lon", "lat", "unit_id", F.col("was.lon").alias("before_lon"), F.col("was.lat").alias("before_lat"))
+    rows = rows.withColumns({"nth": F.row_number().over(along), "was": F.lag("over").over(along)})
+    rows = rows.where("over is not null and was is null and nth > 1").withColumn("o", (F.row_number().over(along) - 1).cast("int"))
+    rows = cover.positions(rows.withColumn("i", F.col("j") - 1), planar, j="lon,lat", i="before_lon,before_lat")
+    return rows.select("storm_id", "seg", "o", "j", "n", "lon", "lat", F.col("over").alias("unit_id"), "before_lon", "before_lat")
 
 
 def match_flags(segs: DataFrame, found: DataFrame) -> DataFrame:
@@ -133,7 +101,7 @@ def events(points: DataFrame, segs: DataFrame, matched: DataFrame) -> DataFrame:
 def attribute(found: DataFrame, index: DataFrame, edges: DataFrame, units: DataFrame, masses: DataFrame, mainland: int | None, planar: bool = False) -> DataFrame:
     """Events with place: the containing unit, else the nearest one and its distance."""
     key = ["storm_id", "seg", "j", "native_only"]
-    inside = geometry.with_containing_unit(found.where("native_only = 1"), index, "exact_lon", "exact_lat")
+    inside = cover.with_unit(found.where("native_only = 1"), index, "exact_lon", "exact_lat")
     rows = found.where("native_only = 0").unionByName(inside)
     outside = rows.where("unit_id is null")
     near = geometry.nearest_edge(outside, key, edges.select("unit_id", "x1", "y1", "x2", "y2"), "unit_id", "exact_lon", "exact_lat")
@@ -157,7 +125,7 @@ def sequence(found: DataFrame, points: DataFrame, index: DataFrame) -> DataFrame
     spot = Window.partitionBy("storm_id", "exact_time", F.round("exact_lat", 9), F.round("exact_lon", 9)).orderBy("native_only", "seg", "j")
     rows = found.withColumn("__first", F.row_number().over(spot)).where("__first = 1").drop("__first")
     # Water seen so far, at each fix and event: a running count on one timeline.
-    wet = geometry.with_containing_unit(points.select("storm_id", "point_seq", "timestamp_utc", "longitude", "latitude"), index, out="over").where("over is null")
+    wet = cover.with_unit(points.select("storm_id", "point_seq", "timestamp_utc", "longitude", "latitude"), index, out="over").where("over is null")
     ticks = wet.select("storm_id", F.col("timestamp_utc").alias("t"), F.lit(1).alias("w"), F.lit(None).cast("int").alias("seg"), F.lit(None).cast("int").alias("j"), F.lit(None).cast("int").alias("native_only"))
     times = rows.select("storm_id", F.col("exact_time").alias("t"), F.lit(0).alias("w"), "seg", "j", "native_only")
     # Strictly before an event: equal times don't count; up to one: they do.

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from galetrack.functions import domain
-from galetrack.operators import geometry
+from galetrack.operators import cover, geometry
 
 
 def enrich(points: DataFrame, index: DataFrame, coast: DataFrame, planar: bool = False) -> DataFrame:
     """Every fix with is_over_land, the coast's nearest position and distance, and derived labels."""
     key = ["storm_id", "point_seq"]
-    rows = geometry.with_containing_unit(points, index, out="over_unit").withColumn("is_over_land", F.col("over_unit").isNotNull()).drop("over_unit")
+    rows = cover.with_unit(points, index, out="over_unit").withColumn("is_over_land", F.col("over_unit").isNotNull()).drop("over_unit")
     rows = rows.join(geometry.distance_to_coast(points, key, coast, planar=planar), key, "left")
     wind = F.col("max_wind_kt")
     return rows.withColumns({

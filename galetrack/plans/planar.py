@@ -62,12 +62,21 @@ def _turn(p: tuple[str, str], q: tuple[str, str], r: tuple[str, str]) -> str:
 _A, _B, _C, _D = ("before_lon", "before_lat"), ("exact_lon", "exact_lat"), ("g.x1", "g.y1"), ("g.x2", "g.y2")
 _KEY = "storm_id, seg, j, native_only"
 
+#: The unit that holds a point: its box does, sides included, and the point is on no edge of the union's boundary.
+HELD = (
+    "case when not exists (select 1 from coast c where {x} between c.x1 and c.x2 and {y} between c.y1 and c.y2)"
+    " then (select min(h.unit_id) from box h where {x} between h.xa and h.xb and {y} between h.ya and h.yb) end"
+)
 #: Table expressions in the order of their use.
 TABLES = {
     "fixes": storms.FIXES_SQL,
     "seasons": storms.SEASONS_SQL,
     "units": storms.UNITS_SQL,
     "box": "select *, ix1 / 10000.0 as xa, ix2 / 10000.0 as xb, iy1 / 10000.0 as ya, iy2 / 10000.0 as yb from units",
+    "sides": (
+        "select unit_id, unnest([[ix1, iy1, ix2, iy1], [ix1, iy2, ix2, iy2], [ix1, iy1, ix1, iy2], [ix2, iy1, ix2, iy2]]) as e from units"
+    ),
+    "coast": "select e[1] / 10000.0 as x1, e[2] / 10000.0 as y1, e[3] / 10000.0 as x2, e[4] / 10000.0 as y2 from sides group by e having count(*) % 2 = 1",
     "gates": "select printf('G%03d', unit_id) as gate_id, admin1_name as region, xa as x1, xa as x2, ya as y1, yb as y2 from box",
     "areas": f"select unit_id, 6378.137 * 6378.137 * radians(xb - xa) * ({_Q.format(y='yb')} - {_Q.format(y='ya')}) / 2 as km2 from box",
     "runs": "select unit_id, sum(case when unit_id % 5 = 0 or unit_id % 2 = 0 or unit_id in (3, 17) then 1 else 0 end) over (order by unit_id) as run from units",
@@ -85,7 +94,7 @@ TABLES = {
     ),
     "cut": f"select *, greatest(1, cast(ceil({arc('a_lon', 'a_lat', 'b_lon', 'b_lat')} / {STEP_KM}) as int)) as n, (b_lon - a_lon + 180.0) - 180.0 as span from segs",
     "samples": "select storm_id, seg, n, j, a_lon + span * (j / n) as lon, a_lat + (b_lat - a_lat) * (j / n) as lat from (select *, unnest(range(0, n + 1)) as j from cut)",
-    "placed": "select s.*, b.unit_id from samples s left join box b on s.lon >= b.xa and s.lon < b.xb and s.lat >= b.ya and s.lat < b.yb",
+    "placed": f"select s.*, {HELD.format(x='s.lon', y='s.lat')} as unit_id from samples s",
     "steps": (
         "select *, lag(lon) over w as before_lon, lag(lat) over w as before_lat, lag(j) over w as before_j, lag(unit_id) over w as was"
         " from placed window w as (partition by storm_id, seg order by j)"
@@ -110,9 +119,9 @@ TABLES = {
     ),
     "native": (
         "select f.storm_id, f.point_seq as seg, 0 as j, 1 as native_only, 'native' as detection_method, timestamp_utc as exact_time, longitude as exact_lon, latitude as exact_lat,"
-        " max_wind_kt as exact_wind_kt, min_pressure_mb as exact_pressure_mb, status as status_at_landfall, not is_synoptic as exact_is_offcadence, b.unit_id,"
-        " cast(null as double) as before_lon, cast(null as double) as before_lat"
-        " from fixes f left join box b on longitude >= xa and longitude < xb and latitude >= ya and latitude < yb"
+        " max_wind_kt as exact_wind_kt, min_pressure_mb as exact_pressure_mb, status as status_at_landfall, not is_synoptic as exact_is_offcadence, "
+        f" {HELD.format(x='longitude', y='latitude')} as unit_id, cast(null as double) as before_lon, cast(null as double) as before_lat"
+        " from fixes f"
         " where record_identifier = 'L' and storm_id in (select storm_id from fixes group by 1 having count(*) > 1)"
         " and not exists (select 1 from claims c where c.storm_id = f.storm_id and c.flag_seq = f.point_seq)"
     ),
@@ -131,7 +140,7 @@ TABLES = {
         " left join landmass m on m.unit_id = u.unit_id"
         " qualify row_number() over (partition by f.storm_id, exact_time, round(exact_lat, 9), round(exact_lon, 9) order by native_only, seg, j) = 1"
     ),
-    "wet": "select storm_id, timestamp_utc as t from fixes f where not exists (select 1 from box where longitude >= xa and longitude < xb and latitude >= ya and latitude < yb)",
+    "wet": f"select storm_id, timestamp_utc as t from fixes f where {HELD.format(x='longitude', y='latitude')} is null",
     "soaked": (
         f"select {', '.join('a.' + k for k in _KEY.split(', '))}, count(t) filter (t < exact_time) as below, count(t) filter (t <= exact_time) as upto"
         " from attributed a left join wet w on w.storm_id = a.storm_id group by all"
@@ -169,10 +178,6 @@ TABLES = {
         " d.gate_id, g.region as gate_region, far = 0 as gate_is_crossing, gate_distance_km"
         " from timed t join seasons s using (storm_id) left join gated d using (storm_id, seg, j, native_only) left join gates g on g.gate_id = d.gate_id"
     ),
-    "sides": (
-        "select unit_id, unnest([[ix1, iy1, ix2, iy1], [ix1, iy2, ix2, iy2], [ix1, iy1, ix1, iy2], [ix2, iy1, ix2, iy2]]) as e from units"
-    ),
-    "coast": "select e[1] / 10000.0 as x1, e[2] / 10000.0 as y1, e[3] / 10000.0 as x2, e[4] / 10000.0 as y2 from sides group by e having count(*) % 2 = 1",
     "shore": (
         "select storm_id, point_seq, nx, ny from (select storm_id, point_seq, longitude, latitude, greatest(x1, least(x2, longitude)) as nx, greatest(y1, least(y2, latitude)) as ny from fixes cross join coast)"
         " qualify row_number() over (partition by storm_id, point_seq order by round(sqrt(pow(nx - longitude, 2) + pow(ny - latitude, 2)), 12), nx, ny) = 1"
@@ -180,7 +185,7 @@ TABLES = {
     "track_points": (
         f"select f.*, {arc('longitude', 'latitude', 'nx', 'ny')} as min_distance_to_coast_km, nx as nearest_coast_lon, ny as nearest_coast_lat, {category('max_wind_kt')} as ss_category,"
         f" {event_class('status', 'max_wind_kt')} as event_class, coalesce(record_identifier = 'L', false) as is_native_landfall_record,"
-        " exists (select 1 from box where longitude >= xa and longitude < xb and latitude >= ya and latitude < yb) as is_over_land"
+        f" {HELD.format(x='longitude', y='latitude')} is not null as is_over_land"
         " from fixes f join shore using (storm_id, point_seq)"
     ),
     "storms": (
@@ -211,7 +216,7 @@ TABLES = {
     "timing": "select *, exact_wind_kt - sixhr_wind_kt as delta_kt from conus where exact_wind_kt is not null and sixhr_wind_kt is not null",
 }
 #: Those that others read several times.
-_HELD = {"fixes", "seasons", "box", "segs", "placed", "crossings", "claims", "found", "attributed", "sequenced", "timed", "landfalls", "track_points", "storms", "falls", "conus", "yearly"}
+_HELD = {"fixes", "seasons", "box", "coast", "segs", "placed", "crossings", "claims", "found", "attributed", "sequenced", "timed", "landfalls", "track_points", "storms", "falls", "conus", "yearly"}
 _PARTS = {name: set(re.findall(r"[a-z_]+", text)) for name, text in TABLES.items()}
 
 

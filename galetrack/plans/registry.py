@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from galetrack.functions import domain
 from galetrack.functions.geodesy import haversine_km
-from galetrack.operators import geometry, landfall, summary
+from galetrack.operators import cover, geometry, landfall, summary
+from galetrack.operators.stage import settle
 from galetrack.plans import planar, planar_queries, storms
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,7 @@ ORACLE: dict[str, str] = {}
 #: Inputs and databases of this process, by application and folder: built once, as written tables.
 _INPUTS: dict[tuple[str, str], storms.Inputs] = {}
 _BUILT: dict[tuple[str, str, bool], storms.Database] = {}
+_LAND_COVER: dict[tuple[str, str], DataFrame] = {}
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
@@ -27,6 +29,14 @@ def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
     return _INPUTS[key]
 
 
+def land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cover of the synthetic units."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAND_COVER:
+        _LAND_COVER[key] = settle(cover.build(inputs(spark, sf_dir).edges), "cover")
+    return _LAND_COVER[key]
+
+
 def database(spark: SparkSession, sf_dir: str, flat: bool = False) -> storms.Database:
     """The tables of the synthetic tracks, sampled every km: on geodesics, or in the plane of degrees."""
     key = (spark.sparkContext.applicationId, sf_dir, flat)
@@ -39,7 +49,10 @@ def database(spark: SparkSession, sf_dir: str, flat: bool = False) -> storms.Dat
 
 _CTE = f"with fixes as ({storms.FIXES_SQL}), seasons as ({storms.SEASONS_SQL}), units as ({storms.UNITS_SQL})"
 _CATEGORY, _CLASS = planar.category("max_wind_kt"), planar.event_class("status", "max_wind_kt")
-_LAND = "located as (select f.*, (select min(u.unit_id) from units u where f.longitude * 10000 > u.ix1 and f.longitude * 10000 < u.ix2 and f.latitude * 10000 > u.iy1 and f.latitude * 10000 < u.iy2) as unit_id from fixes f)"
+_LAND = (
+    f"box as ({planar.TABLES['box']}), sides as ({planar.TABLES['sides']}), coast as ({planar.TABLES['coast']}),"
+    f" located as (select f.*, {planar.HELD.format(x='f.longitude', y='f.latitude')} as unit_id from fixes f)"
+)
 
 
 def query(name: str, sql: str | None = None):
@@ -75,13 +88,13 @@ def track_segments(spark, sf_dir):
 @query("pip_over_land", f"{_CTE}, {_LAND} select storm_id, point_seq, unit_id from located where unit_id is not null")
 def pip_over_land(spark, sf_dir):
     i = inputs(spark, sf_dir)
-    return geometry.with_containing_unit(i.points, geometry.containment_index(i.edges)).where("unit_id is not null").select("storm_id", "point_seq", "unit_id")
+    return cover.with_unit(i.points, land(spark, sf_dir)).where("unit_id is not null").select("storm_id", "point_seq", "unit_id")
 
 
 @query("landfalls_by_unit_category", f"{_CTE}, {_LAND}, moved as (select *, lag(unit_id) over (partition by storm_id order by point_seq) as was from located) select admin1_name, {_CATEGORY} as ss_category, cast(count(*) as bigint) as n from moved m join units u on m.unit_id = u.unit_id where m.was is null and m.point_seq > 0 group by 1, 2")
 def landfalls_by_unit_category(spark, sf_dir):
     i = inputs(spark, sf_dir)
-    rows = geometry.with_containing_unit(i.points, geometry.containment_index(i.edges))
+    rows = cover.with_unit(i.points, land(spark, sf_dir))
     rows = rows.withColumn("was", F.lag("unit_id").over(Window.partitionBy("storm_id").orderBy("point_seq")))
     rows = rows.where("unit_id is not null and was is null and point_seq > 0").withColumn("ss_category", domain.ss_category(F.col("max_wind_kt")))
     return rows.join(i.units, "unit_id").groupBy("admin1_name", "ss_category").agg(F.count("*").alias("n"))

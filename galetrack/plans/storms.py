@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galetrack.functions import domain
-from galetrack.operators import geometry, landfall, summary
+from galetrack.operators import cover, geometry, landfall, summary
 from galetrack.operators.stage import settle
 
 
@@ -67,7 +67,7 @@ def build(
     ``planar`` interpolates in degrees and measures on the mean sphere.
     ``provenance`` (sources, checksums, calibrations) goes into the metadata.
     """
-    index = settle(geometry.containment_index(edges), "containment")
+    index = settle(cover.build(edges), "cover")
     fine = settle(geometry.split_edges(edges), "split-edges")
     coast = settle(geometry.boundary_edges(fine), "coast")
     masses = settle(geometry.landmasses(fine), "landmasses")
@@ -94,7 +94,7 @@ def metadata(given: dict[str, str], gates: DataFrame, storms_: DataFrame, track:
 def landfalls(points, seasons, edges, units, gates, index, masses, mainland, step_km=1.0, planar=False, conus=None) -> DataFrame:
     """The landfall table."""
     segs = landfall.segments(points)
-    found = settle(landfall.crossings(landfall.near_land(segs, edges), index, step_km, planar), "crossings")
+    found = settle(landfall.crossings(segs, index, step_km, planar), "crossings")
     made = settle(landfall.events(points, segs, landfall.match_flags(segs, found)), "events")
     placed = settle(landfall.attribute(made, index, edges, units, masses, mainland, planar), "placed")
     ordered = landfall.sequence(placed, points, index)

@@ -11,12 +11,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from galetrack.functions import domain
 from galetrack.functions.workers import importable
-from galetrack.operators import geometry
+from galetrack.operators import cover
 
 
 def labelled(fixes: DataFrame, index: DataFrame) -> DataFrame:
     """``fixes`` with the unit they lie over and their labels: a join with the written index, without state."""
-    rows = geometry.with_containing_unit(fixes, index, out="over_unit")
+    rows = cover.with_unit(fixes, index, out="over_unit")
     wind = F.col("max_wind_kt")
     return rows.withColumns({"is_over_land": F.col("over_unit").isNotNull(), "ss_category": domain.ss_category(wind), "event_class": domain.event_class(F.col("status"), wind)})
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from galetrack.functions import domain
 from galetrack.functions.geodesy import with_destination, with_geodesic
-from galetrack.operators import geometry, landfall
+from galetrack.operators import cover, geometry, landfall
 
 
 def test_categories(spark):
@@ -52,7 +52,7 @@ def test_containment_and_nearest_agree_with_brute_force(spark):
     edges, rng = squares(spark), random.Random(1)
     pts = [(i, rng.uniform(-3, 6), rng.uniform(-2, 3)) for i in range(200)]
     points = spark.createDataFrame(pts, "id int, longitude double, latitude double")
-    found = {r["id"]: r["unit_id"] for r in geometry.with_containing_unit(points, geometry.containment_index(edges)).collect()}
+    found = {r["id"]: r["unit_id"] for r in cover.with_unit(points, cover.build(edges)).collect()}
     assert found == {i: 1 if 0 < x < 1 and 0 < y < 1 else 2 if 2 < x < 3 and 0 < y < 1 else None for i, x, y in pts}
     few = {r["id"]: r for r in geometry.nearest_edge(points, ["id"], edges, "unit_id").collect()}
     old, geometry.FEW_EDGES = geometry.FEW_EDGES, 0

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from galetrack.operators import geometry
+from galetrack.operators import cover
 from galetrack.operators.stage import settle
 from galetrack.streaming import live
 from test_domain import squares
@@ -9,7 +9,7 @@ SCHEMA = "storm_id int, timestamp_utc timestamp, longitude double, latitude doub
 
 
 def test_arrivals_and_peaks(spark, tmp_path):
-    index = settle(geometry.containment_index(squares(spark)), "stream-index")
+    index = settle(cover.build(squares(spark)), "stream-index")
     at = lambda h: dt.datetime(2020, 9, 1) + dt.timedelta(hours=h)
     batches = [[(1, at(0), -1.0, 0.5, "HU", 70), (2, at(0), 0.5, 0.5, "TS", 50)], [(1, at(6), 0.5, 0.5, "HU", 90), (2, at(6), 1.5, 0.5, "TS", 40)], [(1, at(3), 1.5, 0.5, "HU", 80), (2, at(30), 2.5, 0.5, "TD", 30)]]
     for i, rows in enumerate(batches):
