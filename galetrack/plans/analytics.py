@@ -316,7 +316,8 @@ def radius_table(db: Database, radii: tuple[float, ...] = (50.0, 111.12, 200.0,
 
 
 def approach_histogram(db: Database, width: float = 25.0, most: float = 1500.0) -> DataFrame:
-    rows = approaches(db).where(F.col("km") <= most)
+    """Storms without landfall by distance and class; the last bin holds all that are farther."""
+    rows = approaches(db).where("km is not null")
     return rows.groupBy(F.least(F.floor(F.col("km") / width), F.lit(int(most / width) - 1)).cast("int").alias("bin"), "event_class").agg(F.count("*").alias("n"))
 
 

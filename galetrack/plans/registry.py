@@ -11,7 +11,7 @@ from galetrack.functions import domain
 from galetrack.functions.geodesy import haversine_km
 from galetrack.operators import cover, geometry, landfall, summary
 from galetrack.operators.stage import settle
-from galetrack.plans import planar, planar_queries, storms
+from galetrack.plans import land_queries, planar, planar_queries, storms
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -232,6 +232,9 @@ def _planar(make):
     return lambda spark, sf_dir: make(database(spark, sf_dir, flat=True))
 
 
+for _name, (_make, _sql) in land_queries.QUERIES.items():
+    QUERIES[_name] = lambda spark, sf_dir, make=_make: make(inputs(spark, sf_dir), land(spark, sf_dir))
+    ORACLE[_name] = _sql
 for _name, (_make, _sql) in planar_queries.QUERIES.items():
     QUERIES[_name], ORACLE[_name] = _planar(_make), _sql
 for _table in storms.TABLES:
