@@ -3,7 +3,8 @@
 The inverse and direct problems follow Vincenty's published series with a fixed
 number of iterations. As column expressions they are some hundred nested terms,
 which take Catalyst seconds to analyse for each use; so they are Arrow-batched
-NumPy kernels. Near-antipodal pairs don't converge; the engine never asks for them.
+NumPy kernels. Pairs for which the iteration doesn't settle, near-antipodal ones, are
+solved for the azimuth at one end, by Newton's steps within a bracket.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ def inverse(lon1, lat1, lon2, lat2, iterations: int = 6):
     span = np.radians(np.mod(lon2 - lon1 + 180, 360) - 180)
     s1, c1, s2, c2, lam = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2), span
     for _ in range(iterations):
+        before = lam
         sl, cl = np.sin(lam), np.cos(lam)
         ss = np.hypot(c2 * sl, c1 * s2 - s1 * c2 * cl)
         cs = s1 * s2 + c1 * c2 * cl
@@ -61,7 +63,49 @@ def inverse(lon1, lat1, lon2, lat2, iterations: int = 6):
         m = np.where(ca2 == 0, 0, cs - 2 * s1 * s2 / np.where(ca2 == 0, 1, ca2))
         lam = span + _longitude_term(ca2, sa, sig, ss, cs, m)
     big, small = _series(ca2)
-    return B / 1000 * big * (sig - _delta(small, ss, cs, m)), np.arctan2(c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam))
+    km, az = B / 1000 * big * (sig - _delta(small, ss, cs, m)), np.arctan2(c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam))
+    open_ = np.flatnonzero((np.abs(lam - before) > 1e-11) | (np.abs(lam) > np.pi))
+    if len(open_):
+        km, az = np.array(km, dtype=float), np.array(az, dtype=float)
+        km[open_], az[open_] = _by_azimuth(*(np.broadcast_to(a, km.shape)[open_] for a in (u1, u2, span)))
+    return km, az
+
+
+def _by_azimuth(u1, u2, span, steps: int = 80):
+    """Distances and forward azimuths of pairs by the azimuth at one end.
+
+    The pair is turned so that the first point is the one farther from the equator, in
+    the south, and the other lies east; then the longitude that an azimuth reaches rises
+    with it from 0 to half a turn, so each step keeps a bracket.
+    """
+    swap = np.abs(u1) < np.abs(u2)
+    first, second = np.where(swap, u2, u1), np.where(swap, u1, u2)
+    north, east = first > 0, span >= 0
+    b1, b2 = np.minimum(np.where(north, -first, first), -1e-14), np.where(north, -second, second)
+    lon, s1, c1, s2, c2 = np.abs(span), np.sin(b1), np.cos(b1), np.sin(b2), np.cos(b2)
+
+    def reached(a):
+        sa = np.sin(a) * c1
+        to = np.sqrt(np.maximum(0.0, (np.cos(a) * c1) ** 2 + (c2 - c1) * (c2 + c1))) / c2
+        g1, g2 = np.arctan2(s1, np.cos(a) * c1), np.arctan2(s2, to * c2)
+        ca2, sig = 1 - sa * sa, np.mod(g2 - g1, 2 * np.pi)
+        turn = np.arctan2(sa * np.sin(g2), np.cos(g2)) - np.arctan2(sa * np.sin(g1), np.cos(g1))
+        m = np.cos(g1 + g2)
+        return turn - _longitude_term(ca2, sa, sig, np.sin(sig), np.cos(sig), m), ca2, sig, m, sa / c2, to
+
+    low, high = np.zeros(len(lon)), np.full(len(lon), np.pi)
+    a = np.full(len(lon), np.pi / 2)
+    for _ in range(steps):
+        off = reached(a)[0] - lon
+        low, high = np.where(off < 0, a, low), np.where(off < 0, high, a)
+        slope = (reached(a + 1e-7)[0] - reached(a - 1e-7)[0]) / 2e-7
+        newton = a - off / np.where(slope == 0, np.inf, slope)
+        a = np.where((newton > low) & (newton < high) & (np.abs(off) < 0.1), newton, (low + high) / 2)
+    _, ca2, sig, m, sa2, to = reached(a)
+    big, small = _series(ca2)
+    km = B / 1000 * big * (sig - _delta(small, np.sin(sig), np.cos(sig), m))
+    x, y = np.where(swap, sa2, np.sin(a)), np.where(swap, to, np.cos(a))
+    return km, np.arctan2(x * np.where(east, 1.0, -1.0), y * np.where(swap == north, 1.0, -1.0))
 
 
 def direct(lon, lat, azimuth, km, iterations: int = 6):

@@ -301,6 +301,17 @@ def timing_by_class(falls: DataFrame) -> DataFrame:
     return rows.groupBy("event_class").agg(F.count("*").alias("n"), share(F.count_if(d != 0), F.count("*")).alias("differ_pct"), F.median(F.abs(d)).alias("median_kt"), F.max(d).alias("most_kt"))
 
 
+def landfall_cube(db: Database) -> DataFrame:
+    """Landfalls by state, class and method and all their subtotals.
+
+    ``level`` has a bit for each of the three that is summed over, so a subtotal is told
+    from landfalls without a state.
+    """
+    rows = db.landfalls.where("is_landfall").select(F.col("landfall_admin1").alias("state"), "event_class", F.col("detection_method").alias("method"), "storm_id", "exact_wind_kt")
+    sums = rows.cube("state", "event_class", "method").agg(F.grouping_id().alias("level"), F.count("*").alias("n"), F.count_distinct("storm_id").alias("storms"), F.max("exact_wind_kt").alias("wind"))
+    return sums.select("state", "event_class", "method", F.col("level").cast("long").alias("level"), "n", "storms", "wind")
+
+
 # Near misses.
 
 

@@ -245,6 +245,12 @@ put(
 put("approach_histogram", f"select cast(least(59, floor(min_distance_to_coast_km / 25)) as int) as bin, event_class, count(*) as n from {_NEAR} where min_distance_to_coast_km is not null group by 1, 2", a.approach_histogram)
 _BIN = "cast(least(2, floor(min_distance_to_coast_km / 100)) as int)"  # the synthetic storms pass within some hundred km
 put("approach_histogram_short", f"select {_BIN} as bin, event_class, count(*) as n from {_NEAR} where min_distance_to_coast_km is not null group by 1, 2", lambda db: a.approach_histogram(db, 100.0, 300.0))
+_WHERE, _HOW = "landfall_admin1", "detection_method"
+put(
+    "landfall_cube",
+    f"select {_WHERE} as state, event_class, {_HOW} as method, grouping({_WHERE}, event_class, {_HOW}) as level, count(*) as n, count(distinct storm_id) as storms, max(exact_wind_kt) as wind from falls where is_landfall group by cube ({_WHERE}, event_class, {_HOW})",
+    lambda db: a.landfall_cube(db),
+)
 put("approaches_by_class", f"select c.event_class, count(s.storm_id) as storms, count(s.storm_id) filter (min_distance_to_coast_km <= 300) as within from classes c left join {_NEAR} s using (event_class) group by 1", lambda db: a.approaches_by_class(db, planar.RADIUS_KM))
 put("strongest_landfall", f"select storm_id, landfall_seq, exact_wind_kt, {us('exact_time')} as exact_us from peak", lambda db: a.strongest_landfall(conus(db)).select("storm_id", "landfall_seq", "exact_wind_kt", F.unix_micros("exact_time").alias("exact_us")))
 put(

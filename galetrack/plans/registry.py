@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from galetrack.functions import domain
+from galetrack.functions import domain, sql
 from galetrack.functions.geodesy import haversine_km
 from galetrack.operators import cover, geometry, landfall, summary
 from galetrack.operators.stage import settle
@@ -179,6 +179,37 @@ def season_class_matrix(spark, sf_dir):
     return grid.join(counts, ["season", "c"], "left").select("season", F.col("c").alias("class"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
+@query(
+    "sql_functions",
+    f"{_CTE}, s as (select storm_id, point_seq, status, max_wind_kt, longitude as x1, latitude as y1, lead(longitude) over w as x2, lead(latitude) over w as y2 from fixes window w as (partition by storm_id order by point_seq))"
+    f" select storm_id, point_seq, {_CATEGORY} as category, {_CLASS} as class, round({planar.arc('x1', 'y1', 'x2', 'y2')}, 6) as km from s",
+)
+def sql_functions(spark, sf_dir):
+    """The registered functions, called from SQL text."""
+    sql.register(spark)
+    return spark.sql(
+        "select storm_id, point_seq, gale_category(max_wind_kt) as category, gale_class(status, max_wind_kt) as class, round(gale_arc_km(longitude, latitude, lead(longitude) over w, lead(latitude) over w), 6) as km"
+        " from {fixes} window w as (partition by storm_id order by point_seq)",
+        fixes=inputs(spark, sf_dir).points,
+    )
+
+
+@query(
+    "sql_positions",
+    f"{_CTE}, s as (select storm_id, point_seq, longitude as x1, latitude as y1, lead(longitude) over w as x2, lead(latitude) over w as y2 from fixes window w as (partition by storm_id order by point_seq)),"
+    f" n as (select *, greatest(1, cast(ceil({planar.arc('x1', 'y1', 'x2', 'y2')} / 50.0) as int)) as n from s where x2 is not null), j as (select *, unnest(range(n + 1)) as j from n)"
+    " select storm_id, point_seq, cast(j as int) as j, round(x1 + (x2 - x1) * (j / n), 6) as lon, round(y1 + (y2 - y1) * (j / n), 6) as lat from j",
+)
+def sql_positions(spark, sf_dir):
+    """Positions every 50 km, by the table function from SQL text."""
+    sql.register(spark)
+    return spark.sql(
+        "select storm_id, point_seq, p.j, round(p.lon, 6) as lon, round(p.lat, 6) as lat from (select storm_id, seg as point_seq, a_longitude as x1, a_latitude as y1, b_longitude as x2, b_latitude as y2 from {segs}) s,"
+        " lateral gale_along(s.x1, s.y1, s.x2, s.y2, 50.0D) p",
+        segs=landfall.segments(inputs(spark, sf_dir).points),
+    )
+
+
 @query("season_rolling_mean", f"{_CTE}, {_SEASONAL}, n as (select season, count(*) as n from f group by 1) select season, case when count(*) over w >= 6 then round(avg(n) over w, 6) end as smoothed from n window w as (order by season rows between 5 preceding and 4 following)")
 def season_rolling_mean(spark, sf_dir):
     counts = seasonal(spark, sf_dir).groupBy("season").agg(F.count("*").alias("n"))

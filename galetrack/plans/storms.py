@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galetrack.functions import domain
+from galetrack.functions import domain, sql
 from galetrack.operators import cover, geometry, landfall, summary
 from galetrack.operators.stage import settle
 
@@ -42,7 +42,8 @@ class Database:
         }
 
     def register(self, prefix: str = "") -> None:
-        """Temporary views of the tables and the joined ones, by ``prefix`` and name."""
+        """Temporary views of the tables and the joined ones, by ``prefix`` and name, and the SQL functions."""
+        sql.register(self.storms.sparkSession)
         for name in TABLES:
             getattr(self, name).createOrReplaceTempView(prefix + name)
         for name, rows in self.views().items():
