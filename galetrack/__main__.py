@@ -1,20 +1,22 @@
 """Command line: build, compare, gates, provenance.
 
-Exit codes: 0 done, 1 the comparison found detected storms that nothing explains, 2 a
-wrong call or missing file.
+Exit codes: 0 done, 1 the comparison doesn't pass (too little of the list was read, or too
+many of its named storms are missing), 2 a wrong call or missing file.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from galetrack.operators import coastgates, geometry
 from galetrack.plans import external, storms
-from galetrack.sources import besttrack, hurricane_list, sinks, tables
+from galetrack.sources import besttrack, hurricane_list, shapefile, sinks, tables
 from galetrack.sources.config import Config
 
 
@@ -23,15 +25,22 @@ def session() -> SparkSession:
 
 
 def land(spark: SparkSession, config: Config) -> tuple[DataFrame, DataFrame]:
-    return tables.read_geojson(spark, str(config.path("coastline.path")), dict(config.get("coastline.columns", {})))
+    """The user's own land if there is an override, else the one of the settings."""
+    path = config.path("coastline.override_path" if config.get("coastline.override_path") else "coastline.path")
+    if not path.exists():
+        raise FileNotFoundError(f"no land at {path}; set coastline.override_path or coastline.path")
+    return tables.read_land(spark, str(path), dict(config.get("coastline.columns", {})))
 
 
 def gates(spark: SparkSession, config: Config, units: DataFrame, edges: DataFrame) -> DataFrame:
     """The user's own gates, or even ones along the coast."""
     if config.get("gates.override_path"):
-        found = tables.read_gates_csv(spark, str(config.path("gates.override_path")))
+        path = str(config.path("gates.override_path"))
+        found = shapefile.read_gates(spark, path) if path.endswith(".shp") else tables.read_gates_csv(spark, path)
     else:
-        found = coastgates.generate(geometry.boundary_edges(edges), config.calibration("gate_spacing_km"), config.calibration("gate_half_width_km"), edges, units)
+        fine, countries = geometry.split_edges(edges), list(config.get("gates.countries", []))
+        coast = geometry.country_coastline(fine, units, countries) if countries else geometry.boundary_edges(fine)
+        found = coastgates.generate(coast, config.calibration("gate_spacing_km"), config.calibration("gate_half_width_km"), edges, units)
     tables.validate_gates(found)
     return found
 
@@ -40,8 +49,17 @@ def build(config: Config, options: argparse.Namespace) -> int:
     spark = session()
     units, edges = land(spark, config)
     track = besttrack.read(spark, [str(p) for p in config.basin_paths().values()])
-    given = {f"calibration.{c.name}": f"{c.value:g}" for c in config.calibrations.values()} | {f"calibration.{c.name}.status": c.status for c in config.calibrations.values()}
-    given |= {f"source.{Path(r['path']).name}": r["sha256"] for r in track.provenance.collect()}
+    given = {}
+    for c in config.calibrations.values():
+        given |= {f"calibration.{c.name}": f"{c.value:g}", f"calibration.{c.name}.status": c.status, f"calibration.{c.name}.source": " ".join(c.source.split())}
+    sources = track.provenance.collect()  # a row for each file
+    given |= {f"source.{Path(r['path']).name}": r["sha256"] for r in sources}
+    land_path = config.get("coastline.override_path") or config.get("coastline.path")
+    given |= {
+        "generated_at_utc": datetime.now(UTC).isoformat(timespec="seconds"), "track_sources": ", ".join(r["path"] for r in sources), "track_sha256": ", ".join(r["sha256"] for r in sources),
+        "coastline_source": str(config.get("coastline.name") or Path(str(land_path)).stem), "coastline_path": str(land_path),
+        "gate_set_origin": str(config.get("gates.override_path") or "generated"), "parse_warnings": str(track.issues.count()),
+    }
     step = config.calibration("landfall_segment_step_km")
     db = storms.build(track.points, track.storms, edges, units, gates(spark, config, units, edges), step, radius_km=config.calibration("bypass_radius_km"), provenance=given)
     sinks.write_tables({n: getattr(db, n) for n in storms.TABLES}, str(config.path("output.path")))
@@ -51,9 +69,17 @@ def build(config: Config, options: argparse.Namespace) -> int:
 def compare(config: Config, options: argparse.Namespace) -> int:
     spark, out = session(), str(config.path("output.path"))
     db = storms.Database(*[tables.read_built(spark, out, n) for n in storms.TABLES])
-    listed = hurricane_list.read(spark, options.list).where("kind = 'landfall'")
-    print(external.report(db, listed))
-    return int(not external.by_name(db, listed).where("verdict = 'only_detected'").isEmpty())
+    path = options.list or str(config.path("qa.list_path"))
+    if not Path(path).exists():
+        raise FileNotFoundError(f"no list at {path}")
+    listed = hurricane_list.read(spark, path)
+    text = external.report(db, listed.where("kind = 'landfall'"))
+    found = external.passes(db, listed).first()
+    text += f"\n{'PASS' if found['passed'] else 'FAIL'}: {found['rate']:.1%} of the list read, {found['missing']} of {found['named']} named storms missing\n"
+    if options.report:
+        Path(options.report).write_text(text, encoding="utf-8")
+    print(text)
+    return int(not found["passed"])
 
 
 def show_gates(config: Config, options: argparse.Namespace) -> int:
@@ -62,6 +88,8 @@ def show_gates(config: Config, options: argparse.Namespace) -> int:
     found = gates(spark, config, units, edges)
     print(f"{found.count()} gates")
     if options.export:
+        # The columns that the reader of gate files takes.
+        found = found.orderBy("sort_order").select("gate_id", "gate_name", "region", *[F.col(a).alias(b) for a, b in (("x1", "lon1"), ("y1", "lat1"), ("x2", "lon2"), ("y2", "lat2"))])
         found.coalesce(1).write.mode("overwrite").option("header", True).csv(options.export)
     return 0
 
@@ -79,7 +107,8 @@ def main(arguments: list[str] | None = None) -> int:
         command = commands.add_parser(name, help=text)
         command.set_defaults(run=run)
         if name == "compare":
-            command.add_argument("--list", required=True, help="the list's web page")
+            command.add_argument("--list", help="the list's web page; else that of the settings, qa.list_path")
+            command.add_argument("--report", help="a file for the comparison")
         if name == "gates":
             command.add_argument("--export", help="a folder for the gates as CSV")
     options = parser.parse_args(arguments)

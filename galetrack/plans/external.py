@@ -9,6 +9,7 @@ from galetrack.functions import domain
 from galetrack.plans import analytics
 from galetrack.plans.storms import Database
 from galetrack.plans.workload import countable
+from galetrack.sources import hurricane_list
 
 #: Units of the United States outside of the list's scope.
 OUTSIDE = ("Alaska", "Hawaii", "Puerto Rico", "United States Virgin Islands")
@@ -71,6 +72,24 @@ def by_name(db: Database, listed: DataFrame, conus: tuple[str, ...] = domain.CON
     return met.select("season", "name", verdict.alias("verdict"), F.when(verdict == "below_hurricane", F.col("weak_kt")).alias("weak_kt")).where("verdict is not null")
 
 
+#: The least share of the list's lines that must be read, and the greatest share of its named storms that may be missing.
+LEAST_PARSED, MOST_MISSING = 0.95, 0.10
+
+
+def passes(db: Database, rows: DataFrame, conus: tuple[str, ...] = domain.CONUS_UNITS) -> DataFrame:
+    """One row: rate, named, missing and ``passed``.
+
+    ``rows`` is the whole list. It passes if enough of it was read, if storms are named,
+    and if few of those are missing. Storms detected below hurricane strength count
+    neither way.
+    """
+    named = verdicts(db, rows.where("kind = 'landfall'"), conus)
+    counts = named.agg(*[F.coalesce(F.sum(F.when(F.col("verdict").isin(*v), F.col("n"))), F.lit(0)).alias(c) for c, v in (("matched", ["matched"]), ("missing", ["only_listed"]))])
+    both = hurricane_list.parse_rate(rows).select("rate").join(counts)  # one row each
+    n = F.col("matched") + F.col("missing")
+    return both.select("rate", n.alias("named"), "missing", ((F.col("rate") >= LEAST_PARSED) & (n > 0) & F.coalesce(F.col("missing") / n <= MOST_MISSING, F.lit(False))).alias("passed"))
+
+
 def verdicts(db: Database, listed: DataFrame, conus: tuple[str, ...] = domain.CONUS_UNITS) -> DataFrame:
     return by_name(db, listed, conus).groupBy("verdict").agg(F.count("*").alias("n"))
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from galetrack.functions import domain, sql
 from galetrack.operators import cover, geometry, landfall, summary
 from galetrack.operators.stage import settle
+from galetrack.plans import checks
 
 
 TABLES = ("storms", "track_points", "landfalls", "bypasses", "landfall_gates", "metadata")
@@ -28,6 +29,8 @@ class Database:
     bypasses: DataFrame
     landfall_gates: DataFrame
     metadata: DataFrame
+    #: What a watched build counted while it wrote, by table.
+    observations: dict[str, Observation] = field(default_factory=dict)
 
     def views(self) -> dict[str, DataFrame]:
         """The joined and geometric views: WKT beside the tables' columns."""
@@ -74,11 +77,13 @@ def build(
     masses = settle(geometry.landmasses(fine), "landmasses")
     mainland = geometry.mainland_landmass(units, masses, mainland_country) if mainland_country else None
     falls = landfalls(points, seasons, edges, units, gates, index, masses, mainland, step_km, planar, conus)
+    falls, seen_falls = checks.watch(falls, "landfalls")
     falls = settle(falls, "landfalls")
-    track = settle(summary.enrich(points, index, coast, planar), "track-points")
+    track, seen_track = checks.watch(summary.enrich(points, index, coast, planar), "track_points")
+    track = settle(track, "track-points")
     storms_ = settle(summary.storms(track, falls, seasons), "storms")
     given = {"schema_version": SCHEMA_VERSION, "landfall_definition": LANDFALL_RULE, "step_km": f"{step_km:g}", "bypass_radius_km": f"{radius_km:g}", **(provenance or {})}
-    return Database(storms_, track, falls, summary.bypasses(track, falls, radius_km), gates, metadata(given, gates, storms_, track))
+    return Database(storms_, track, falls, summary.bypasses(track, falls, radius_km), gates, metadata(given, gates, storms_, track), {"landfalls": seen_falls, "track_points": seen_track})
 
 
 SCHEMA_VERSION = "2"

@@ -26,6 +26,16 @@ def read_geojson(spark: SparkSession, path: str, names: dict[str, str]) -> tuple
     return units, edges.where("x1 != x2 or y1 != y2")
 
 
+def read_land(spark: SparkSession, path: str, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(units, edges) of a file by its name: ``.shp`` or GeoJSON. Edges are mended: see :func:`galetrack.operators.rings.repair`."""
+    from galetrack.operators import rings
+    from galetrack.sources import shapefile
+
+    units, edges = shapefile.read_land(spark, path, names) if path.endswith(".shp") else read_geojson(spark, path, names)
+    good, _ = rings.repair(edges)
+    return units, good.select("unit_id", "x1", "y1", "x2", "y2")
+
+
 GATE_SCHEMA = "gate_id string, gate_name string, region string, lon1 double, lat1 double, lon2 double, lat2 double"
 
 

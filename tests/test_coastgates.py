@@ -7,6 +7,7 @@ import pytest
 from galetrack import __main__ as command
 from galetrack.functions.geodesy import inverse
 from galetrack.operators import coastgates, geometry
+from galetrack.sources import tables
 from test_domain import squares
 
 
@@ -61,5 +62,9 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "list.html").write_text("<tr><td>1998</td><td>Aug</td><td>TX, 1</td><td>1</td><td>970</td><td>85</td><td>Other</td></tr>")
     assert run("compare", "--list", str(tmp_path / "list.html")) == 1
     assert run("gates", "--export", str(tmp_path / "gates")) == 0
+    again = tables.read_gates_csv(spark, str(next((tmp_path / "gates").glob("*.csv"))))
+    tables.validate_gates(again)
+    meta = {r["key"]: r["value"] for r in spark.read.parquet(str(tmp_path / "out/metadata")).collect()}
+    assert {"generated_at_utc", "track_sha256", "coastline_source", "gate_set_origin", "parse_warnings", "calibration.gate_spacing_km.source"} <= set(meta)
     (tmp_path / "al.txt").unlink()
     assert run("build") == 2

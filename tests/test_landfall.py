@@ -1,5 +1,6 @@
 """Worked cases: two unit squares A (x 0-1) and B (x 2-3), a track along y = 0.5."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -65,11 +66,32 @@ def test_values(built):
 
 def test_near_misses_and_checks(built):
     assert {r["storm_id"]: round(r["bypass_distance_to_coast_km"]) for r in built.bypasses.collect()} == {1: 56, 8: 56}
-    failed = [r["check"] for r in checks.run(built).where("failures > 0").collect()]
-    assert failed == []
+    found = {r["check"]: r for r in checks.run(built).collect()}
+    assert len(found) == 29 and {r["result"] for r in found.values()} == {"PASS"} and found["statuses"]["detail"] == f"0 of {built.track_points.count()}"
     assert {r["storm_id"] for r in built.storms.where("made_landfall").collect()} == {2, 3, 4, 5, 6, 7}
 
 
+def test_checks_of_spoiled_tables(built):
+    """Each check turns red on its own fault, with and without a build's own counts."""
+    p, l, s, b, g = built.track_points, built.landfalls, built.storms, built.bypasses, built.landfall_gates
+    put = lambda df, c, v, where: df.withColumn(c, F.when(F.expr(where), F.expr(v)).otherwise(F.col(c)))
+    spoiled = dataclasses.replace(
+        built, observations={},
+        storms=put(put(s, "n_track_points", "n_track_points + 1", "storm_id = 2"), "n_landfalls", "9", "storm_id = 3").unionByName(s.where("storm_id = 4")),
+        track_points=put(put(put(put(put(p, "status", "'ZZ'", "storm_id = 2"), "max_wind_kt", "-99", "storm_id = 3"), "latitude", "91", "storm_id = 4"), "ss_category", "'4'", "storm_id = 5"), "min_pressure_mb", "700", "storm_id = 6")
+        .withColumn("record_identifier", F.lit("Q")).withColumn("min_distance_to_coast_km", F.lit(None).cast("double")).withColumn("longitude", F.lit(200.0)).unionByName(p.where("storm_id = 7")).withColumn("ss_category", F.when(F.col("storm_id") == 7, "X").otherwise(F.col("ss_category"))),
+        landfalls=put(put(put(l, "is_landfall", "false", "detection_method = 'native'"), "gate_id", "'none'", "storm_id = 2"), "landfall_seq", "7", "storm_id = 3")
+        .withColumn("landfall_admin1", F.lit(None).cast("string")).withColumn("is_attribution_exact", F.lit(False)).unionByName(l.where("storm_id = 7").withColumn("storm_id", F.lit(99))),
+        bypasses=b.unionByName(b).unionByName(b.limit(1).withColumn("storm_id", F.lit(2))).unionByName(b.limit(1).withColumn("storm_id", F.lit(98))),
+        landfall_gates=g.unionByName(g),
+    )
+    red = {r["check"] for r in checks.run(spoiled).where("result = 'FAIL'").collect()}
+    assert red == {r["check"] for r in checks.run(built).collect()} - {"declared_point_counts", "points_have_storm"}
+    assert {r["check"] for r in checks.run(dataclasses.replace(built, observations={})).where("result = 'FAIL'").collect()} == set()
+    lost = dataclasses.replace(built, storms=s.withColumn("n_declared", F.lit(77)).where("storm_id <> 2"))
+    assert {"declared_point_counts", "points_have_storm"} <= {r["check"] for r in checks.run(lost).where("result = 'FAIL'").collect()}
+
+
 def test_antimeridian(spark):
     segs = spark.createDataFrame([(1, 0, 179.5, 10.0, -179.5, 10.0)], "storm_id int, seg int, a_longitude double, a_latitude double, b_longitude double, b_latitude double")
     for planar in (True, False):
