@@ -199,9 +199,13 @@ class Encoder:
         counts, ids, tokens = zip(*found)
         return sum(counts), " ".join(ids), " ".join(tokens)
 
+    def array(self, text: str | None) -> np.ndarray:
+        """Ids of a whole text, four bytes each."""
+        return np.fromstring(self.digest(text)[1], dtype=np.int32, sep=" ")
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text."""
-        return np.fromstring(self.digest(text)[1], dtype=np.int32, sep=" ").tolist()
+        return self.array(text).tolist()
 
     def decode(self, ids: list[int] | None) -> str:
         """Tokens joined by a space: what a tokenizer file without a decoder gives."""
@@ -243,7 +247,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = worker_encoder(held.value)
         for texts in batches:
-            yield texts.map(encoder.encode)
+            yield pd.Series([encoder.array(t) for t in texts], dtype=object)
 
     return docs.select(*[F.col(f"`{c}`") for c in kept], ids(F.col(f"`{text}`")).alias(out))
 
