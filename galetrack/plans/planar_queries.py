@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from galetrack.functions import domain
 from galetrack.plans import analytics as a
-from galetrack.plans import external, planar, workload
+from galetrack.plans import checks, external, planar, workload
 from galetrack.plans.storms import Database
 
 CONUS = planar.CONUS
@@ -251,6 +251,44 @@ put(
     f"select {_WHERE} as state, event_class, {_HOW} as method, grouping({_WHERE}, event_class, {_HOW}) as level, count(*) as n, count(distinct storm_id) as storms, max(exact_wind_kt) as wind from falls where is_landfall group by cube ({_WHERE}, event_class, {_HOW})",
     lambda db: a.landfall_cube(db),
 )
+_NATIVE = "detection_method in ('native', 'native_confirmed')"
+#: What fails each structural check, counted in SQL.
+CHECKS = {
+    "unique_storms": "select count(*) - count(distinct storm_id) from storms",
+    "unique_points": "select count(*) - count(distinct (storm_id, point_seq)) from track_points",
+    "unique_gates": "select count(*) - count(distinct gate_id) from gates",
+    "unique_bypasses": "select count(*) - count(distinct storm_id) from near_misses",
+    "points_have_storm": "select count(*) from track_points where storm_id not in (select storm_id from storms)",
+    "landfalls_have_storm": "select count(*) from landfalls where storm_id not in (select storm_id from storms)",
+    "bypasses_have_storm": "select count(*) from near_misses where storm_id not in (select storm_id from storms)",
+    "landfalls_have_gate": "select count(*) from landfalls where gate_id not in (select gate_id from gates)",
+    "bypass_and_landfall_disjoint": "select count(*) from near_misses where storm_id in (select storm_id from landfalls where is_landfall)",
+    "declared_point_counts": "select 0",
+    "point_counts": "select count(*) from storms s where n_track_points <> (select count(*) from track_points p where p.storm_id = s.storm_id)",
+    "landfall_counts": "select count(*) from storms s where n_landfalls <> (select count(*) from landfalls l where l.storm_id = s.storm_id and is_landfall)",
+    "sentinels": "select count(*) from track_points where max_wind_kt in (-999, -99) or min_pressure_mb in (-999, -99)",
+    "coordinates_on_globe": "select count(*) from track_points where not (latitude between -90 and 90 and longitude between -180 and 180)",
+    "distance_present": "select count(*) from track_points where min_distance_to_coast_km is null",
+    "statuses": "select count(*) from track_points where coalesce(status, '') not in ('TD', 'TS', 'HU', 'EX', 'SD', 'SS', 'LO', 'WV', 'DB')",
+    "record_identifiers": "select count(*) from track_points where record_identifier not in ('C', 'G', 'I', 'L', 'P', 'R', 'S', 'T', 'W')",
+    "categories": "select count(*) from track_points where ss_category not in ('UNK', 'TD', 'TS', '1', '2', '3', '4', '5')",
+    "latitudes": "select count(*) from track_points where not latitude between -90 and 90",
+    "longitudes": "select count(*) from track_points where not longitude between -180 and 180",
+    "winds": "select count(*) from track_points where not max_wind_kt between 0 and 200",
+    "pressures": "select count(*) from track_points where not min_pressure_mb between 850 and 1050",
+    "numbered_categories_are_hurricanes": "select count(*) from track_points where ss_category in ('1', '2', '3', '4', '5') and coalesce(max_wind_kt, 0) < 64",
+    "native_never_demoted": f"select count(*) from landfalls where {_NATIVE} and not is_landfall",
+    "reentries_are_inferred": f"select count(*) from landfalls where not is_landfall and {_NATIVE}",
+    "sequences_contiguous": "select count(*) from (select storm_id from landfalls where is_landfall group by 1 having min(landfall_seq) <> 1 or max(landfall_seq) <> count(distinct landfall_seq))",
+    "us_landfalls_have_unit": "select count(*) from landfalls where is_us_landfall and landfall_admin1 is null",
+    "exact_iff_zero_distance": "select count(*) from landfalls where is_attribution_exact <> (landfall_admin_distance_km = 0)",
+    "geometric_is_exact": "select count(*) from landfalls where detection_method <> 'native' and not is_attribution_exact",
+}
+put(
+    "structural_checks",
+    "select * from (" + " union all ".join(f"select '{name}' as \"check\", f as failures, case when f = 0 then 'PASS' else 'FAIL' end as result from (select cast(({text}) as bigint) as f)" for name, text in CHECKS.items()) + ")",
+    lambda db: checks.run(db).select("check", "failures", "result"),
+)
 put("approaches_by_class", f"select c.event_class, count(s.storm_id) as storms, count(s.storm_id) filter (min_distance_to_coast_km <= 300) as within from classes c left join {_NEAR} s using (event_class) group by 1", lambda db: a.approaches_by_class(db, planar.RADIUS_KM))
 put("strongest_landfall", f"select storm_id, landfall_seq, exact_wind_kt, {us('exact_time')} as exact_us from peak", lambda db: a.strongest_landfall(conus(db)).select("storm_id", "landfall_seq", "exact_wind_kt", F.unix_micros("exact_time").alias("exact_us")))
 put(
