@@ -53,6 +53,27 @@ class Database:
             rows.createOrReplaceTempView(prefix + name)
 
 
+@dataclass
+class Land:
+    """Land and gates, made ready for builds."""
+
+    edges: DataFrame
+    units: DataFrame
+    gates: DataFrame | None
+    index: DataFrame
+    coast: DataFrame
+    masses: DataFrame
+    mainland: int | None
+
+
+def prepare(edges: DataFrame, units: DataFrame, gates: DataFrame | None, mainland_country: str | None = "US") -> Land:
+    index = settle(cover.build(edges), "cover")
+    fine = settle(geometry.split_edges(edges), "split-edges")
+    coast = settle(geometry.boundary_edges(fine), "coast")
+    masses = settle(geometry.landmasses(fine), "landmasses")
+    return Land(edges, units, gates, index, coast, masses, geometry.mainland_landmass(units, masses, mainland_country) if mainland_country else None)
+
+
 def build(
     points: DataFrame,
     seasons: DataFrame,
@@ -71,12 +92,9 @@ def build(
     ``planar`` interpolates in degrees and measures on the mean sphere.
     ``provenance`` (sources, checksums, calibrations) goes into the metadata.
     """
-    index = settle(cover.build(edges), "cover")
-    fine = settle(geometry.split_edges(edges), "split-edges")
-    coast = settle(geometry.boundary_edges(fine), "coast")
-    masses = settle(geometry.landmasses(fine), "landmasses")
-    mainland = geometry.mainland_landmass(units, masses, mainland_country) if mainland_country else None
-    falls = landfalls(points, seasons, edges, units, gates, index, masses, mainland, step_km, planar, conus)
+    land = prepare(edges, units, gates, mainland_country)
+    index, coast = land.index, land.coast
+    falls = landfalls(points, seasons, edges, units, gates, index, land.masses, land.mainland, step_km, planar, conus)
     falls, seen_falls = checks.watch(falls, "landfalls")
     falls = settle(falls, "landfalls")
     track, seen_track = checks.watch(summary.enrich(points, index, coast, planar), "track_points")
