@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from galetrack.functions import domain, sql
 from galetrack.functions.geodesy import haversine_km
 from galetrack.operators import cover, geometry, landfall, summary
-from galetrack.operators.stage import settle
 from galetrack.plans import land_queries, planar, planar_queries, storms
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,7 +18,7 @@ ORACLE: dict[str, str] = {}
 #: Inputs and databases of this process, by application and folder: built once, as written tables.
 _INPUTS: dict[tuple[str, str], storms.Inputs] = {}
 _BUILT: dict[tuple[str, str, bool], storms.Database] = {}
-_LAND_COVER: dict[tuple[str, str], DataFrame] = {}
+_LANDS: dict[tuple[str, str], storms.Land] = {}
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
@@ -29,12 +28,13 @@ def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
     return _INPUTS[key]
 
 
-def land(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cover of the synthetic units."""
+def land(spark: SparkSession, sf_dir: str) -> storms.Land:
+    """The synthetic units, made ready once for both builds."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAND_COVER:
-        _LAND_COVER[key] = settle(cover.build(inputs(spark, sf_dir).edges), "cover")
-    return _LAND_COVER[key]
+    if key not in _LANDS:
+        i = inputs(spark, sf_dir)
+        _LANDS[key] = storms.prepare(i.edges, i.units, i.gates)
+    return _LANDS[key]
 
 
 def database(spark: SparkSession, sf_dir: str, flat: bool = False) -> storms.Database:
@@ -43,7 +43,7 @@ def database(spark: SparkSession, sf_dir: str, flat: bool = False) -> storms.Dat
     if key not in _BUILT:
         i = inputs(spark, sf_dir)
         options = {"step_km": planar.STEP_KM, "planar": True, "conus": list(planar.CONUS), "radius_km": planar.RADIUS_KM} if flat else {"step_km": 1.0}
-        _BUILT[key] = storms.build(i.points, i.seasons, i.edges, i.units, i.gates, **options)
+        _BUILT[key] = storms.build(i.points, i.seasons, i.edges, i.units, i.gates, land=land(spark, sf_dir), **options)
     return _BUILT[key]
 
 
@@ -88,13 +88,13 @@ def track_segments(spark, sf_dir):
 @query("pip_over_land", f"{_CTE}, {_LAND} select storm_id, point_seq, unit_id from located where unit_id is not null")
 def pip_over_land(spark, sf_dir):
     i = inputs(spark, sf_dir)
-    return cover.with_unit(i.points, land(spark, sf_dir)).where("unit_id is not null").select("storm_id", "point_seq", "unit_id")
+    return cover.with_unit(i.points, land(spark, sf_dir).index).where("unit_id is not null").select("storm_id", "point_seq", "unit_id")
 
 
 @query("landfalls_by_unit_category", f"{_CTE}, {_LAND}, moved as (select *, lag(unit_id) over (partition by storm_id order by point_seq) as was from located) select admin1_name, {_CATEGORY} as ss_category, cast(count(*) as bigint) as n from moved m join units u on m.unit_id = u.unit_id where m.was is null and m.point_seq > 0 group by 1, 2")
 def landfalls_by_unit_category(spark, sf_dir):
     i = inputs(spark, sf_dir)
-    rows = cover.with_unit(i.points, land(spark, sf_dir))
+    rows = cover.with_unit(i.points, land(spark, sf_dir).index)
     rows = rows.withColumn("was", F.lag("unit_id").over(Window.partitionBy("storm_id").orderBy("point_seq")))
     rows = rows.where("unit_id is not null and was is null and point_seq > 0").withColumn("ss_category", domain.ss_category(F.col("max_wind_kt")))
     return rows.join(i.units, "unit_id").groupBy("admin1_name", "ss_category").agg(F.count("*").alias("n"))
@@ -264,7 +264,7 @@ def _planar(make):
 
 
 for _name, (_make, _sql) in land_queries.QUERIES.items():
-    QUERIES[_name] = lambda spark, sf_dir, make=_make: make(inputs(spark, sf_dir), land(spark, sf_dir))
+    QUERIES[_name] = lambda spark, sf_dir, make=_make: make(inputs(spark, sf_dir), land(spark, sf_dir).index)
     ORACLE[_name] = _sql
 for _name, (_make, _sql) in planar_queries.QUERIES.items():
     QUERIES[_name], ORACLE[_name] = _planar(_make), _sql

@@ -86,13 +86,15 @@ def build(
     conus: list[str] | None = None,
     radius_km: float = 111.12,
     provenance: dict[str, str] | None = None,
+    land: Land | None = None,
 ) -> Database:
     """All tables of a set of tracks. Nothing is collected but the mainland's number.
 
     ``planar`` interpolates in degrees and measures on the mean sphere.
-    ``provenance`` (sources, checksums, calibrations) goes into the metadata.
+    ``provenance`` (sources, checksums, calibrations) goes into the metadata. ``land`` is
+    what :func:`prepare` made of the same land and gates, if there are several builds.
     """
-    land = prepare(edges, units, gates, mainland_country)
+    land = land or prepare(edges, units, gates, mainland_country)
     index, coast = land.index, land.coast
     falls = landfalls(points, seasons, edges, units, gates, index, land.masses, land.mainland, step_km, planar, conus)
     falls, seen_falls = checks.watch(falls, "landfalls")
