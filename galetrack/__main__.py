@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from galetrack.operators import coastgates, geometry
 from galetrack.plans import external, storms
-from galetrack.sources import besttrack, hurricane_list, shapefile, sinks, tables
+from galetrack.sources import besttrack, geoparquet, hurricane_list, shapefile, sinks, tables
 from galetrack.sources.config import Config
 
 
@@ -45,7 +45,14 @@ def gates(spark: SparkSession, config: Config, units: DataFrame, edges: DataFram
     return found
 
 
+#: What a build may write beside its Parquet tables.
+FORMATS = ("parquet", "geoparquet", "warehouse")
+
+
 def build(config: Config, options: argparse.Namespace) -> int:
+    formats = list(config.get("output.formats") or ["parquet"])
+    if unknown := sorted(set(formats) - set(FORMATS)):
+        raise ValueError(f"unknown output.formats {unknown}; there are {list(FORMATS)}")
     spark = session()
     units, edges = land(spark, config)
     track = besttrack.read(spark, [str(p) for p in config.basin_paths().values()])
@@ -62,7 +69,18 @@ def build(config: Config, options: argparse.Namespace) -> int:
     }
     step = config.calibration("landfall_segment_step_km")
     db = storms.build(track.points, track.storms, edges, units, gates(spark, config, units, edges), step, radius_km=config.calibration("bypass_radius_km"), provenance=given)
-    sinks.write_tables({n: getattr(db, n) for n in storms.TABLES}, str(config.path("output.path")))
+    built, out = {n: getattr(db, n) for n in storms.TABLES}, config.path("output.path")
+    sinks.write_tables(built, str(out))
+    # What was written is read for the other formats, so that nothing is worked out again.
+    db = storms.Database(*[tables.read_built(spark, str(out), n) for n in storms.TABLES])
+    if "geoparquet" in formats:
+        for name, rows in db.geometric().items():
+            if name != "metadata":
+                geoparquet.write(rows, str(out / "geo" / name))
+    if "warehouse" in formats:
+        places = {"track_points": ("longitude", "latitude"), "landfalls": ("exact_lon", "exact_lat"), "bypasses": ("bypass_lon", "bypass_lat")}
+        text = "\n".join([sinks.ddl(built), sinks.copy_text(built, str(config.get("output.stage") or "GALETRACK")), sinks.view_text(places, {"storms": "track_wkt"})])
+        (out / "warehouse.sql").write_text(text, encoding="utf-8")
     return 0
 
 

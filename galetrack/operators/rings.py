@@ -98,6 +98,25 @@ def polygons(edges: DataFrame, land: DataFrame | None = None) -> DataFrame:
     return rings.join(with_area(rings, "landmass").select("landmass", "ring", "is_hole"), ["landmass", "ring"])
 
 
+def closed(rings: DataFrame, owner: str) -> DataFrame:
+    """``owner`` and parts: for each outer ring a polygon, itself and then the holes in it, closed.
+
+    ``rings`` has is_hole. The rings of an owner are put together in one row, as a geometry is a
+    value. Where an owner has several outer rings, a hole goes to the smallest outer ring
+    whose box holds its own.
+    """
+    spots = F.transform(F.array_sort(F.collect_list(F.struct("place", "x1", "y1"))), lambda s: F.struct(s["x1"].alias("x"), s["y1"].alias("y")))
+    ends = [f("x1" if c == "x" else "y1").alias(f"{n}{c}") for n, f in (("min", F.min), ("max", F.max)) for c in "xy"]
+    one = rings.groupBy(owner, "ring", "is_hole").agg(spots.alias("s"), *ends)
+    one = one.select(owner, "ring", "is_hole", F.concat("s", F.slice("s", 1, 1)).alias("spots"), *[f"{n}{c}" for n in ("min", "max") for c in "xy"])
+    outer = one.where("not is_hole").select(owner, F.col("ring").alias("around"), *[F.col(c).alias(f"o_{c}") for c in ("minx", "miny", "maxx", "maxy")])
+    held = one.where("is_hole").join(outer, owner).where("minx >= o_minx and miny >= o_miny and maxx <= o_maxx and maxy <= o_maxy")
+    held = held.groupBy(owner, "ring").agg(F.min_by("around", (F.col("o_maxx") - F.col("o_minx")) * (F.col("o_maxy") - F.col("o_miny"))).alias("around"))
+    placed = one.join(held, [owner, "ring"], "left").withColumn("around", F.coalesce("around", "ring"))
+    parts = placed.groupBy(owner, "around").agg(F.transform(F.array_sort(F.collect_list(F.struct("is_hole", "ring", "spots"))), lambda r: r["spots"]).alias("rings"))
+    return parts.groupBy(owner).agg(F.transform(F.array_sort(F.collect_list(F.struct("around", "rings"))), lambda p: p["rings"]).alias("parts"))
+
+
 # Repair.
 
 

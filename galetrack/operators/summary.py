@@ -65,6 +65,12 @@ def lifetime_class(track: DataFrame) -> DataFrame:
     return best.withColumn("lifetime_class", F.element_at(F.array(*[F.lit(c) for c in domain.CLASSES]), F.col("rank") + 1))
 
 
+def track_spots(points: DataFrame) -> DataFrame:
+    """storm_id and spots: the positions of its fixes, in order."""
+    spots = F.array_sort(F.collect_list(F.struct("point_seq", "longitude", "latitude")))
+    return points.groupBy("storm_id").agg(F.transform(spots, lambda s: F.struct(s["longitude"].alias("x"), s["latitude"].alias("y"))).alias("spots"))
+
+
 def track_lines(points: DataFrame) -> DataFrame:
     """storm_id and track_wkt; null for storms of fewer than two fixes."""
     spots = F.array_sort(F.collect_list(F.struct("point_seq", "longitude", "latitude")))

@@ -428,6 +428,39 @@ def display_points(db: Database, conus: tuple[str, ...], first: int, last: int)
     return rows.select("storm_id", "point_seq", "season", "longitude", "latitude", domain.system_type(F.col("status"), F.col("max_wind_kt")).alias("marker"))
 
 
+def impact_points(db: Database, conus: tuple[str, ...]) -> DataFrame:
+    """Landfalls in the scope with a position: the season whose display they mark, and the marker's class."""
+    rows = scope(db, conus).where("exact_lon is not null and exact_lat is not null")
+    return rows.select("season", domain.system_type(F.col("status_at_landfall"), F.col("exact_wind_kt")).alias("marker"), F.col("exact_lon").alias("lon"), F.col("exact_lat").alias("lat"))
+
+
+def impact_labels(db: Database, conus: tuple[str, ...], chosen: dict[int | str, str], least_kt: int = domain.CATEGORY_FLOORS[0][0]) -> DataFrame:
+    """Names on the display, at each storm's strongest landfall in the scope.
+
+    Labelled are storms that came ashore with ``least_kt`` or more, and the ``chosen`` ones
+    (texts by storm), whose text is kept; a chosen storm without landfall in the scope has no
+    place and no label.
+    """
+    falls = scope(db, conus)
+    texts = falls.sparkSession.createDataFrame(list(chosen.items()), f"storm_id {dict(falls.dtypes)['storm_id']}, text string")
+    asked = falls.where(F.col("exact_wind_kt") >= least_kt).select("storm_id").union(texts.select("storm_id")).distinct()
+    peak = strongest_landfall(falls).join(asked, "storm_id", "left_semi").join(F.broadcast(texts), "storm_id", "left")
+    own = F.concat_ws(" ", F.initcap("name"), F.col("season").cast("string"))
+    return peak.select("storm_id", "season", F.coalesce("text", own).alias("text"), F.col("exact_lon").alias("lon"), F.col("exact_lat").alias("lat"))
+
+
+def state_totals(falls: DataFrame) -> DataFrame:
+    """Landfalls of each unit, the most frequent first."""
+    return falls.groupBy("landfall_admin1").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "landfall_admin1")
+
+
+def both_ends(falls: DataFrame, n: int = 5) -> DataFrame:
+    """The earliest and the latest ``n`` landfalls, those at both ends once."""
+    order = ["exact_time", "storm_id", "seg", "j", "native_only"]
+    last = falls.orderBy(*[F.desc(c) for c in order]).limit(n)
+    return falls.orderBy(*order).limit(n).union(last).dropDuplicates(order)
+
+
 def summary_counts(db: Database) -> DataFrame:
     """One row: the build's sizes."""
     l = db.landfalls.agg(F.count("*").alias("events"), F.count_if("is_landfall").alias("landfalls"), F.count_if(F.col("is_landfall") & F.col("is_us_landfall")).alias("us_landfalls"))  # noqa: E741

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from galetrack.functions import wkb
 from galetrack.operators import cover, geometry, rings
-from galetrack.operators.stage import settle
+from galetrack.operators.stage import settle, shared_root
 from galetrack.plans import planar, storms
+from galetrack.sources import geoparquet
 
 #: name: (rows of the inputs and their cover, SQL).
 QUERIES: dict[str, tuple[Callable[[storms.Inputs, DataFrame], DataFrame], str]] = {}
@@ -105,6 +108,25 @@ def landmass_rings(i, land):
     return rings.with_area(traced.drop("is_hole"), "landmass").select("landmass", F.col("is_hole").cast("int").alias("is_hole"), "edges", F.round("area_km2", 3).alias("area_km2"))
 
 
+@put(
+    "geo_landmasses",
+    planar.over_tables(
+        "select root as landmass, cast(1 as int) as polygons, cast(n + 1 as int) as vertices, round(a, 6) as xmin, round(b, 6) as ymin, round(c, 6) as xmax, round(d, 6) as ymax from masses"
+        " join (select run, count(*) as n from coast c join sides s on s.e = [round(x1 * 10000), round(y1 * 10000), round(x2 * 10000), round(y2 * 10000)] join runs using (unit_id) group by run) using (run)"
+        " join (select run, min(xa) as a, min(ya) as b, max(xb) as c, max(yb) as d from box join runs using (unit_id) group by run) using (run)"
+        f" where a <= {CLIP[2]} and c >= {CLIP[0]} and b <= {CLIP[3]} and d >= {CLIP[1]}"
+    ),
+)
+def geo_landmasses(i, land):
+    """Landmasses as polygons in a GeoParquet table, those whose box meets another read back."""
+    made = rings.closed(rings.polygons(i.edges, land), "landmass")
+    path = f"{shared_root(i.edges.sparkSession)}/geo-landmasses-{uuid.uuid4().hex}"
+    geoparquet.write(geoparquet.polygons(made, F.col("parts")).drop("parts"), path)
+    back = geoparquet.read(i.edges.sparkSession, path, CLIP).withColumn("parts", wkb.as_polygons(F.col("geometry")))
+    corners = [F.round(f"bbox.{c}", 6).alias(c) for c in geoparquet.BOX]
+    return back.select("landmass", F.size("parts").alias("polygons"), F.size(F.flatten(F.flatten("parts"))).alias("vertices"), *corners)
+
+
 def _area(xa: str, xb: str, ya: str, yb: str) -> str:
     return f"round(6378.137 * 6378.137 * radians({xb} - {xa}) * ({planar._Q.format(y=yb)} - {planar._Q.format(y=ya)}) / 2, 3)"
 

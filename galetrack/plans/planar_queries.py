@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.functions import domain
+from galetrack.functions import domain, wkb
+from galetrack.operators.stage import shared_root
 from galetrack.plans import analytics as a
 from galetrack.plans import checks, external, planar, workload
 from galetrack.plans.storms import Database
+from galetrack.sources import geoparquet
 
 CONUS = planar.CONUS
 HURRICANE, _, _, OTHER, UNKNOWN = domain.CLASSES
@@ -353,6 +356,65 @@ put(
     a.summary_counts,
 )
 
+CHOSEN = {3: "Third of the list", 14: "Fourteenth", 10**9: "Nowhere"}
+_MARKER = "case when status_at_landfall not in ({0}) then 'extratropical' when exact_wind_kt >= 64 then 'hurricane' when exact_wind_kt >= 34 then 'tropical' else 'depression' end".format(planar.TROPICAL)
+put(
+    "impact_points",
+    f"select season, {_MARKER} as marker, round(exact_lon, 6) as lon, round(exact_lat, 6) as lat from conus",
+    lambda db: a.impact_points(db, CONUS).select("season", "marker", *km("lon", "lat")),
+)
+put(
+    "impact_labels",
+    "select storm_id, season, case storm_id " + " ".join(f"when {k} then '{v}'" for k, v in CHOSEN.items()) + " else upper(name[1]) || lower(name[2:]) || ' ' || season end as text, round(exact_lon, 6) as lon, round(exact_lat, 6) as lat"
+    f" from peak where storm_id in (select storm_id from conus where exact_wind_kt >= 137) or storm_id in ({', '.join(map(str, CHOSEN))})",
+    lambda db: a.impact_labels(db, CONUS, CHOSEN).select("storm_id", "season", "text", *km("lon", "lat")),
+)
+put("state_totals", "select landfall_admin1, count(*) as n from conus group by 1", lambda db: a.state_totals(conus(db)))
+put(
+    "first_and_last",
+    f"select storm_id, {us('exact_time')} as exact_us from conus qualify row_number() over (order by exact_time, storm_id, seg, j, native_only) <= 5 or row_number() over (order by exact_time desc, storm_id desc, seg desc, j desc, native_only desc) <= 5",
+    lambda db: a.both_ends(conus(db)).select("storm_id", F.unix_micros("exact_time").alias("exact_us")),
+)
+put("bypasses_by_storm", "select storm_id, bypass_wind_kt from near_misses", lambda db: db.bypasses.orderBy("storm_id").select("storm_id", "bypass_wind_kt"))
+
+# Tables with geometry, written and read back within a box.
+
+BOX = (-100.0, 10.0, -70.0, 30.0)
+
+
+def geometric(name: str):
+    def rows(db: Database) -> DataFrame:
+        spark = db.storms.sparkSession
+        path = f"{shared_root(spark)}/geo-{name}-{uuid.uuid4().hex}"
+        geoparquet.write(db.geometric()[name], path)
+        return geoparquet.read(spark, path, BOX)
+
+    return rows
+
+
+put(
+    "geo_landfalls",
+    f"select storm_id, landfall_seq, {us('exact_time')} as exact_us, round(exact_lon, 6) as lon, round(exact_lat, 6) as lat from landfalls where exact_lon between {BOX[0]} and {BOX[2]} and exact_lat between {BOX[1]} and {BOX[3]}",
+    lambda db: geometric("landfalls")(db).withColumn("p", wkb.as_point(F.col("geometry"))).select(
+        "storm_id", "landfall_seq", F.unix_micros("exact_time").alias("exact_us"), F.round("p.x", 6).alias("lon"), F.round("p.y", 6).alias("lat")
+    ),
+)
+put(
+    "geo_storms",
+    "select storm_id, cast(count(*) as int) as vertices, arg_min(longitude, point_seq) as first_lon, arg_max(latitude, point_seq) as last_lat, min(longitude) as xmin, max(latitude) as ymax from fixes group by storm_id having count(*) >= 2"
+    f" and min(longitude) <= {BOX[2]} and max(longitude) >= {BOX[0]} and min(latitude) <= {BOX[3]} and max(latitude) >= {BOX[1]}",
+    lambda db: geometric("storms")(db).withColumn("l", wkb.as_line(F.col("geometry"))).select(
+        "storm_id", F.size("l").alias("vertices"), F.element_at("l", 1)["x"].alias("first_lon"), F.element_at("l", -1)["y"].alias("last_lat"), "bbox.xmin", "bbox.ymax"
+    ),
+)
+put(
+    "geo_gates",
+    f"select gate_id, x1, y1, x2, y2 from gates where x1 between {BOX[0]} and {BOX[2]} and y1 <= {BOX[3]} and y2 >= {BOX[1]}",
+    lambda db: geometric("landfall_gates")(db).withColumn("l", wkb.as_line(F.col("geometry"))).select(
+        "gate_id", *[F.element_at("l", i)[c].alias(f"{c}{i}") for i in (1, 2) for c in "xy"]
+    ),
+)
+
 # An external list, made from the seasons by a recipe: it lacks some storms and marks others.
 
 _COUNTED = "(select * from listed where not missed and not in_mexico)"

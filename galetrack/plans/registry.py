@@ -15,14 +15,22 @@ from galetrack.plans import land_queries, planar, planar_queries, storms
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-#: Inputs and databases of this process, by application and folder: built once, as written tables.
-_INPUTS: dict[tuple[str, str], storms.Inputs] = {}
-_BUILT: dict[tuple[str, str, bool], storms.Database] = {}
-_LANDS: dict[tuple[str, str], storms.Land] = {}
+#: Inputs and databases of this process, by application and the state of the files: built once, as written tables.
+_INPUTS: dict[tuple, storms.Inputs] = {}
+_BUILT: dict[tuple, storms.Database] = {}
+_LANDS: dict[tuple, storms.Land] = {}
+
+
+def state(spark: SparkSession, sf_dir: str) -> tuple:
+    """The application, the folder, and a digest of paths, sizes and times of the files that inputs are made from."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{sf_dir}/{n}.parquet" for n in ("events", "nation", "region")])
+    # Only the listing is read, not the files; the sums don't depend on an order.
+    seen = files.select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38, 0)").alias("h")).agg(F.count("*"), F.sum("h")).first()
+    return spark.sparkContext.applicationId, sf_dir, *seen
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = state(spark, sf_dir)
     if key not in _INPUTS:
         _INPUTS[key] = storms.inputs(spark, sf_dir)
     return _INPUTS[key]
@@ -30,7 +38,7 @@ def inputs(spark: SparkSession, sf_dir: str) -> storms.Inputs:
 
 def land(spark: SparkSession, sf_dir: str) -> storms.Land:
     """The synthetic units, made ready once for both builds."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = state(spark, sf_dir)
     if key not in _LANDS:
         i = inputs(spark, sf_dir)
         _LANDS[key] = storms.prepare(i.edges, i.units, i.gates)
@@ -39,7 +47,7 @@ def land(spark: SparkSession, sf_dir: str) -> storms.Land:
 
 def database(spark: SparkSession, sf_dir: str, flat: bool = False) -> storms.Database:
     """The tables of the synthetic tracks, sampled every km: on geodesics, or in the plane of degrees."""
-    key = (spark.sparkContext.applicationId, sf_dir, flat)
+    key = (*state(spark, sf_dir), flat)
     if key not in _BUILT:
         i = inputs(spark, sf_dir)
         options = {"step_km": planar.STEP_KM, "planar": True, "conus": list(planar.CONUS), "radius_km": planar.RADIUS_KM} if flat else {"step_km": 1.0}

@@ -12,6 +12,7 @@ from galetrack.functions import domain, sql
 from galetrack.operators import cover, geometry, landfall, summary
 from galetrack.operators.stage import settle
 from galetrack.plans import checks
+from galetrack.sources import geoparquet
 
 
 TABLES = ("storms", "track_points", "landfalls", "bypasses", "landfall_gates", "metadata")
@@ -44,6 +45,20 @@ class Database:
             "v_landfall_gates": self.landfall_gates.withColumn("gate_wkt", domain.line_wkt(*[F.col(c) for c in ("x1", "y1", "x2", "y2")])),
         }
 
+    def geometric(self) -> dict[str, DataFrame]:
+        """The tables with ``geometry`` and ``bbox``, where they have a place: storms as lines of their
+        fixes (null for fewer than two), gates as lines, all else as points."""
+        gate = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("x1", "y1"), ("x2", "y2"))])
+        drawn = self.storms.join(summary.track_spots(self.track_points), "storm_id", "left")
+        return {
+            "storms": geoparquet.line(drawn, F.col("spots")).drop("spots"),
+            "track_points": geoparquet.point(self.track_points, "longitude", "latitude"),
+            "landfalls": geoparquet.point(self.landfalls, "exact_lon", "exact_lat"),
+            "bypasses": geoparquet.point(self.bypasses, "bypass_lon", "bypass_lat"),
+            "landfall_gates": geoparquet.line(self.landfall_gates, gate),
+            "metadata": self.metadata,
+        }
+
     def register(self, prefix: str = "") -> None:
         """Temporary views of the tables and the joined ones, by ``prefix`` and name, and the SQL functions."""
         sql.register(self.storms.sparkSession)

@@ -68,6 +68,17 @@ def ddl(tables: dict[str, DataFrame], cluster: dict[str, list[str]] | None = Non
     return "\n\n".join(out) + "\n"
 
 
+def copy_text(tables: dict[str, DataFrame], stage: str) -> str:
+    """COPY statements that load each table's Parquet folder from a warehouse's stage."""
+    return "\n\n".join(f"COPY INTO {n.upper()}\nFROM @{stage}/{n}/\nFILE_FORMAT = (TYPE = PARQUET)\nMATCH_BY_COLUMN_NAME = CASE_INSENSITIVE;" for n in tables) + "\n"
+
+
+def view_text(points: dict[str, tuple[str, str]], lines: dict[str, str]) -> str:
+    """CREATE VIEW statements with a geography column: of positions (table to longitude and latitude), and of well-known text (table to column)."""
+    shape = {n: f"ST_MAKEPOINT({x.upper()}, {y.upper()})" for n, (x, y) in points.items()} | {n: f"TO_GEOGRAPHY({c.upper()})" for n, c in lines.items()}
+    return "\n\n".join(f"CREATE OR REPLACE VIEW V_{n.upper()} AS\nSELECT *, {s} AS GEOGRAPHY\nFROM {n.upper()};" for n, s in shape.items()) + "\n"
+
+
 def gates_geojson(gates: DataFrame) -> DataFrame:
     """One row of text: the gates as a feature collection, by sort_order."""
     line = F.struct(F.lit("LineString").alias("type"), F.array(F.array("x1", "y1"), F.array("x2", "y2")).alias("coordinates"))

@@ -3,11 +3,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from galetrack import __main__ as command
+from galetrack.functions import wkb
 from galetrack.functions.geodesy import inverse
 from galetrack.operators import coastgates, geometry
-from galetrack.sources import tables
+from galetrack.sources import geoparquet, tables
 from test_domain import squares
 
 
@@ -48,7 +50,7 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "list.html").write_text("<tr><td>1999</td><td>Aug</td><td>TX, 1</td><td>1</td><td>970</td><td>85</td><td>Quill</td></tr>")
     entry = lambda v: {"value": v, "status": "sourced", "source": "a test"}
     settings = {
-        "coastline": {"path": "land.json", "columns": {"admin1_name": "n", "country_name": "a", "iso_country": "c"}}, "basins": {"AL": {"path": "al.txt"}}, "output": {"path": "out"},
+        "coastline": {"path": "land.json", "columns": {"admin1_name": "n", "country_name": "a", "iso_country": "c"}}, "basins": {"AL": {"path": "al.txt"}}, "output": {"path": "out", "formats": ["parquet", "geoparquet", "warehouse"]},
         "calibration": {n: entry(v) for n, v in (("gate_spacing_km", 50), ("gate_half_width_km", 10), ("landfall_segment_step_km", 1), ("bypass_radius_km", 111.12))},
     }
     (tmp_path / "pyproject.toml").write_text("")
@@ -58,6 +60,12 @@ def test_command_line(spark, tmp_path, capsys):
     assert run("build") == 0
     falls = spark.read.parquet(str(tmp_path / "out/landfalls"))
     assert [r["landfall_admin1"] for r in falls.where("is_landfall").collect()] == ["Texas"]
+    drawn = {n: geoparquet.read(spark, str(tmp_path / "out/geo" / n)) for n in ("storms", "track_points", "landfalls", "landfall_gates")}
+    assert drawn["storms"].select(F.size(wkb.as_line(F.col("geometry")))).first()[0] == 2
+    assert drawn["track_points"].select(wkb.as_point(F.col("geometry"))["x"].alias("x")).orderBy("x").collect() == [(-94.6,), (-93.0,)]
+    assert drawn["landfalls"].count() == falls.count() and drawn["landfall_gates"].where("geometry is null").isEmpty()
+    text = (tmp_path / "out/warehouse.sql").read_text()
+    assert all(t in text for t in ("CREATE TABLE IF NOT EXISTS LANDFALLS", "COPY INTO STORMS\nFROM @GALETRACK/storms/", "CREATE OR REPLACE VIEW V_LANDFALLS AS", "ST_MAKEPOINT(EXACT_LON, EXACT_LAT)"))
     assert run("compare", "--list", str(tmp_path / "list.html")) == 0 and "detected 1" in capsys.readouterr().out
     (tmp_path / "list.html").write_text("<tr><td>1998</td><td>Aug</td><td>TX, 1</td><td>1</td><td>970</td><td>85</td><td>Other</td></tr>")
     assert run("compare", "--list", str(tmp_path / "list.html")) == 1
@@ -66,5 +74,8 @@ def test_command_line(spark, tmp_path, capsys):
     tables.validate_gates(again)
     meta = {r["key"]: r["value"] for r in spark.read.parquet(str(tmp_path / "out/metadata")).collect()}
     assert {"generated_at_utc", "track_sha256", "coastline_source", "gate_set_origin", "parse_warnings", "calibration.gate_spacing_km.source"} <= set(meta)
+    (tmp_path / "c.yaml").write_text(json.dumps(settings | {"output": {"path": "out", "formats": ["parquets"]}}))
+    assert run("build") == 2
+    (tmp_path / "c.yaml").write_text(json.dumps(settings))
     (tmp_path / "al.txt").unlink()
     assert run("build") == 2

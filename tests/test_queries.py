@@ -54,3 +54,17 @@ def test_subpackage_is_optional():
 
     with mock.patch.dict(sys.modules, {"galetrack.llm": None, "galetrack.llm.queries": None}):
         assert set(entry.queries()) >= set(registry.QUERIES)
+
+
+def test_changed_files_are_noticed(spark, tmp_path):
+    import shutil
+
+    for name in ("events", "nation", "region"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = registry.inputs(spark, str(tmp_path))
+    assert registry.inputs(spark, str(tmp_path)) is before
+    fewer = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("user_id < 5")
+    shutil.rmtree(tmp_path / "events.parquet")
+    fewer.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    after = registry.inputs(spark, str(tmp_path))
+    assert after is not before and after.points.count() == fewer.count() < before.points.count()
