@@ -8,7 +8,7 @@ reader skips the row groups elsewhere.
 
 Files are written by Arrow, a task at a time, with the metadata that Spark's writer can't
 add. A task buffers ``GROUP_BYTES`` at most, or one batch. Files get their place at the commit only: what a
-lost task left is removed.
+lost task left is removed. Paths are those that Arrow knows: local, ``hdfs``, ``s3``, ``gs``.
 
 Defined results: a row without geometry has no box, is kept, and is read back unless a box is
 asked for; a table without any geometry is written as plain Parquet without these two
