@@ -176,7 +176,9 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_arch
     """Writes every page as a record into archives below ``path``, gzipped.
 
     A partition is a capture run, sorted by URL key, time and id; it is written
-    as consecutive archives of at most ``records_per_archive`` records.
+    as consecutive archives of at most ``records_per_archive`` records. They are
+    packed at the fastest level: the usual one takes four times the time for a
+    tenth fewer bytes.
     """
     spark = pages.sparkSession
     # The rows, once: their order numbers stay as written.
@@ -197,7 +199,8 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_arch
         return step
 
     records = map_rows(source, "value binary", make, rows=512).select(F.col("value").cast("string").alias("value"))
-    records.write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_archive).text(path)
+    packed = records.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    packed.option("lineSep", "\r\n").option("maxRecordsPerFile", records_per_archive).text(path)
 
 
 def read_archives(spark, path: str) -> DataFrame:
@@ -247,6 +250,8 @@ def merge_indexes(index: DataFrame, rows_per_range: int = 50_000) -> DataFrame:
     importable(spark)
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    # Written, so that counting rows and choosing ranges don't read the archives again.
+    index = materialise(index.select(*[f.split()[0] for f in INDEX.split(", ")]), "warc-index")
     parts = max(1, -(-index.count() // rows_per_range))
     key = ("urlkey", "ts", "page_id")
     dealt = index.repartitionByRange(parts, *key).sortWithinPartitions("archive", "offset")

@@ -255,6 +255,22 @@ def test_warc_against_brute_force(spark):
     assert order == sorted(order)
 
 
+def test_warc_archives_are_read_once(spark):
+    """The merge counts the index's rows, samples its ranges and deals it out, on one reading of the archives."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = [(i, f"u{i % 5}", i, 1, "d", "response", None, f"a{i % 3}", i, 1) for i in range(60)]
+    index = spark.createDataFrame(rows, warc.INDEX)
+    got = warc.merge_indexes(index.mapInArrow(seen, index.schema), rows_per_range=20).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(60)) and len({r["range"] for r in got}) > 1
+    assert read.value == 60
+
+
 def test_ann_ties_are_exact(spark):
     """Equal vectors have equal scores wherever they lie, and go by id."""
     rng = np.random.default_rng(4)
