@@ -59,7 +59,6 @@ class Vocabulary:
         model = spec["model"]
         self.ids: dict[str, int] = dict(model["vocab"])
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.ranks: dict[tuple[str, str], int] = {m: i for i, m in enumerate(merges)}
         self.end: str = model.get("end_of_word_suffix") or ""
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
@@ -68,82 +67,102 @@ class Vocabulary:
         for token in self.ids:
             body = token.removesuffix(self.end) if self.end else token
             self.pairs.update(a + b for a, b in zip(body, body[1:]))
+        alphabet = byte_alphabet()
+        texts = dict.fromkeys([*alphabet, *[c + self.end for c in alphabet], *[t for a, b in merges for t in (a, b, a + b)]])
+        #: Symbols are numbered; ``made`` has the symbol of each merge, ``ranks`` the merge of a left symbol * size + a right one.
+        self.number: dict[str, int] = {t: i for i, t in enumerate(texts)}
+        self.token_texts: list[str] = list(texts)
+        self.id_texts: list[str | None] = [str(self.ids[t]) if t in self.ids else None for t in texts]
+        self.size = len(texts)
+        self.ranks: dict[int, int] = {self.number[a] * self.size + self.number[b]: i for i, (a, b) in enumerate(merges)}
+        self.made: list[int] = [self.number[a + b] for a, b in merges]
+        #: The merge of each pair of characters that some token holds, before a word's last.
+        self.first: dict[str, int] = {p: self.ranks.get(self.number.get(p[0], -1) * self.size + self.number.get(p[1], -1), NO_RANK) for p in self.pairs}
 
 
 class Encoder:
-    """Encodes words with a cache; one per task."""
+    """Encodes words with a cache; one per task.
+
+    A cache has a younger and an older half of ``cache_words`` each: a full younger
+    half replaces the older one, and what is met again in the older half goes into
+    the younger one, so that frequent words are never forgotten.
+    """
 
     def __init__(self, vocabulary: Vocabulary, cache_words: int = 80_000):
         self.v = vocabulary
         self.limit = cache_words
         self.cache: dict[str, tuple[int, str, str]] = {}
+        self.older_cache: dict[str, tuple[int, str, str]] = {}
         self.known: dict[str, tuple[int, str, str]] = {}
+        self.older_known: dict[str, tuple[int, str, str]] = {}
         self.alphabet = byte_alphabet()
         self.words = regex.compile(vocabulary.pattern)
         self.tokens = {i: t for t, i in [*vocabulary.ids.items(), *vocabulary.special.items()]}
         self.split = re.compile(f"[{WHITE_SPACE}]+")
         self.special = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")")
 
-    def fragments(self, word: str) -> list[str]:
-        """The word, in the byte alphabet, cut at every pair no token holds."""
-        pairs, after = self.v.pairs, word[1:]
-        if pairs.issuperset(map(add, word, after)):
-            return [word]
-        cuts = [i for i, pair in enumerate(map(add, word, after), 1) if pair not in pairs]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
-
-    def merged(self, symbols: list[str]) -> list[str]:
-        """Merges the lowest-ranked pair, leftmost first, until none is left."""
+    def merged(self, symbols: list[int], ranks: list[int]) -> list[int]:
+        """Merges the lowest-ranked pair, leftmost first, until none is left; ``ranks`` has the pairs' ranks."""
         if len(symbols) > LONG_FRAGMENT:
             return self._merged_by_heap(symbols)
-        get = self.v.ranks.get
-        ranks = [get(pair, NO_RANK) for pair in zip(symbols, symbols[1:])]
+        get, made, size = self.v.ranks.get, self.v.made, self.v.size
         while ranks and (best := min(ranks)) != NO_RANK:
             i = ranks.index(best)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-            del ranks[i]
+            symbols[i] = new = made[best]
+            del symbols[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = get((symbols[i - 1], symbols[i]), NO_RANK)
+                ranks[i - 1] = get(symbols[i - 1] * size + new, NO_RANK)
             if i < len(ranks):
-                ranks[i] = get((symbols[i], symbols[i + 1]), NO_RANK)
+                ranks[i] = get(new * size + symbols[i + 1], NO_RANK)
         return symbols
 
-    def _merged_by_heap(self, symbols: list[str]) -> list[str]:
-        ranks, n = self.v.ranks, len(symbols)
+    def _merged_by_heap(self, symbols: list[int]) -> list[int]:
+        ranks, made, size, n = self.v.ranks, self.v.made, self.v.size, len(symbols)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := ranks.get((symbols[i], symbols[i + 1]))) is not None]
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (r := ranks.get(a * size + b)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
             if symbols[i] != left or j < 0 or symbols[j] != right:
                 continue
-            symbols[i], symbols[j] = left + right, ""
+            symbols[i], symbols[j] = made[rank], -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (r := ranks.get((symbols[a], symbols[b]))) is not None:
+                if a >= 0 and b >= 0 and (r := ranks.get(symbols[a] * size + symbols[b])) is not None:
                     heapq.heappush(heap, (r, a, symbols[a], symbols[b]))
-        return [s for s in symbols if s]
+        return [s for s in symbols if s >= 0]
 
-    def word_tokens(self, word: str) -> list[str]:
-        """Tokens of one regular-expression match."""
+    def word_symbols(self, word: str) -> list[int]:
+        """Symbols of one regular-expression match, which is cut at every pair no token holds."""
+        v = self.v
         mapped = word if word.isascii() and word.isprintable() else "".join([self.alphabet[b] for b in word.encode()])
-        parts = self.fragments(mapped)
-        out: list[str] = []
-        for part in parts[:-1]:
-            out += self.merged(list(part))
-        return out + self.merged([*parts[-1][:-1], parts[-1][-1] + self.v.end])
+        symbols = list(map(v.number.__getitem__, mapped))
+        symbols[-1] = v.number[mapped[-1] + v.end]
+        ranks = list(map(v.first.get, map(add, mapped, mapped[1:])))
+        if ranks and ranks[-1] is not None:
+            ranks[-1] = v.ranks.get(symbols[-2] * v.size + symbols[-1], NO_RANK)
+        if None not in ranks:
+            return self.merged(symbols, ranks)
+        out: list[int] = []
+        start = 0
+        for cut in [*[i for i, rank in enumerate(ranks, 1) if rank is None], len(symbols)]:
+            out += self.merged(symbols[start:cut], ranks[start : cut - 1])
+            start = cut
+        return out
 
     def word(self, word: str) -> tuple[int, str, str]:
         """Count, ids and tokens (each joined by a space) of one match."""
         got = self.known.get(word)
         if got is None:
-            tokens, ids = self.word_tokens(word), self.v.ids
-            got = (len(tokens), " ".join([str(ids[t]) for t in tokens]), " ".join(tokens))
+            got = self.older_known.get(word)
+            if got is None:
+                symbols, v = self.word_symbols(word), self.v
+                got = (len(symbols), " ".join([v.id_texts[s] for s in symbols]), " ".join([v.token_texts[s] for s in symbols]))
             if len(self.known) >= self.limit:
-                self.known.clear()
+                self.known, self.older_known = {}, self.known
             if len(word) <= LONGEST_CACHED:
                 self.known[word] = got
         return got
@@ -152,27 +171,32 @@ class Encoder:
         """Count, ids and tokens (each joined by a space) of a run without white space."""
         got = self.cache.get(raw)
         if got is None:
-            text = raw.lower()
-            if not raw.isascii():
-                # Each character by itself: a sigma at a word's end stays a plain one.
-                text = "".join([c.lower() for c in unicodedata.normalize("NFC", raw)])
-            if text.isalpha():
-                words = [text]
-            elif text[-1] in ".,!?;:" and text[:-1].isalpha():
-                words = [text[:-1], text[-1]]
-            else:
-                words = self.words.findall(text)
-            if len(words) == 1:
-                got = self.word(words[0])
-            else:
-                found = [self.word(w) for w in words]
-                got = (sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found]))
+            got = self.older_cache.get(raw)
+            if got is None:
+                got = self.run(raw)
             if len(self.cache) >= self.limit:
-                self.cache.clear()
+                self.cache, self.older_cache = {}, self.cache
             if len(raw) <= LONGEST_CACHED:
                 self.cache[raw] = got
         return got
 
+    def run(self, raw: str) -> tuple[int, str, str]:
+        """The same, not looked up."""
+        text = raw.lower()
+        if not raw.isascii():
+            # Each character by itself: a sigma at a word's end stays a plain one.
+            text = "".join([c.lower() for c in unicodedata.normalize("NFC", raw)])
+        if text.isalpha():
+            return self.word(text)
+        if text[-1] in ".,!?;:" and text[:-1].isalpha():
+            words = [text[:-1], text[-1]]
+        else:
+            words = self.words.findall(text)
+        if len(words) == 1:
+            return self.word(words[0])
+        found = [self.word(w) for w in words]
+        return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
+
     def runs(self, text: str) -> list[str]:
         """Runs without white space, as ``\\s`` of the tokenizer sees it."""
         if any(c in text for c in SEPARATORS):

@@ -354,3 +354,16 @@ def test_bpe_equals_the_library(spark):
     assert set(docs.columns) < set(both.columns)
     assert all(r["decoded"] == library.decode(r["ids"], skip_special_tokens=False) for r in both.collect())
     assert bpe.digests(documents(spark, []), path).count() == 0
+
+
+def test_bpe_remembers_frequent_words(monkeypatch):
+    """Words that come again and again are encoded once, however many others come between; results don't depend on what is remembered."""
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        vocabulary = bpe.Vocabulary(f.read())
+    small, large, encoded = bpe.Encoder(vocabulary, cache_words=50), bpe.Encoder(vocabulary), Counter()
+    symbols = small.word_symbols
+    monkeypatch.setattr(small, "word_symbols", lambda w: (encoded.update([w]), symbols(w))[1])
+    for i in range(1000):
+        text = f"often, seldom{''.join('abcdefghij'[int(d)] for d in str(i))} Often"
+        assert small.digest(text) == large.digest(text)
+    assert encoded["often"] == 1 and len(encoded) == 1002 and len(small.cache) <= 50
