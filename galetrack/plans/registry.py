@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +23,16 @@ _LANDS: dict[tuple, storms.Land] = {}
 
 
 def state(spark: SparkSession, sf_dir: str) -> tuple:
-    """The application, the folder, and a digest of paths, sizes and times of the files that inputs are made from."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{sf_dir}/{n}.parquet" for n in ("events", "nation", "region")])
+    """The application, the folder, and a digest of paths, sizes and times of the files that inputs are made from.
+
+    Missing files have no digest; it is the reading of the inputs that refuses them.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{sf_dir}/{n}.parquet" for n in ("events", "nation", "region")])
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.sparkContext.applicationId, sf_dir, 0, None
     # Only the listing is read, not the files; the sums don't depend on an order.
     seen = files.select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38, 0)").alias("h")).agg(F.count("*"), F.sum("h")).first()
     return spark.sparkContext.applicationId, sf_dir, *seen

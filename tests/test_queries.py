@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.errors import AnalysisException
 
 import __spark_entry__ as entry
 from galetrack.plans import analytics, planar, registry, storms
@@ -68,3 +69,9 @@ def test_changed_files_are_noticed(spark, tmp_path):
     fewer.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
     after = registry.inputs(spark, str(tmp_path))
     assert after is not before and after.points.count() == fewer.count() < before.points.count()
+
+
+def test_missing_inputs_are_refused_by_their_reading(spark, tmp_path):
+    assert registry.state(spark, str(tmp_path)) == registry.state(spark, str(tmp_path))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        registry.inputs(spark, str(tmp_path))
