@@ -20,6 +20,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from operator import add
 
@@ -29,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import importable, map_rows, per_worker
+from galetrack.llm.common import importable, map_rows, per_worker, small_batches
 
 #: Fixed values of the byte-level alphabet: bytes that stand for themselves.
 PRINTABLE_BYTES = [range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100)]
@@ -71,8 +72,7 @@ class Vocabulary:
         texts = dict.fromkeys([*alphabet, *[c + self.end for c in alphabet], *[t for a, b in merges for t in (a, b, a + b)]])
         #: Symbols are numbered; ``made`` has the symbol of each merge, ``ranks`` the merge of a left symbol * size + a right one.
         self.number: dict[str, int] = {t: i for i, t in enumerate(texts)}
-        self.token_texts: list[str] = list(texts)
-        self.id_texts: list[str | None] = [str(self.ids[t]) if t in self.ids else None for t in texts]
+        self.id_of: list[int | None] = [self.ids.get(t) for t in texts]
         self.size = len(texts)
         self.ranks: dict[int, int] = {self.number[a] * self.size + self.number[b]: i for i, (a, b) in enumerate(merges)}
         self.made: list[int] = [self.number[a + b] for a, b in merges]
@@ -85,19 +85,21 @@ class Encoder:
 
     A cache has a younger and an older half of ``cache_words`` each: a full younger
     half replaces the older one, and what is met again in the older half goes into
-    the younger one, so that frequent words are never forgotten.
+    the younger one, so that frequent words are never forgotten. What is kept of a
+    word are its ids, four bytes each; their texts are looked up by text.
     """
 
     def __init__(self, vocabulary: Vocabulary, cache_words: int = 80_000):
         self.v = vocabulary
         self.limit = cache_words
-        self.cache: dict[str, tuple[int, str, str]] = {}
-        self.older_cache: dict[str, tuple[int, str, str]] = {}
-        self.known: dict[str, tuple[int, str, str]] = {}
-        self.older_known: dict[str, tuple[int, str, str]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.older_cache: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older_known: dict[str, bytes] = {}
         self.alphabet = byte_alphabet()
         self.words = regex.compile(vocabulary.pattern)
         self.tokens = {i: t for t, i in [*vocabulary.ids.items(), *vocabulary.special.items()]}
+        self.id_texts = {i: str(i) for i in self.tokens}
         self.split = re.compile(f"[{WHITE_SPACE}]+")
         self.special = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")")
 
@@ -153,22 +155,21 @@ class Encoder:
             start = cut
         return out
 
-    def word(self, word: str) -> tuple[int, str, str]:
-        """Count, ids and tokens (each joined by a space) of one match."""
+    def word(self, word: str) -> bytes:
+        """Ids of one match."""
         got = self.known.get(word)
         if got is None:
             got = self.older_known.get(word)
             if got is None:
-                symbols, v = self.word_symbols(word), self.v
-                got = (len(symbols), " ".join([v.id_texts[s] for s in symbols]), " ".join([v.token_texts[s] for s in symbols]))
+                got = array("i", map(self.v.id_of.__getitem__, self.word_symbols(word))).tobytes()
             if len(self.known) >= self.limit:
                 self.known, self.older_known = {}, self.known
             if len(word) <= LONGEST_CACHED:
                 self.known[word] = got
         return got
 
-    def lookup(self, raw: str) -> tuple[int, str, str]:
-        """Count, ids and tokens (each joined by a space) of a run without white space."""
+    def lookup(self, raw: str) -> bytes:
+        """Ids of a run without white space."""
         got = self.cache.get(raw)
         if got is None:
             got = self.older_cache.get(raw)
@@ -180,7 +181,7 @@ class Encoder:
                 self.cache[raw] = got
         return got
 
-    def run(self, raw: str) -> tuple[int, str, str]:
+    def run(self, raw: str) -> bytes:
         """The same, not looked up."""
         text = raw.lower()
         if not raw.isascii():
@@ -194,8 +195,7 @@ class Encoder:
             words = self.words.findall(text)
         if len(words) == 1:
             return self.word(words[0])
-        found = [self.word(w) for w in words]
-        return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
+        return b"".join([self.word(w) for w in words])
 
     def runs(self, text: str) -> list[str]:
         """Runs without white space, as ``\\s`` of the tokenizer sees it."""
@@ -203,29 +203,24 @@ class Encoder:
             return [r for r in self.split.split(text) if r]
         return text.split()
 
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Count, ids and tokens (each joined by a space) of a whole text."""
-        if not text:
-            return 0, "", ""
-        if "<|" in text:
-            found = []
+    def array(self, text: str | None) -> np.ndarray:
+        """Ids of a whole text, four bytes each."""
+        found: list[bytes] = []
+        if text and "<|" in text:
             for part in self.special.split(text):
                 if part in self.v.special:
-                    found.append((1, str(self.v.special[part]), part))
+                    found.append(array("i", [self.v.special[part]]).tobytes())
                 else:
                     found += [self.lookup(r) for r in self.runs(part)]
-        else:
+        elif text:
             cache, lookup = self.cache, self.lookup
             found = [cache.get(r) or lookup(r) for r in self.runs(text)]
-        found = [f for f in found if f[0]]
-        if not found:
-            return 0, "", ""
-        counts, ids, tokens = zip(*found)
-        return sum(counts), " ".join(ids), " ".join(tokens)
+        return np.frombuffer(b"".join(found), dtype=np.int32)
 
-    def array(self, text: str | None) -> np.ndarray:
-        """Ids of a whole text, four bytes each."""
-        return np.fromstring(self.digest(text)[1], dtype=np.int32, sep=" ")
+    def digest(self, text: str | None) -> tuple[int, str, str]:
+        """Count, ids and tokens (each joined by a space) of a whole text."""
+        ids = self.encode(text)
+        return len(ids), " ".join([self.id_texts[i] for i in ids]), " ".join([self.tokens[i] for i in ids])
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text."""
@@ -265,6 +260,7 @@ def _shared(df: DataFrame, path: str):
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with a column ``out`` of ids (array<int>); replaces one of that name."""
     held = _shared(docs, path)
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != out]
 
     @F.pandas_udf("array<int>")

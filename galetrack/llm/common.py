@@ -44,6 +44,17 @@ def importable(spark: SparkSession) -> None:
 
 
 BATCH_ROWS = 2048
+#: Of texts, a batch need not hold more than so many bytes.
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches end at ``BATCH_BYTES`` too, which bounds what a task holds of
+    texts on both sides. Where the session has a limit of its own, that stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
 
 #: What this Python worker has built, with its token: later tasks find it, caches warm.
 _WORKER: dict[str, object] = {}
@@ -53,11 +64,18 @@ def per_worker(token: str, build: Callable[[], object]):
     """``build()``, once in each Python worker for a token. Only the last one is kept,
     so that the models and caches of stages that are over take no memory."""
     if token not in _WORKER:
-        _WORKER.clear()
+        release()
         _WORKER[token] = build()
     return _WORKER[token]
 
 
+def release() -> None:
+    """Gives back what this Python worker holds of a stage that is over. For the first
+    tasks of a stage: those that need no model would carry the former one along."""
+    _WORKER.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def send(spark: SparkSession, value: object):
     """A broadcast of ``value`` in pickled form. Spark's workers keep what they have read
     of a broadcast; of this they keep the bytes, not the objects made from them."""

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker, received, send
+from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker, received, release, send, small_batches
 
 UNDETERMINED = "und"
 #: Marks a word's start, as in the vocabulary file.
@@ -189,6 +189,8 @@ class Scorer:
 
 def _word_counts(sample: DataFrame) -> DataFrame:
     def make():
+        release()
+
         def step(rows):
             counts: Counter = Counter()
             for lang, text in zip(rows["lang"], rows["text"]):
@@ -297,6 +299,7 @@ def accept(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text"
     """The rows of ``docs`` whose text has a language, with a score of at least ``least``."""
     held, token = send(docs.sparkSession, model), new_token()
     importable(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("boolean")
     def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -21,6 +21,7 @@ hash of the row, and nothing depends on the partitioning.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -128,10 +129,11 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = 3.0,
     goals = targets(sizes, weights, most)
     need = needs(sizes, goals, block)
     order = list(goals)
-    plan = spark.createDataFrame(
-        [(k, s, sizes[s], goals[s], int(round(goals[s])), need[s], max(1, -(-sizes[s] // block))) for k, s in enumerate(order)],
-        "k int, source string, source_size long, target double, want long, need long, blocks long",
-    )
+    made = [(k, s, sizes[s], goals[s], int(round(goals[s])), need[s], max(1, -(-sizes[s] // block))) for k, s in enumerate(order)]
+    names = ("k", "source", "source_size", "target", "want", "need", "blocks")
+    kinds = (pa.int32(), pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+    # As an Arrow table it is part of the plan; a list would start Python workers of another kind on the executors.
+    plan = spark.createDataFrame(pa.table([pa.array([r[i] for r in made], kind) for i, kind in enumerate(kinds)], names=names))
     known = narrow.join(F.broadcast(plan), narrow["source"].eqNullSafe(plan["source"])).select("doc_id", narrow["source"], "k", "size", "source_size", "target")
     plain = known.where("size = 0").select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     if not any(need.values()):

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import importable, map_rows, materialise
+from galetrack.llm.common import importable, map_rows, materialise, release
 
 WORDS, LEAST = 5, 0.8
 #: Texts of at most so many k-mers, and partners of theirs, are searched exactly.
@@ -153,6 +153,8 @@ def sketch(staged: DataFrame, sketches: int, length: int, k: int) -> DataFrame:
     """uid, id, digest (of the words), n (k-mers) and keys of each document."""
 
     def make():
+        release()
+
         def step(rows):
             found = [labelled(t, k) for t in rows["text"]]
             return {

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker, received, send
+from galetrack.llm.common import fold, importable, map_rows, materialise, new_token, per_worker, received, release, send, small_batches
 
 #: Common insults, in natural order.
 INSULTS = """
@@ -245,6 +245,8 @@ def learned_lexicons(sample: DataFrame, parts: int, most: int = 100, least: int
     """
 
     def make():
+        release()
+
         def step(rows):
             out = []
             for text, toxic, part in zip(rows["text"], rows["toxic"], rows["part"]):
@@ -333,6 +335,7 @@ def accept(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5."""
     held, token = send(docs.sparkSession, model), new_token()
     importable(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("boolean")
     def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

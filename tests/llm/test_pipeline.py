@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from galetrack.llm import bpe, common, mixing
 from galetrack.llm.common import materialise
 
 DIR = "/root/testdata/sf0.001"
@@ -51,3 +52,37 @@ def test_odd_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         none = materialise(stage(spark, none, DIR), f"none-{name}")
         assert none.count() == 0
+
+
+def test_the_plan_of_a_mix_needs_no_python_workers(spark):
+    """The list of sources is part of the plan, not an RDD of Python rows."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    assert "ExistingRDD" not in mixing.mix(docs)._jdf.queryExecution().toString()
+
+
+def test_what_a_worker_holds_is_small():
+    """Caches keep four bytes an id; a stage that is over keeps nothing."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encoder = common.per_worker("test", lambda: bpe.Encoder(bpe.Vocabulary(f.read())))
+    for i in range(300):
+        encoder.digest(f"word{i} Word{i}, <|endoftext|>")
+    kept = [v for cache in (encoder.cache, encoder.known) for v in cache.values()]
+    assert len(kept) > 300 and all(isinstance(v, bytes) and len(v) % 4 == 0 for v in kept)
+    common.release()
+    assert not common._WORKER
+
+
+def test_batches_of_texts_end_at_a_number_of_bytes(spark):
+    import public_tokenizers
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    spark.conf.unset(name)
+    bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    assert int(spark.conf.get(name)) == common.BATCH_BYTES
+    spark.conf.set(name, "12345678")
+    bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    assert spark.conf.get(name) == "12345678"
+    spark.conf.unset(name)
